@@ -109,14 +109,16 @@ def run_windows(runs: DataFrame, run_ts: str, schedule: RunSchedule = POST_SCHED
     )
 
 
-def calendar(df: DataFrame, day: str = "date", keys: list[str] | None = None) -> DataFrame:
-    """Every date from a key's first to its last, one row each.
+def calendar(df: DataFrame, day: str = "date", keys: list[str] | None = None, shared: bool = False) -> DataFrame:
+    """Every date from the first to the last, one row each and per key.
 
-    One pass of min and max per key, then the dates are made from those rows: no
-    cross join. Without keys the calendar spans the whole frame.
+    A key's own first and last date, or with ``shared`` those of the whole frame. The
+    ends come from aggregates, the dates from the key's one row: no cross join.
     """
     keys = keys or []
+    every_day = F.expr("interval 1 day")
+    if shared and keys:
+        low, high = df.agg(F.min(day)).scalar(), df.agg(F.max(day)).scalar()
+        return df.select(*keys).distinct().select(*keys, F.explode(F.sequence(low, high, every_day)).alias(day))
     span = df.groupBy(*keys).agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
-    return span.filter(F.col("_lo").isNotNull()).select(
-        *keys, F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 day"))).alias(day)
-    )
+    return span.filter(F.col("_lo").isNotNull()).select(*keys, F.explode(F.sequence("_lo", "_hi", every_day)).alias(day))

@@ -59,12 +59,12 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
         held.unpersist()
 
 
-def _fit_best(features: DataFrame, k: int, starts: int, seed: int, parallelism: int) -> KMeansModel:
+def _fit_best(features: DataFrame, k: int, starts: int, seed: int, parallelism: int, max_iter: int) -> KMeansModel:
     """Lowest cost of ``starts`` fits; the first wins a tie. Fits run side by side, so
     small ones fill the executors that a single fit would leave idle."""
 
     def fit(s: int) -> KMeansModel:
-        return KMeans(k=k, seed=s, featuresCol="features", predictionCol="cluster").fit(features)
+        return KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(features)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         models = list(pool.map(inheritable_thread_target(features.sparkSession)(fit), range(seed, seed + starts)))
@@ -72,11 +72,12 @@ def _fit_best(features: DataFrame, k: int, starts: int, seed: int, parallelism:
 
 
 def fit_kmeans(
-    df: DataFrame, k: int, embedding: str = "embedding", starts: int = 10, seed: int = 42, parallelism: int = 8
+    df: DataFrame, k: int, embedding: str = "embedding", starts: int = 10, seed: int = 42, parallelism: int = 8,
+    max_iter: int = 300,
 ) -> KMeansModel:
     """K-means, best of several starts."""
     with _kept(as_features(df, embedding)) as features:
-        return _fit_best(features, k, starts, seed, parallelism)
+        return _fit_best(features, k, starts, seed, parallelism, max_iter)
 
 
 def assign(model: KMeansModel, df: DataFrame, embedding: str = "embedding") -> DataFrame:
@@ -93,7 +94,7 @@ class BestK:
 
 def best_k(
     df: DataFrame, ks: Iterable[int] = range(3, 11), embedding: str = "embedding", starts: int = 10, seed: int = 42,
-    parallelism: int = 8,
+    parallelism: int = 8, max_iter: int = 300,
 ) -> BestK:
     """The k with the highest silhouette; the smaller k on a tie.
 
@@ -106,7 +107,7 @@ def best_k(
         scores: dict[int, float] = {}
         chosen: tuple[int, KMeansModel] | None = None
         for k in sorted(ks):
-            model = _fit_best(features, k, starts, seed, parallelism)
+            model = _fit_best(features, k, starts, seed, parallelism, max_iter)
             if sum(1 for size in model.summary.clusterSizes if size) < 2:
                 scores[k] = -1.0
             else:
@@ -156,7 +157,7 @@ def silhouette_exact(
         totals = np.zeros((len(a), len(labels)))
         for at in range(0, len(a), 256):
             part = x[at : at + 256]
-            gap = np.sqrt(((part[:, None, :] - y[None, :, :]) ** 2).sum(axis=2)) if len(y) <= 512 else _distances(part, y)
+            gap = _distances(part, y)
             for j in range(len(labels)):
                 totals[at : at + 256, j] = gap[:, codes == j].sum(axis=1)
         size = np.bincount(codes, minlength=len(labels))
@@ -193,11 +194,12 @@ def silhouette_exact(
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Euclidean distances in column strips, which keeps the difference array small."""
+    """Euclidean distances, in strips of y that keep the difference array near 32 MB."""
+    strip = max(1, 4_000_000 // x.size)
     out = np.empty((len(x), len(y)))
-    for at in range(0, len(y), 512):
-        part = y[at : at + 512]
-        out[:, at : at + 512] = np.sqrt(((x[:, None, :] - part[None, :, :]) ** 2).sum(axis=2))
+    for at in range(0, len(y), strip):
+        part = y[at : at + strip]
+        out[:, at : at + strip] = np.sqrt(((x[:, None, :] - part[None, :, :]) ** 2).sum(axis=2))
     return out
 
 

@@ -9,7 +9,7 @@ from datetime import date
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,12 @@ def scan_tsv(spark: SparkSession, path: str | list[str], width: int, multi_line:
     )
 
 
+def _touch(any_column: str) -> Column:
+    """Always true, and names a parsed column: Spark refuses a scan that needs only the
+    corrupt-record column, as a count of dead letters otherwise would."""
+    return F.coalesce(F.col(any_column).cast("string"), F.lit("")) >= ""
+
+
 def scan_feed(
     spark: SparkSession,
     path: str | list[str],
@@ -68,12 +74,15 @@ def scan_feed(
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_RECORD)
+        # A pruned scan would not see that a row has the wrong width.
+        .option("columnPruning", False)
         .csv(path)
         .select(*names, BAD_RECORD, F.col("_metadata.file_path").alias("file"))
     )
     unquoted = F.regexp_replace(F.col(BAD_RECORD), '"[^"]*"', "")
     tabs = F.regexp_count(unquoted, F.lit("\t"))
     good = F.col(BAD_RECORD).isNull() | (tabs == len(names) - 2)
+    raw = raw.filter(_touch(names[0]))
     named = null_tokens(raw.filter(good).select(*names), na_tokens)
     dead = raw.filter(~good).select(
         "file",
@@ -126,6 +135,7 @@ def scan_json_array(
         .option("columnNameOfCorruptRecord", BAD_RECORD)
         .json(path)
         .select("*", F.col("_metadata.file_path").alias("file"))
+        .filter(_touch(schema.names[0]))
     )
     rows = raw.filter(F.col(BAD_RECORD).isNull()).select(*schema.names)
     dead = raw.filter(F.col(BAD_RECORD).isNotNull()).select(

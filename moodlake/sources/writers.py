@@ -12,9 +12,15 @@ from moodlake.operators.dedup import keep_first
 from moodlake.session import scratch_path
 
 
+def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought together by output folder, so that a folder gets few files; AQE
+    splits a folder that holds too much for one task."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """UTF-8 JSON records, one per line, optionally in partition folders."""
-    df.write.mode(mode).partitionBy(*partition_by).option("ignoreNullFields", False).json(path)
+    balanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).option("ignoreNullFields", False).json(path)
 
 
 def write_csv(df: DataFrame, path: str, decimals: int | None = 3, mode: str = "overwrite") -> None:
@@ -38,7 +44,7 @@ def write_embeddings(df: DataFrame, path: str, key: str, vector: str, mode: str
 def write_texts(df: DataFrame, path: str, partition_by: Sequence[str] = ("date", "group"), mode: str = "append") -> None:
     """Cleaned text corpus with its key, partitioned. Replaces only partitions present
     in ``df`` when ``mode`` is 'overwrite'."""
-    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    balanced(df, partition_by).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def split_failures(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
@@ -78,13 +84,12 @@ def upsert_keep_existing(
         stored = stored.filter(F.col(date).isin(days))
         fresh = fresh.join(stored.select(date, key), [date, key], "left_anti")
     if stored is None or not rewrite:
-        fresh.write.mode("append").partitionBy(date).parquet(path)
+        balanced(fresh, [date]).write.mode("append").partitionBy(date).parquet(path)
         return
     stage = scratch_path(spark, "upsert")
-    stored.unionByName(fresh).write.partitionBy(date).parquet(stage)
+    balanced(stored.unionByName(fresh), [date]).write.partitionBy(date).parquet(stage)
     (
-        spark.read.schema(new.schema)
-        .parquet(stage)
+        balanced(spark.read.schema(new.schema).parquet(stage), [date])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date)
