@@ -9,6 +9,7 @@ from moodlake.catalog.records import STOP_WORDS
 from moodlake.catalog.registry import query, sql_list, table
 from moodlake.operators import clustering
 from moodlake.operators.representatives import representative_texts
+from moodlake.session import spread_tasks
 
 
 @query()
@@ -92,7 +93,7 @@ def _representatives_sql(top_n: int) -> str:
 @query(f"WITH {_representatives_sql(5)} SELECT source, rank, doc_id, round(score, 6) AS score, text FROM reps")
 def tfidf_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    top = representative_texts(docs, "doc_id", "source", "text", stop_words=STOP_WORDS)
+    top = representative_texts(docs, "doc_id", "source", "text", stop_words=STOP_WORDS, tasks=spread_tasks(docs))
     return top.withColumn("score", F.round("score", 6)).withColumn("rank", F.col("rank").cast("long"))
 
 
@@ -108,6 +109,6 @@ def tfidf_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    report = clustering.cluster_report(docs, "doc_id", "source", "lang", "text", stop_words=STOP_WORDS)
+    report = clustering.cluster_report(docs, "doc_id", "source", "lang", "text", stop_words=STOP_WORDS, tasks=spread_tasks(docs))
     entries = F.transform(F.array_sort(F.map_entries("group_distribution")), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
     return report.withColumn("percentage", F.round("percentage", 6)).withColumn("group_distribution", F.array_join(entries, ","))

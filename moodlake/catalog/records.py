@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, sql_list, table
+from moodlake.catalog.registry import query, sql_list, table, texts
 from moodlake.functions import text as tx
 from moodlake.functions import times as tm
 from moodlake.operators import joins, series
@@ -222,7 +222,7 @@ def text_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def tokenize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_totals(table(spark, sf_dir, "documents"), "text", STOP_WORDS)
+    return token_totals(texts(spark, sf_dir, "documents", "text"), "text", STOP_WORDS)
 
 
 @query(
@@ -279,7 +279,7 @@ _TAGS = "</?(p|div|h[2-6]|li|ul|ol|tr|table|section|blockquote)(\\s[^>]*)?/?>|<b
     """
 )
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", tx.html_to_text("html").alias("text"))
+    return texts(spark, sf_dir, "pages", "page_id", "html").select("page_id", tx.html_to_text("html").alias("text"))
 
 
 @query("SELECT lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, COUNT(*) AS n FROM pages GROUP BY 1")

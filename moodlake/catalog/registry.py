@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodlake.session import use_utc
+from moodlake.session import spread, use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents", *columns: str) -> DataFrame:
+    """The columns of a table that heavy text work is done on, over all cores."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def sql_list(words) -> str:
     """Words as a SQL list of string literals."""
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)

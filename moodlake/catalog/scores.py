@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, sql_list, table
+from moodlake.catalog.registry import query, sql_list, table, texts
 from moodlake.functions.text import truncate
 from moodlake.operators.clustering import embed_hashing as embed_hashed
 from moodlake.operators.clustering import embed_model
@@ -35,7 +35,7 @@ def _scored_sql(text: str) -> str:
 
 @query(f"SELECT doc_id, label, round(score, 6) AS score FROM ({_scored_sql('text')})")
 def score_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_words(table(spark, sf_dir, "documents"), "text", POSITIVE, NEGATIVE)
+    scored = score_words(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", POSITIVE, NEGATIVE)
     return scored.select("doc_id", "label", F.round("score", 6).alias("score"))
 
 
@@ -64,7 +64,7 @@ def _word_model():
 
 @query(f"SELECT doc_id, label, round(score, 6) AS score, NULL AS error FROM ({_scored_sql('text')})")
 def score_model_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_model(table(spark, sf_dir, "documents"), "text", _word_model, ["doc_id"])
+    scored = score_model(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", _word_model, ["doc_id"])
     return scored.select("doc_id", "label", F.round("score", 6).alias("score"), "error")
 
 
@@ -82,20 +82,20 @@ _BY_SOURCE = f"""
 @query(f"SELECT source, n_rows, n_label, share, mean_score FROM ({_BY_SOURCE})")
 def label_share_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct documents, scored, summarised per source."""
-    summary = sentiment_by_group(table(spark, sf_dir, "documents"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
+    summary = sentiment_by_group(texts(spark, sf_dir, "documents", "doc_id", "text", "source"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
     return summary.select("source", "n_rows", "n_label", *[F.round(c, 6).alias(c) for c in ("share", "mean_score")])
 
 
 @query(f"SELECT source, intensity FROM ({_BY_SOURCE})")
 def label_intensity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = sentiment_by_group(table(spark, sf_dir, "documents"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
+    summary = sentiment_by_group(texts(spark, sf_dir, "documents", "doc_id", "text", "source"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
     return summary.select("source", F.round("intensity", 6).alias("intensity"))
 
 
 @query()
 def embed_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed word-count vectors; the hash has no SQL equivalent."""
-    return embed_hashed(table(spark, sf_dir, "documents"), "text").select("doc_id", "embedding")
+    return embed_hashed(texts(spark, sf_dir, "documents", "doc_id", "text"), "text").select("doc_id", "embedding")
 
 
 _LETTERS = "aeinst"
@@ -115,5 +115,5 @@ def _letter_model():
 )
 def embed_model_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A caller's model that maps a text to a vector, in batches of 32."""
-    embedded = embed_model(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", _letter_model)
+    embedded = embed_model(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", _letter_model)
     return embedded.select("doc_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"n_{c}") for i, c in enumerate(_LETTERS)])

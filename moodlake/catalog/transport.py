@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.catalog.registry import query, table
+from moodlake.catalog.registry import query, table, texts
 from moodlake.operators.dedup import union_batches
 from moodlake.operators.scoring import score_model
 from moodlake.operators.summary import label_summary
@@ -237,7 +237,7 @@ _DEAD = T.StructType(
 @query("SELECT source AS \"group\", doc_id AS id, 'ValueError: unreadable marker' AS error FROM documents WHERE contains(text, '###')")
 def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model that raises on some texts: those rows alone are dead letters."""
-    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("group"), F.col("doc_id").alias("id"), "text")
+    docs = texts(spark, sf_dir, "documents", "source", "doc_id", "text").select(F.col("source").alias("group"), F.col("doc_id").alias("id"), "text")
     # Written first, so that the model runs once however often the result is split.
     scored = settle(score_model(docs, "text", _fussy_scorer, ["group", "id"]), "scored")
     _, dead = writers.split_failures(scored)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,12 +75,15 @@ def tokens(c: Column | str, min_len: int = 2) -> Column:
     return F.regexp_extract_all(F.lower(_col(c)), F.lit(WORD + "{%d,}" % min_len), F.lit(0))
 
 
-def count_words(c: Column | str, words: Sequence[str]) -> Column:
-    """How often any of the (lower-case) words occurs as a whole word."""
-    if not words:
-        return F.lit(0)
-    body = "|".join(re.escape(w) for w in sorted(words))
-    return F.regexp_count(F.lower(_col(c)), F.lit(rf"(?<!{WORD})(?:{body})(?!{WORD})"))
+def find_words(c: Column | str, words: Iterable[str]) -> Column:
+    """Every whole-word occurrence of the (lower-case) words, as an array.
+
+    One pass over the text however many words there are.
+    """
+    body = "|".join(re.escape(w) for w in sorted(set(words)))
+    if not body:
+        return F.when(_col(c).isNotNull(), F.array().cast("array<string>"))
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(rf"(?<!{WORD})(?:{body})(?!{WORD})"), F.lit(0))
 
 
 def url_host(c: Column | str) -> Column:

@@ -229,10 +229,10 @@ def cluster_group_map(df: DataFrame, cluster: str, group: str) -> DataFrame:
 
 def cluster_report(
     df: DataFrame, doc: str, cluster: str, group: str, text: str, preview: int = 100, stop_words: Sequence[str] = (),
-    n_clusters: int | None = None,
+    n_clusters: int | None = None, tasks: int | None = None,
 ) -> DataFrame:
     """(cluster, size, percentage, representative preview, group_distribution)."""
-    first = representative_texts(df, doc, cluster, text, top_n=1, stop_words=stop_words)
+    first = representative_texts(df, doc, cluster, text, top_n=1, stop_words=stop_words, tasks=tasks)
     return (
         cluster_sizes(df, cluster, n_clusters)
         .join(first.select(cluster, truncate(text, preview).alias("representative")), cluster, "left")

@@ -10,22 +10,31 @@ from pyspark.sql import functions as F
 from moodlake.functions.text import tokens
 from moodlake.session import settle
 
-# A (cluster, term) is hot when more than 1 in HOT_SHARE of all counts are its own, so
-# there are fewer than HOT_SHARE hot pairs at any data size: safe to broadcast.
+# A (cluster, term) is hot when it has more than 1 in HOT_SHARE of all rows, so there
+# are fewer than HOT_SHARE hot pairs at any data size: a bound for their broadcast.
 HOT_SHARE = 10_000
-_SALTS = 1024
+_SPREAD = 1024
 
 
 def term_counts(docs: DataFrame, doc: str, text: str, keep: Sequence[str] = (), stop_words: Sequence[str] = ()) -> DataFrame:
     """(doc, keep..., term, tf).
 
-    Texts are spread by document first. A document's tokens then all sit in one task
-    and are counted there: the exploded tokens are never shuffled.
+    Counts inside the row, as the lengths of the runs of the sorted tokens, so neither
+    the texts nor the tokens are shuffled.
     """
-    words = docs.repartition(F.col(doc)).select(doc, *keep, F.explode(tokens(text)).alias("term"))
-    if stop_words:
-        words = words.filter(~F.col("term").isin(list(stop_words)))
-    return words.groupBy(doc, *keep, "term").agg(F.count("*").alias("tf"))
+    words = docs.select(doc, *keep, F.sort_array(tokens(text)).alias("_w"))
+    n = F.size("_w")
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+
+    def starts_run(i):
+        return (i == 1) | (F.element_at("_w", i) != F.element_at("_w", F.greatest(i - 1, F.lit(1))))
+
+    def run(at, j):
+        return F.struct(F.element_at("_w", at).alias("term"), (F.coalesce(F.get("_at", j + 1), n + 1) - at).alias("tf"))
+
+    runs = words.withColumn("_at", F.filter(places, starts_run))
+    counted = runs.select(doc, *keep, F.explode(F.transform("_at", run)).alias("_run")).select(doc, *keep, "_run.*")
+    return counted.filter(~F.col("term").isin(list(stop_words))) if stop_words else counted
 
 
 def token_totals(docs: DataFrame, text: str, stop_words: Sequence[str] = ()) -> DataFrame:
@@ -36,39 +45,42 @@ def token_totals(docs: DataFrame, text: str, stop_words: Sequence[str] = ()) ->
     return words.groupBy("term").agg(F.count("*").alias("n"))
 
 
-def _with_document_frequency(tf: DataFrame, doc: str, cluster: str) -> DataFrame:
+def with_document_frequency(tf: DataFrame, doc: str, cluster: str) -> DataFrame:
     """Adds df, the number of the cluster's documents that hold the term.
 
     A plain join on (cluster, term) would send all rows of a common term to one task.
     Hot terms are joined by a broadcast whose row count has a fixed bound; the others
-    by a shuffle in which each key is small. Rows done in the first step take a salted
-    key no cold term has, so they spread evenly through the second.
+    by a join in which each key is small. Rows done in the first step get a key that no
+    term can equal, spread by document, so they pass the second one evenly.
     """
     df = tf.groupBy(cluster, "term").agg(F.count("*").alias("df"))
-    all_counts = df.agg(F.sum("df")).scalar()
-    is_hot = F.col("df") * F.lit(HOT_SHARE) > all_counts
+    is_hot = F.col("df") * F.lit(HOT_SHARE) > F.lit(tf.count())
     hot = df.filter(is_hot).select(cluster, "term", F.col("df").alias("_hot"))
-    cold = df.filter(~is_hot).select(cluster, "term", F.col("df").alias("_cold"), F.lit(-1).alias("_salt"))
-    salt = F.when(F.col("_hot").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(doc), F.lit(_SALTS)).cast("int"))
+    cold = df.filter(~is_hot).select(cluster, F.col("term").alias("_key"), F.col("df").alias("_cold"))
+    aside = F.concat(F.lit("#"), F.pmod(F.xxhash64(doc), F.lit(_SPREAD)).cast("string"))
     return (
         tf.join(F.broadcast(hot), [cluster, "term"], "left")
-        .withColumn("_salt", salt)
-        .join(cold, [cluster, "term", "_salt"], "left")
+        .withColumn("_key", F.when(F.col("_hot").isNull(), F.col("term")).otherwise(aside))
+        .join(cold, [cluster, "_key"], "left")
         .withColumn("df", F.coalesce("_hot", "_cold"))
-        .drop("_hot", "_cold", "_salt")
+        .drop("_hot", "_cold", "_key")
     )
 
 
 def document_scores(
-    docs: DataFrame, doc: str, cluster: str, text: str, stop_words: Sequence[str] = ()
+    docs: DataFrame, doc: str, cluster: str, text: str, stop_words: Sequence[str] = (), tasks: int | None = None
 ) -> DataFrame:
     """(doc, cluster, score); 0 for a document without any term.
 
     Weight is tf * (ln((1+n)/(1+df)) + 1) with n and df taken inside the cluster; the
-    score is the sum of the document's weights after scaling them to unit length.
+    score is the sum of the document's weights after scaling them to unit length. The
+    term counts are written once, since they are read for df and again for the sums.
+    ``tasks`` spreads the texts for counting, for a table with fewer splits than cores.
     """
     sizes = docs.groupBy(cluster).agg(F.count("*").alias("_n"))
-    counted = _with_document_frequency(term_counts(docs, doc, text, [cluster], stop_words), doc, cluster)
+    grouped = docs.filter(F.col(cluster).isNotNull())
+    counts = settle(term_counts(grouped.repartition(tasks) if tasks else grouped, doc, text, [cluster], stop_words), "terms")
+    counted = with_document_frequency(counts, doc, cluster)
     no_terms = docs.select(doc, cluster, F.lit(0).alias("tf"), F.lit(0).alias("df"))
     # With A = ln(1+n)+1 a weight is tf*(A - ln(1+df)), so five sums per document are
     # enough and the cluster size joins one row per document, not one per term.
@@ -88,7 +100,8 @@ def document_scores(
 
 
 def representative_texts(
-    docs: DataFrame, doc: str, cluster: str, text: str, top_n: int = 5, stop_words: Sequence[str] = ()
+    docs: DataFrame, doc: str, cluster: str, text: str, top_n: int = 5, stop_words: Sequence[str] = (),
+    tasks: int | None = None,
 ) -> DataFrame:
     """(cluster, rank, doc, score, text): the ``top_n`` best documents of each cluster.
 
@@ -99,7 +112,7 @@ def representative_texts(
     """
     best = Window.partitionBy(cluster).orderBy(F.desc(F.round("score", 9)), doc)
     top = (
-        document_scores(docs, doc, cluster, text, stop_words)
+        document_scores(docs, doc, cluster, text, stop_words, tasks)
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top_n)
         .withColumn("_best", F.max("score").over(Window.partitionBy(cluster)))

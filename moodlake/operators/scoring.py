@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.functions.text import count_words
+from moodlake.functions.text import find_words
 from moodlake.schemas import SCORE_FIELDS
 
 # Texts in, (label, score) per text out. The factory runs once per task.
@@ -22,8 +22,11 @@ def score_words(df: DataFrame, text: str, positive: Sequence[str], negative: Seq
     The label is the side with more words, 'neutral' on a tie; the score is that side's
     share with one added to both counts. Null text gives null label and score.
     """
-    pos, neg = count_words(text, positive), count_words(text, negative)
-    counted = df.withColumn("_pos", pos).withColumn("_neg", neg)
+    def hits(words: Sequence[str]):
+        return F.size(F.filter("_hits", lambda w: w.isin(list(words)))) if words else F.size(F.slice("_hits", 1, 0))
+
+    found = df.withColumn("_hits", find_words(text, [*positive, *negative]))
+    counted = found.withColumn("_pos", hits(positive)).withColumn("_neg", hits(negative))
     label = (
         F.when(F.col("_neg") > F.col("_pos"), "negative")
         .when(F.col("_pos") > F.col("_neg"), "positive")
@@ -31,7 +34,7 @@ def score_words(df: DataFrame, text: str, positive: Sequence[str], negative: Seq
     )
     top = F.greatest("_pos", "_neg")
     score = F.when(label.isNotNull(), (top + 1) / (F.col("_pos") + F.col("_neg") + 2))
-    return counted.withColumn("label", label).withColumn("score", score).drop("_pos", "_neg")
+    return counted.withColumn("label", label).withColumn("score", score).drop("_hits", "_pos", "_neg")
 
 
 def score_model(

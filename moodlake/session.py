@@ -66,3 +66,18 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_tasks(scan: DataFrame) -> int | None:
+    """The number of cores if a file scan has fewer splits than that, else None."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return cores if scan.rdd.getNumPartitions() < cores else None
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core a share of heavy per-row work on a table in a few small files.
+
+    A table with more splits than cores is returned as it is.
+    """
+    tasks = spread_tasks(scan)
+    return scan.repartition(tasks) if tasks else scan
