@@ -68,7 +68,8 @@ def _fit_best(features: DataFrame, k: int, starts: int, seed: int, parallelism:
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         models = list(pool.map(inheritable_thread_target(features.sparkSession)(fit), range(seed, seed + starts)))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    # Nine digits: the last ones change with the order in which tasks are summed.
+    return min(models, key=lambda m: float(f"{m.summary.trainingCost:.9g}"))
 
 
 def fit_kmeans(
