@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,14 @@ from moodlake.streaming import streams
 # Longer than any overlap of two collection runs below.
 _LAG = "3 days"
 
+# The values an event has in the first run that collects it.
+_FIRST_SEEN = """
+    WITH d AS (SELECT *, date_diff('day', CAST((SELECT min(ts) FROM events) AS DATE), CAST(ts AS DATE)) AS since FROM events),
+    seen AS (
+      SELECT event_id, event_type, ts,
+             CASE WHEN since < 11 THEN value WHEN since < 21 THEN value + 1000 ELSE value + 2000 END AS value FROM d)
+"""
+
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
@@ -19,26 +29,28 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.read_files(spark, f"{sf_dir}/events.parque[t]", schema)
 
 
-def _overlapping_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole table as three collection runs, each starting a day before the last
-    one ended, read one run at a time. A later run carries other values."""
+def _overlapping_runs(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """The whole table as three collection runs, each starting a day before the last one
+    ended. A later run carries other values. Gives a stream over the landing folder each
+    time one more run is there."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value", F.to_date("ts").alias("date"))
-    first = events.agg(F.min("ts")).scalar()
-    since = F.date_diff("ts", first)
+    since = F.date_diff("ts", events.agg(F.min("ts")).scalar())
     path = scratch_path(spark, "runs")
-    for i, (low, high) in enumerate(((None, 11), (10, 21), (20, None))):
-        run = events if low is None else events.filter(since >= low)
-        run = run if high is None else run.filter(since < high)
-        # One folder per run, written in order: the source takes the oldest files first.
-        run.withColumn("value", F.col("value") + 1000 * i).write.parquet(f"{path}/run={i}")
-    return streams.read_files(spark, f"{path}/*", events.schema, files_per_batch=None).select(*events.columns)
+    for i, (low, high) in enumerate(((0, 11), (10, 21), (20, 1_000_000))):
+        run = events.filter((since >= low) & (since < high)).withColumn("value", F.col("value") + 1000 * i)
+        run.write.parquet(f"{path}/run={i}")
+        yield streams.read_files(spark, f"{path}/*", events.schema)
 
 
-@query("SELECT event_id, event_type, CAST(ts AS VARCHAR) AS ts FROM events")
+@query(f"{_FIRST_SEEN} SELECT event_id, event_type, CAST(ts AS VARCHAR) AS ts, value FROM seen")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fresh = streams.dedup_stream(_overlapping_runs(spark, sf_dir), "event_id", "ts", _LAG)
-    stored = streams.run_to_table(fresh, scratch_path(spark, "stream-dedup"))
-    return stored.select("event_id", "event_type", F.col("ts").cast("string").alias("ts"))
+    """One streaming job, started again after each run; its checkpoint is the marker of
+    what has been collected."""
+    path, checkpoint = scratch_path(spark, "stream-dedup"), scratch_path(spark, "stream-dedup-state")
+    for stream in _overlapping_runs(spark, sf_dir):
+        fresh = streams.dedup_stream(stream, "event_id", "ts", _LAG)
+        stored = streams.run_to_table(fresh, path, checkpoint=checkpoint)
+    return stored.select("event_id", "event_type", F.col("ts").cast("string").alias("ts"), "value")
 
 
 @query("SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y%m%d%H%M%S') AS slot, COUNT(*) AS n_rows FROM events GROUP BY 1")
@@ -65,15 +77,10 @@ def stream_label_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    """
-    WITH d AS (SELECT *, date_diff('day', CAST((SELECT min(ts) FROM events) AS DATE), CAST(ts AS DATE)) AS since FROM events)
-    SELECT event_id, CASE WHEN since < 11 THEN value WHEN since < 21 THEN value + 1000 ELSE value + 2000 END AS value FROM d
-    """
-)
+@query(f"{_FIRST_SEEN} SELECT event_id, value FROM seen")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs added to the stored days: a record keeps the values it was first stored with."""
-    runs = _overlapping_runs(spark, sf_dir)
-    path = scratch_path(spark, "stream-upsert")
-    streams.upsert_stream(runs, path, "event_id", ["value"])
-    return spark.read.schema(runs.schema).parquet(path).select("event_id", "value")
+    path, checkpoint = scratch_path(spark, "stream-upsert"), scratch_path(spark, "stream-upsert-state")
+    for stream in _overlapping_runs(spark, sf_dir):
+        streams.upsert_stream(stream, path, "event_id", ["value"], checkpoint=checkpoint)
+    return spark.read.schema(stream.schema).parquet(path).select("event_id", "value")

@@ -91,6 +91,21 @@ def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+@query("SELECT text, COUNT(*) AS n FROM documents GROUP BY text")
+def scan_text_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of about a thousand documents each, one JSON array of strings per file."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_files = max(1, -(-docs.count() // _ROWS_PER_DOCUMENT))
+    path = scratch_path(spark, "text-array")
+    (
+        docs.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(n_files)).alias("part"))
+        .agg(F.to_json(F.collect_list("text")).alias("value"))
+        .write.partitionBy("part").text(path)
+    )
+    rows, _ = readers.scan_text_array(spark, f"{path}/*")
+    return rows.groupBy("text").agg(F.count("*").alias("n"))
+
+
 @query("SELECT event_id, user_id, value FROM events WHERE event_type = 'error'")
 def scan_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", F.to_date("ts").alias("date"), "event_type")

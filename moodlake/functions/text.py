@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +20,11 @@ WHITESPACE = (
 WORD = r"[\p{L}\p{N}_]"
 
 
+def english_stop_words() -> list[str]:
+    """Spark's own English list, for callers without one."""
+    return StopWordsRemover.loadDefaultStopWords("english")
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moodlake.session import settle
+
 
 def attach_scores(docs: DataFrame, scores: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Scores (or labels, or clusters) joined to their rows by key, not by position."""
@@ -20,19 +22,21 @@ def assign_windows(
     """Every fact with every window its time falls in.
 
     Time is cut into buckets; a window is listed once per bucket it touches, and the
-    join is an equi-join on the bucket with the exact bounds as a residual test. So it
-    is never a nested loop: Spark broadcasts the windows if their size is under its
-    threshold and otherwise sorts, where AQE splits a bucket that holds too many facts.
+    join is an equi-join on the bucket with the exact bounds as a residual test. The
+    listed windows are written first, so Spark knows their size: under its threshold it
+    broadcasts them and the facts are not shuffled; above it both sides are sorted by
+    bucket, and AQE splits a bucket that holds too many facts.
     """
     if bounds not in ("half_open", "closed"):
         raise ValueError(f"bounds must be 'half_open' or 'closed', not {bounds!r}")
 
     def bucket(c):
-        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("long")
+        return F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(bucket_seconds)).cast("long")
 
     listed = windows.filter(F.col(start) <= F.col(end)).withColumn(
         "_bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end))))
     )
+    listed = settle(listed, "windows")
     t = F.col(ts)
     upper = t <= F.col(end) if bounds == "closed" else t < F.col(end)
     keyed = facts.withColumn("_bucket", bucket(t))
@@ -40,13 +44,17 @@ def assign_windows(
 
 
 def missing_from(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Expected keys with no actual row."""
-    return expected.select(*keys).distinct().join(actual.select(*keys), list(keys), "left_anti")
+    """Expected keys with no actual row.
+
+    Actual keys are made distinct first: that is combined in each task, so a key with
+    very many rows does not travel row by row.
+    """
+    return expected.select(*keys).distinct().join(actual.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def present_in(rows: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys occur in the other frame."""
-    return rows.join(actual.select(*keys), list(keys), "left_semi")
+    return rows.join(actual.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def expected_outputs(days: DataFrame, sets: Sequence[str], name: str = "output") -> DataFrame:

@@ -23,7 +23,7 @@ def term_counts(docs: DataFrame, doc: str, text: str, keep: Sequence[str] = (),
     the texts nor the tokens are shuffled.
     """
     words = docs.select(doc, *keep, F.sort_array(tokens(text)).alias("_w"))
-    n = F.size("_w")
+    n = F.array_size("_w")
     places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
 
     def starts_run(i):

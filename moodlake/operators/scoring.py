@@ -23,7 +23,7 @@ def score_words(df: DataFrame, text: str, positive: Sequence[str], negative: Seq
     share with one added to both counts. Null text gives null label and score.
     """
     def hits(words: Sequence[str]):
-        return F.size(F.filter("_hits", lambda w: w.isin(list(words)))) if words else F.size(F.slice("_hits", 1, 0))
+        return F.array_size(F.filter("_hits", lambda w: w.isin(list(words)) if words else F.lit(False)))
 
     found = df.withColumn("_hits", find_words(text, [*positive, *negative]))
     counted = found.withColumn("_pos", hits(positive)).withColumn("_neg", hits(negative))

@@ -19,6 +19,13 @@ def build_session(master: str | None = None, app: str = "moodlake", **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # A text may be 100 KB and more; this bounds what a Python worker holds at once.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        # Deduplication state may outgrow the heap; RocksDB keeps it on disk.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master)

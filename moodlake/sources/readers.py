@@ -144,6 +144,18 @@ def scan_json_array(
     return null_tokens(rows, nan_tokens), dead
 
 
+def scan_text_array(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Files that each hold one JSON array of strings: (file, position, text) rows and
+    dead letters. The position is the text's place in its file, which is its key."""
+    files = spark.read.option("wholetext", True).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("record")
+    )
+    parsed = files.withColumn("texts", F.from_json("record", "array<string>"))
+    rows = parsed.select("file", F.posexplode("texts").alias("position", "text"))
+    dead = parsed.filter(F.col("texts").isNull()).select("file", F.lit("not a JSON array of strings").alias("error"), "record")
+    return rows, dead
+
+
 def read_partition(
     spark: SparkSession,
     root: str,

@@ -118,5 +118,15 @@ def test_html_to_text(spark, html, text):
     assert one(spark, html, tx.html_to_text("x")) == text
 
 
+def test_large_pages_do_not_overflow_the_stack(spark):
+    page = "<article><p>" + "word <b>x</b> " * 150_000 + "</p></article>"
+    assert one(spark, page, F.char_length(tx.html_to_text("x"))) == len("word x " * 150_000) - 1
+    assert one(spark, "a" * 2_000_000, F.array_size(tx.tokens("x"))) == 1
+
+
+def test_english_stop_words(spark):
+    assert "the" in tx.english_stop_words()
+
+
 def test_empty_html_is_empty_not_null(spark):
     assert one(spark, "<p> </p>", F.char_length(tx.html_to_text("x"))) == 0

@@ -69,6 +69,14 @@ def test_json_array_nan_and_truncated_file(spark, tmp_path):
     assert dead.first().file.endswith("cut.json")
 
 
+def test_text_array_keeps_positions(spark, tmp_path):
+    write(tmp_path / "good.json", '["b", "a\\n", "b"]')
+    write(tmp_path / "cut.json", '["b", "a')
+    rows, dead = readers.scan_text_array(spark, str(tmp_path))
+    assert sorted((r.position, r.text) for r in rows.collect()) == [(0, "b"), (1, "a\n"), (2, "b")]
+    assert [r.file.endswith("cut.json") for r in dead.collect()] == [True]
+
+
 POST = "id string, text string, group string, date date"
 
 
