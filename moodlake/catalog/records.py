@@ -92,7 +92,8 @@ def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT doc_id AS id, text, lang, 'documents' AS batch FROM documents
     UNION ALL SELECT item_id, text, NULL, 'benchmark' FROM benchmark
-    """
+    """,
+    name="union_batches",
 )
 def union_of_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang", F.lit("documents").alias("batch"))

@@ -162,6 +162,22 @@ def asof_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(filled.select("user_id", "date", "filled"))
 
 
+@query(
+    f"""
+    WITH {_LAST}, source AS (
+      SELECT user_id, date, last_value(CASE WHEN value IS NOT NULL THEN date END IGNORE NULLS) OVER
+        (PARTITION BY user_id ORDER BY date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS source_day FROM grid)
+    SELECT s.user_id, CAST(s.date AS VARCHAR) AS date, CAST(s.source_day AS VARCHAR) AS source_day, e.event_id
+    FROM source s JOIN events e ON e.user_id = s.user_id AND CAST(e.ts AS DATE) = s.source_day AND e.event_type = 'error'
+    """
+)
+def carry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days without error events of a user take those of the last day that has some."""
+    errors = table(spark, sf_dir, "events").filter("event_type = 'error'")
+    rows = errors.select("user_id", "event_id", F.to_date("ts").alias("date"))
+    return _rounded(series.carry_rows(rows, keys=["user_id"]).select("user_id", "date", "source_day", "event_id"))
+
+
 def _daily_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return events.groupBy("event_type", F.to_date("ts").alias("date")).agg(F.avg("value").alias("value"))

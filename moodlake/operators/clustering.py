@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -66,8 +67,10 @@ def _fit_best(features: DataFrame, k: int, starts: int, seed: int, parallelism:
     def fit(s: int) -> KMeansModel:
         return KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(features)
 
+    # Wrapped one by one: fits that shared a wrapper would share its job properties.
+    fits = [inheritable_thread_target(features.sparkSession)(partial(fit, seed + i)) for i in range(starts)]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        models = list(pool.map(inheritable_thread_target(features.sparkSession)(fit), range(seed, seed + starts)))
+        models = list(pool.map(lambda run: run(), fits))
     # Nine digits: the last ones change with the order in which tasks are summed.
     return min(models, key=lambda m: float(f"{m.summary.trainingCost:.9g}"))
 

@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodlake.functions.times import calendar
+from moodlake.session import settle
+
 
 def _day_number(day: str) -> Column:
     return F.unix_date(F.col(day))
@@ -45,6 +48,28 @@ def carry_forward(
     )
 
 
+def carry_rows(
+    rows: DataFrame, day: str = "date", keys: Sequence[str] = (), max_age: int = 6, mode: str = "observed"
+) -> DataFrame:
+    """All rows of a day, or on a day without any, those of the last earlier day.
+
+    Covers every day from the first to the last of the frame. A day whose last earlier
+    day is more than ``max_age`` days back stays empty, unless ``mode`` is 'chained'.
+    Adds ``source_day``. The map from days to source days is as small as a calendar; it
+    is written first so that Spark joins it by its true size.
+    """
+    if mode not in ("observed", "chained"):
+        raise ValueError(f"mode must be 'observed' or 'chained', not {mode!r}")
+    keys = list(keys)
+    have = rows.select(*keys, day).distinct()
+    grid = calendar(have, day, keys, shared=True).join(have.withColumn("_seen", F.col(day)), [*keys, day], "left")
+    w = Window.partitionBy(*keys).orderBy(_day_number(day))
+    w = w.rangeBetween(-max_age, 0) if mode == "observed" else w.rowsBetween(Window.unboundedPreceding, 0)
+    source = grid.withColumn("source_day", F.last("_seen", ignorenulls=True).over(w)).filter("source_day IS NOT NULL")
+    days = settle(source.select(*keys, day, "source_day"), "days")
+    return rows.withColumnRenamed(day, "source_day").join(days, [*keys, "source_day"])
+
+
 def _spread(value: str, ddof: int):
     return F.stddev_samp(value) if ddof == 1 else F.stddev_pop(value)
 

@@ -41,6 +41,15 @@ def test_observed_is_never_older_than_the_limit(spark):
     assert all(age is None or age <= 3 for _, age in filled(grid(spark, values), max_age=3))
 
 
+def test_rows_are_carried_over_short_gaps_only(spark):
+    rows = [("a", D0, 1), ("a", D0, 2), ("a", D0 + timedelta(days=9), 3), ("b", D0 + timedelta(days=8), 4)]
+    df = spark.createDataFrame(rows, "k string, date date, id int")
+    got = sorted(((r.date - D0).days, r.id) for r in series.carry_rows(df, keys=["k"], max_age=6).collect())
+    assert got == sorted([(d, i) for d in range(7) for i in (1, 2)] + [(9, 3), (8, 4), (9, 4)])
+    chained = series.carry_rows(df.filter("k = 'a'"), max_age=6, mode="chained")
+    assert chained.count() == 9 * 2 + 1
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         series.carry_forward(grid(spark, [1.0]), mode="guess")
