@@ -60,28 +60,41 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
         held.unpersist()
 
 
-def _fit_best(features: DataFrame, k: int, starts: int, seed: int, parallelism: int, max_iter: int) -> KMeansModel:
-    """Lowest cost of ``starts`` fits; the first wins a tie. Fits run side by side, so
-    small ones fill the executors that a single fit would leave idle."""
+def _fit_all(features: DataFrame, ks: Sequence[int], starts: int, seed: int, max_iter: int) -> dict[int, KMeansModel]:
+    """For each k the cheapest of ``starts`` fits; the first wins a tie.
 
-    def fit(s: int) -> KMeansModel:
-        return KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(features)
+    A fit over many splits fills the cluster, so such fits run one after the other.
+    Fits over few splits leave cores idle and run side by side.
+    """
+
+    def fit(k: int, s: int) -> KMeansModel:
+        # Blocks of dense vectors are multiplied at once instead of row by row.
+        return KMeans(
+            k=k, seed=s, maxIter=max_iter, solver="block", featuresCol="features", predictionCol="cluster"
+        ).fit(features)
 
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    at_once = max(1, 2 * cores // max(1, features.rdd.getNumPartitions()))
+    jobs = [(k, seed + i) for k in ks for i in range(starts)]
     # Wrapped one by one: fits that shared a wrapper would share its job properties.
-    fits = [inheritable_thread_target(features.sparkSession)(partial(fit, seed + i)) for i in range(starts)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+    fits = [inheritable_thread_target(features.sparkSession)(partial(fit, *job)) for job in jobs]
+    with ThreadPoolExecutor(max_workers=min(at_once, len(fits))) as pool:
         models = list(pool.map(lambda run: run(), fits))
-    # Nine digits: the last ones change with the order in which tasks are summed.
-    return min(models, key=lambda m: float(f"{m.summary.trainingCost:.9g}"))
+    best: dict[int, tuple[float, KMeansModel]] = {}
+    for (k, _), model in zip(jobs, models):
+        # Nine digits: the last ones change with the order in which tasks are summed.
+        cost = float(f"{model.summary.trainingCost:.9g}")
+        if k not in best or cost < best[k][0]:
+            best[k] = (cost, model)
+    return {k: model for k, (_, model) in best.items()}
 
 
 def fit_kmeans(
-    df: DataFrame, k: int, embedding: str = "embedding", starts: int = 10, seed: int = 42, parallelism: int = 8,
-    max_iter: int = 300,
+    df: DataFrame, k: int, embedding: str = "embedding", starts: int = 10, seed: int = 42, max_iter: int = 300
 ) -> KMeansModel:
     """K-means, best of several starts."""
     with _kept(as_features(df, embedding)) as features:
-        return _fit_best(features, k, starts, seed, parallelism, max_iter)
+        return _fit_all(features, [k], starts, seed, max_iter)[k]
 
 
 def assign(model: KMeansModel, df: DataFrame, embedding: str = "embedding") -> DataFrame:
@@ -98,27 +111,25 @@ class BestK:
 
 def best_k(
     df: DataFrame, ks: Iterable[int] = range(3, 11), embedding: str = "embedding", starts: int = 10, seed: int = 42,
-    parallelism: int = 8, max_iter: int = 300,
+    max_iter: int = 300,
 ) -> BestK:
     """The k with the highest silhouette; the smaller k on a tie.
 
     Uses the squared-Euclidean silhouette, which needs only the cluster sums and so is
     one linear pass per k. ``silhouette_exact`` has the all-pairs form.
     """
+    ks = sorted(set(ks))
     with _kept(as_features(df, embedding)) as features:
-        # More than one distinct prediction is needed for a silhouette; a fit that
-        # collapsed to one cluster cannot win.
+        models = _fit_all(features, ks, starts, seed, max_iter)
         scores: dict[int, float] = {}
-        chosen: tuple[int, KMeansModel] | None = None
-        for k in sorted(ks):
-            model = _fit_best(features, k, starts, seed, parallelism, max_iter)
-            if sum(1 for size in model.summary.clusterSizes if size) < 2:
+        for k in ks:
+            # A silhouette needs two clusters; a fit that collapsed to one cannot win.
+            if sum(1 for size in models[k].summary.clusterSizes if size) < 2:
                 scores[k] = -1.0
             else:
-                scores[k] = _evaluator("cluster").evaluate(model.transform(features))
-            if chosen is None or scores[k] > scores[chosen[0]]:
-                chosen = (k, model)
-    return BestK(chosen[0], chosen[1], scores)
+                scores[k] = _evaluator("cluster").evaluate(models[k].transform(features))
+    chosen = max(ks, key=lambda k: (round(scores[k], 12), -k))
+    return BestK(chosen, models[chosen], scores)
 
 
 def _evaluator(cluster: str) -> ClusteringEvaluator:
