@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from moodlake.session import spread, use_utc
 
@@ -40,6 +41,21 @@ def texts(spark: SparkSession, sf_dir: str, name: str = "documents", *columns: s
     return spread(table(spark, sf_dir, name).select(*columns))
 
 
+# Two engines add doubles in different orders, so a mean that is an exact half in the
+# seventh decimal may round either way. Both sides add this before rounding, which moves
+# such halves off the edge and changes no other sixth decimal.
+NUDGE = 1.1e-9
+
+
+def round6(c: Column | str) -> Column:
+    """Six decimals of a sum or mean of doubles; ``sql_round6`` is its SQL."""
+    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(NUDGE), 6)
+
+
+def sql_round6(expression: str) -> str:
+    return f"round({expression} + {NUDGE!r}, 6)"
+
+
 def sql_list(words) -> str:
     """Words as a SQL list of string literals."""
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)

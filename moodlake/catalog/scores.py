@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, sql_list, table, texts
+from moodlake.catalog.registry import query, round6, sql_list, sql_round6, table, texts
 from moodlake.functions.text import truncate
 from moodlake.operators.clustering import embed_hashing as embed_hashed
 from moodlake.operators.clustering import embed_model
@@ -73,8 +73,8 @@ _BY_SOURCE = f"""
     firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM scored) WHERE rn = 1)
     SELECT source, COUNT(*) AS n_rows, COUNT(*) FILTER (label = 'negative') AS n_label,
            round(COUNT(*) FILTER (label = 'negative') / COUNT(*), 6) AS share,
-           round(coalesce(avg(score) FILTER (label = 'negative'), 0), 6) AS mean_score,
-           round(sum(CASE WHEN label = 'negative' THEN score ELSE 0 END) / COUNT(*), 6) AS intensity
+           {sql_round6("coalesce(avg(score) FILTER (label = 'negative'), 0)")} AS mean_score,
+           {sql_round6("sum(CASE WHEN label = 'negative' THEN score ELSE 0 END) / COUNT(*)")} AS intensity
     FROM firsts GROUP BY source
 """
 
@@ -83,13 +83,13 @@ _BY_SOURCE = f"""
 def label_share_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct documents, scored, summarised per source."""
     summary = sentiment_by_group(texts(spark, sf_dir, "documents", "doc_id", "text", "source"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
-    return summary.select("source", "n_rows", "n_label", *[F.round(c, 6).alias(c) for c in ("share", "mean_score")])
+    return summary.select("source", "n_rows", "n_label", F.round("share", 6).alias("share"), round6("mean_score").alias("mean_score"))
 
 
 @query(f"SELECT source, intensity FROM ({_BY_SOURCE})")
 def label_intensity(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = sentiment_by_group(texts(spark, sf_dir, "documents", "doc_id", "text", "source"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
-    return summary.select("source", F.round("intensity", 6).alias("intensity"))
+    return summary.select("source", round6("intensity").alias("intensity"))
 
 
 @query()

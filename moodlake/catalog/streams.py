@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, table
+from moodlake.catalog.registry import query, round6, sql_round6, table
 from moodlake.session import scratch_path
 from moodlake.streaming import streams
 
@@ -61,10 +61,10 @@ def stream_slot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """
+    f"""
     SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS n_rows, COUNT(*) FILTER (event_type = 'error') AS n_label,
            round(COUNT(*) FILTER (event_type = 'error') / COUNT(*), 6) AS share,
-           round(coalesce(avg(value) FILTER (event_type = 'error'), 0), 6) AS mean_score
+           {sql_round6("coalesce(avg(value) FILTER (event_type = 'error'), 0)")} AS mean_score
     FROM events GROUP BY 1
     """
 )
@@ -73,7 +73,7 @@ def stream_label_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = streams.run_to_table(running, scratch_path(spark, "stream-label"), "complete")
     return stored.select(
         F.to_date("period_start").cast("string").alias("day"), "n_rows", "n_label",
-        F.round("share", 6).alias("share"), F.round("mean_score", 6).alias("mean_score"),
+        F.round("share", 6).alias("share"), round6("mean_score").alias("mean_score"),
     )
 
 

@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, table
+from moodlake.catalog.registry import query, round6, sql_round6, table
 from moodlake.functions.times import calendar
 from moodlake.operators import joins, series, summary
 from moodlake.operators.dedup import union_batches
 from moodlake.plans import daily
 from moodlake.sources.readers import daily_last_value
 
-_MEASURES = """
+_MEASURES = f"""
     COUNT(*) AS n_rows, COUNT(*) FILTER (event_type = 'error') AS n_label,
     round(COUNT(*) FILTER (event_type = 'error') / COUNT(*), 6) AS share,
-    round(coalesce(avg(value) FILTER (event_type = 'error'), 0), 6) AS mean_score,
-    round(sum(CASE WHEN event_type = 'error' THEN value ELSE 0 END) / COUNT(*), 6) AS intensity
+    {sql_round6("coalesce(avg(value) FILTER (event_type = 'error'), 0)")} AS mean_score,
+    {sql_round6("sum(CASE WHEN event_type = 'error' THEN value ELSE 0 END) / COUNT(*)")} AS intensity
 """
 
 
 def _rounded(df: DataFrame) -> DataFrame:
     return df.select(
         *[
-            F.round(c, 6).alias(c) if t == "double" else F.col(c).cast("string").alias(c) if t == "date" else F.col(c)
+            round6(c).alias(c) if c in ("mean_score", "intensity")
+            else F.round(c, 6).alias(c) if t == "double" else F.col(c).cast("string").alias(c) if t == "date" else F.col(c)
             for c, t in df.dtypes
         ]
     )
@@ -52,8 +53,8 @@ def label_share_denominators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """
-    SELECT source, round(coalesce(avg(quality) FILTER (toxic = 1), 0), 6) AS mean_score
+    f"""
+    SELECT source, {sql_round6("coalesce(avg(quality) FILTER (toxic = 1), 0)")} AS mean_score
     FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY source
     """
 )
