@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import language, quality, simhash_dedup, token_counts
+from moodlake.llm import decontaminate, language, pieces, quality, simhash_dedup, token_counts
 from moodlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), with_ids=False)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels")))
@@ -38,5 +46,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.train(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op4_simhash_dedup, op8_quality_classifier, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op4_simhash_dedup, op5_decontaminate, op7_sentencepiece, op8_quality_classifier, op10_language_id)}
 ORACLES: dict[str, str] = {}
