@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import decontaminate, language, pieces, quality, simhash_dedup, token_counts
+from moodlake.llm import decontaminate, fingerprints, language, pieces, quality, simhash_dedup, token_counts
 from moodlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_near_counts(fingerprints.edited_fingerprints(read(spark, sf_dir, "documents")))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,5 +50,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.train(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op4_simhash_dedup, op5_decontaminate, op7_sentencepiece, op8_quality_classifier, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op3_fingerprints, op4_simhash_dedup, op5_decontaminate, op7_sentencepiece, op8_quality_classifier, op10_language_id)}
 ORACLES: dict[str, str] = {}
