@@ -23,7 +23,7 @@ from moodlake.llm.common import prepare, settle
 
 WORDS = 3
 WEIGHT = 15
-CHUNK = 4096
+CHUNK = 2048
 RADIUS = 3
 BLOCKS = 4
 BUCKET_ROWS = 128

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import decontaminate, fingerprints, language, pieces, quality, simhash_dedup, token_counts
+from moodlake.llm import decontaminate, fingerprints, language, pieces, quality, simhash_dedup, token_counts, urls
 from moodlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,10 +45,14 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return language.predict(docs, language.train(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op3_fingerprints, op4_simhash_dedup, op5_decontaminate, op7_sentencepiece, op8_quality_classifier, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op3_fingerprints, op4_simhash_dedup, op5_decontaminate, op7_sentencepiece, op8_quality_classifier, op9_url_filter, op10_language_id)}
 ORACLES: dict[str, str] = {}
