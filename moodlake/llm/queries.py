@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import decontaminate, fingerprints, language, pieces, quality, simhash_dedup, token_counts, urls
+from moodlake.llm import decontaminate, fingerprints, language, pieces, pii, quality, simhash_dedup, token_counts, urls
 from moodlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), with_ids=False)
 
@@ -54,5 +58,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.train(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op3_fingerprints, op4_simhash_dedup, op5_decontaminate, op7_sentencepiece, op8_quality_classifier, op9_url_filter, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op3_fingerprints, op4_simhash_dedup, op5_decontaminate, op6_pii, op7_sentencepiece, op8_quality_classifier, op9_url_filter, op10_language_id)}
 ORACLES: dict[str, str] = {}
