@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import decontaminate, fingerprints, language, pieces, pii, quality, simhash_dedup, token_counts, urls
+from moodlake.llm import decontaminate, fingerprints, language, pieces, pii, quality, repeats, simhash_dedup, token_counts, urls
 from moodlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_bytes(read(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -58,5 +62,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.train(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_counts, op3_fingerprints, op4_simhash_dedup, op5_decontaminate, op6_pii, op7_sentencepiece, op8_quality_classifier, op9_url_filter, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_fingerprints, op4_simhash_dedup, op5_decontaminate, op6_pii, op7_sentencepiece, op8_quality_classifier, op9_url_filter, op10_language_id)}
 ORACLES: dict[str, str] = {}
