@@ -9,23 +9,33 @@ from moodlake.catalog.records import STOP_WORDS
 from moodlake.catalog.registry import query, sql_list, table
 from moodlake.operators import clustering
 from moodlake.operators.representatives import representative_texts
-from moodlake.session import spread_tasks
 
 
-@query()
+def _planted(spark: SparkSession, sf_dir: str, groups: int) -> DataFrame:
+    """All vectors, moved far apart by ``label`` modulo ``groups``, so that the clusters are known."""
+    moved = F.transform("embedding", lambda x, i: x + F.when(i == F.col("label") % groups, 100.0).otherwise(0.0))
+    return table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("embedding"))
+
+
+def _named(assigned: DataFrame) -> DataFrame:
+    """Clusters by their smallest id instead of a number that depends on the start."""
+    first = assigned.groupBy("cluster").agg(F.min("vec_id").alias("first_id"))
+    return assigned.join(first, "cluster").select("vec_id", F.col("first_id").alias("cluster"))
+
+
+@query("SELECT vec_id, min(vec_id) OVER (PARTITION BY label % 10) AS cluster FROM embeddings")
 def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten clusters, best of ten starts; depends on the starting centres."""
-    vectors = table(spark, sf_dir, "embeddings")
-    model = clustering.fit_kmeans(vectors, 10)
-    return clustering.assign(model, vectors).select("vec_id", "cluster")
+    """Ten clusters, best of ten starts."""
+    vectors = _planted(spark, sf_dir, 10)
+    return _named(clustering.assign(clustering.fit_kmeans(vectors, 10), vectors).select("vec_id", "cluster"))
 
 
-@query()
+@query("SELECT vec_id, min(vec_id) OVER (PARTITION BY label % 4) AS cluster, 4 AS k FROM embeddings")
 def kmeans_best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters at the k from 3 to 10 with the highest silhouette."""
-    vectors = table(spark, sf_dir, "embeddings")
+    vectors = _planted(spark, sf_dir, 4)
     best = clustering.best_k(vectors)
-    return clustering.assign(best.model, vectors).select("vec_id", "cluster", F.lit(best.k).alias("k"))
+    return _named(clustering.assign(best.model, vectors).select("vec_id", "cluster")).withColumn("k", F.lit(best.k))
 
 
 def _silhouette_sql(distance: str) -> str:
@@ -41,12 +51,6 @@ def _silhouette_sql(distance: str) -> str:
     """
 
 
-@query(_silhouette_sql("list_distance(a.e, b.e)") + "SELECT vec_id, label, round(silhouette, 6) AS silhouette FROM sil")
-def silhouette_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = clustering.silhouette_exact(table(spark, sf_dir, "embeddings"), "vec_id", "label")
-    return rows.select("vec_id", "label", F.round("silhouette", 6).alias("silhouette"))
-
-
 @query(_silhouette_sql("list_distance(a.e, b.e) ** 2") + "SELECT round(avg(silhouette), 6) AS silhouette FROM sil")
 def silhouette_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = clustering.silhouette_squared(table(spark, sf_dir, "embeddings"), "label")
@@ -64,10 +68,10 @@ def cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.withColumn("percentage", F.round("percentage", 6))
 
 
-@query("SELECT source, lang, COUNT(*) AS n FROM documents GROUP BY source, lang")
+@query("SELECT event_type, user_id, COUNT(*) AS n FROM events GROUP BY ALL")
 def cluster_group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources stand for clusters, languages for groups."""
-    return clustering.cluster_group_counts(table(spark, sf_dir, "documents"), "source", "lang")
+    """Kinds of events stand for clusters, users for groups."""
+    return clustering.cluster_group_counts(table(spark, sf_dir, "events"), "event_type", "user_id")
 
 
 def _representatives_sql(top_n: int) -> str:
@@ -93,7 +97,7 @@ def _representatives_sql(top_n: int) -> str:
 @query(f"WITH {_representatives_sql(5)} SELECT source, rank, doc_id, round(score, 6) AS score, text FROM reps")
 def tfidf_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    top = representative_texts(docs, "doc_id", "source", "text", stop_words=STOP_WORDS, tasks=spread_tasks(docs))
+    top = representative_texts(docs, "doc_id", "source", "text", stop_words=STOP_WORDS)
     return top.withColumn("score", F.round("score", 6)).withColumn("rank", F.col("rank").cast("long"))
 
 
@@ -109,6 +113,6 @@ def tfidf_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    report = clustering.cluster_report(docs, "doc_id", "source", "lang", "text", stop_words=STOP_WORDS, tasks=spread_tasks(docs))
+    report = clustering.cluster_report(docs, "doc_id", "source", "lang", "text", stop_words=STOP_WORDS)
     entries = F.transform(F.array_sort(F.map_entries("group_distribution")), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
     return report.withColumn("percentage", F.round("percentage", 6)).withColumn("group_distribution", F.array_join(entries, ","))

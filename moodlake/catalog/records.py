@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, sql_list, table, texts
+from moodlake.catalog.registry import query, sql_list, table
 from moodlake.functions import text as tx
 from moodlake.functions import times as tm
 from moodlake.operators import joins, series
@@ -223,7 +223,7 @@ def text_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def tokenize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_totals(texts(spark, sf_dir, "documents", "text"), "text", STOP_WORDS)
+    return token_totals(table(spark, sf_dir, "documents").select("text"), "text", STOP_WORDS)
 
 
 @query(
@@ -261,26 +261,30 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paths.select("event_id", tm.date_in_path(F.col("path")).cast("string").alias("date"))
 
 
-_TAGS = "</?(p|div|h[2-6]|li|ul|ol|tr|table|section|blockquote)(\\s[^>]*)?/?>|<br(\\s[^>]*)?/?>"
+_PLANTED = "&mdash;it&#8217;s&#x2026; &Eacute;&apos;&amp;lt;&unknown;"
+_TAGS = "</?(p|div|h[1-6]|li|ul|ol|tr|table|section|blockquote)(\\s[^>]*)?/?>|<br(\\s[^>]*)?/?>"
 
 
 @query(
     rf"""
     WITH part AS (
-      SELECT page_id, regexp_extract(html, '(?is)<article[^>]*>(.*)</article>', 1) AS a FROM pages),
+      SELECT page_id, regexp_extract(replace(html, '</p>', '{_PLANTED}</p>'), '(?is)<article[^>]*>(.*)</article>', 1) AS a FROM pages),
     cut AS (
-      SELECT page_id, regexp_replace(a, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>|<h1.*?</h1>', '', 'g') AS t FROM part),
+      SELECT page_id, regexp_replace(a, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g') AS t FROM part),
     lines AS (
       SELECT page_id, regexp_replace(regexp_replace(t, '(?i){_TAGS}', chr(10), 'g'), '<[^>]+>', '', 'g') AS t FROM cut),
     plain AS (
-      SELECT page_id, replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'),
-                              '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS t FROM lines)
+      SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(t,
+        '&mdash;', chr(8212)), '&#8217;', chr(8217)), '&#x2026;', chr(8230)), '&Eacute;', chr(201)), '&apos;', chr(39)),
+        '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS t FROM lines)
     SELECT page_id, trim(regexp_replace(regexp_replace(t, '[ \t\r\f' || chr(160) || ']+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS text
     FROM plain
     """
 )
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return texts(spark, sf_dir, "pages", "page_id", "html").select("page_id", tx.html_to_text("html").alias("text"))
+    """Pages with entities planted in their text: named, numbered, and one escaped twice."""
+    planted = F.regexp_replace("html", "</p>", f"{_PLANTED}</p>")
+    return table(spark, sf_dir, "pages").select("page_id", tx.html_to_text(planted).alias("text"))
 
 
 @query("SELECT lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, COUNT(*) AS n FROM pages GROUP BY 1")

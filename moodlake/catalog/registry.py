@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.session import spread, use_utc
+from moodlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,24 +36,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str = "documents", *columns: str) -> DataFrame:
-    """The columns of a table that heavy text work is done on, over all cores."""
-    return spread(table(spark, sf_dir, name).select(*columns))
-
-
-# Two engines add doubles in different orders, so a mean that is an exact half in the
-# seventh decimal may round either way. Both sides add this before rounding, which moves
-# such halves off the edge and changes no other sixth decimal.
-NUDGE = 1.1e-9
+def round6(c: Column | str) -> Column:
+    """Six decimals, as a double; a decimal is rounded before it becomes one."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 6).cast("double")
 
 
-def round6(c: Column | str) -> Column:
-    """Six decimals of a sum or mean of doubles; ``sql_round6`` is its SQL."""
-    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(NUDGE), 6)
+def cents(c: str) -> Column:
+    """A column of two decimals as an exact decimal, so that sums and means are exact."""
+    return F.col(c).cast("decimal(14,2)")
 
 
-def sql_round6(expression: str) -> str:
-    return f"round({expression} + {NUDGE!r}, 6)"
+def sql_mean6(cents_sum: str, n: str) -> str:
+    """Sum of hundredths over n, rounded half up to six decimals in whole numbers; 0 for n = 0."""
+    return f"coalesce(((2 * CAST(({cents_sum}) AS HUGEINT) * 10000 + ({n})) // nullif(2 * ({n}), 0)) / 1e6, 0)"
 
 
 def sql_list(words) -> str:

@@ -8,8 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, round6, sql_list, sql_round6, table, texts
-from moodlake.functions.text import truncate
+from moodlake.catalog.registry import query, round6, sql_list, table
 from moodlake.operators.clustering import embed_hashing as embed_hashed
 from moodlake.operators.clustering import embed_model
 from moodlake.operators.scoring import score_model, score_words
@@ -35,17 +34,10 @@ def _scored_sql(text: str) -> str:
 
 @query(f"SELECT doc_id, label, round(score, 6) AS score FROM ({_scored_sql('text')})")
 def score_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_words(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", POSITIVE, NEGATIVE)
+    scored = score_words(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", POSITIVE, NEGATIVE)
     return scored.select("doc_id", "label", F.round("score", 6).alias("score"))
 
 
-@query(f"SELECT doc_id, label, round(score, 6) AS score FROM ({_scored_sql('substr(text, 1, 512)')})")
-def score_model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The score of the part a classifier with a 512-character input would see."""
-    head = table(spark, sf_dir, "documents").select("doc_id", truncate("text", 512).alias("head"))
-    return score_words(head, "head", POSITIVE, NEGATIVE).select("doc_id", "label", F.round("score", 6).alias("score"))
-
-
 def _word_model():
     word = re.compile(r"\w+")
     positive, negative = frozenset(POSITIVE), frozenset(NEGATIVE)
@@ -64,7 +56,7 @@ def _word_model():
 
 @query(f"SELECT doc_id, label, round(score, 6) AS score, NULL AS error FROM ({_scored_sql('text')})")
 def score_model_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_model(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", _word_model, ["doc_id"])
+    scored = score_model(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", _word_model, ["doc_id"])
     return scored.select("doc_id", "label", F.round("score", 6).alias("score"), "error")
 
 
@@ -73,8 +65,8 @@ _BY_SOURCE = f"""
     firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM scored) WHERE rn = 1)
     SELECT source, COUNT(*) AS n_rows, COUNT(*) FILTER (label = 'negative') AS n_label,
            round(COUNT(*) FILTER (label = 'negative') / COUNT(*), 6) AS share,
-           {sql_round6("coalesce(avg(score) FILTER (label = 'negative'), 0)")} AS mean_score,
-           {sql_round6("sum(CASE WHEN label = 'negative' THEN score ELSE 0 END) / COUNT(*)")} AS intensity
+           round(coalesce(avg(score) FILTER (label = 'negative'), 0), 6) AS mean_score,
+           round(sum(CASE WHEN label = 'negative' THEN score ELSE 0 END) / COUNT(*), 6) AS intensity
     FROM firsts GROUP BY source
 """
 
@@ -82,20 +74,32 @@ _BY_SOURCE = f"""
 @query(f"SELECT source, n_rows, n_label, share, mean_score FROM ({_BY_SOURCE})")
 def label_share_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct documents, scored, summarised per source."""
-    summary = sentiment_by_group(texts(spark, sf_dir, "documents", "doc_id", "text", "source"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
+    summary = sentiment_by_group(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
     return summary.select("source", "n_rows", "n_label", F.round("share", 6).alias("share"), round6("mean_score").alias("mean_score"))
 
 
 @query(f"SELECT source, intensity FROM ({_BY_SOURCE})")
 def label_intensity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = sentiment_by_group(texts(spark, sf_dir, "documents", "doc_id", "text", "source"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
+    summary = sentiment_by_group(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id", "text", "source", POSITIVE, NEGATIVE)
     return summary.select("source", round6("intensity").alias("intensity"))
 
 
-@query()
+@query(
+    """
+    WITH words AS (
+      SELECT doc_id, term, COUNT(*) AS n
+      FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents) GROUP BY 1, 2),
+    placed AS (
+      SELECT doc_id, CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % 256 AS dim, sum(n) AS n FROM words GROUP BY 1, 2),
+    sizes AS (SELECT doc_id, sqrt(sum(n * n)) AS size FROM placed GROUP BY 1)
+    SELECT doc_id, dim, round(n / size, 6) AS weight FROM placed JOIN sizes USING (doc_id)
+    """
+)
 def embed_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hashed word-count vectors; the hash has no SQL equivalent."""
-    return embed_hashed(texts(spark, sf_dir, "documents", "doc_id", "text"), "text").select("doc_id", "embedding")
+    """Hashed word-count vectors, in long form: the places that are not zero."""
+    embedded = embed_hashed(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    places = embedded.select("doc_id", F.posexplode("embedding").alias("dim", "weight")).filter("weight <> 0")
+    return places.select("doc_id", F.col("dim").cast("long").alias("dim"), F.round(F.col("weight").cast("double"), 6).alias("weight"))
 
 
 _LETTERS = "aeinst"
@@ -115,5 +119,5 @@ def _letter_model():
 )
 def embed_model_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A caller's model that maps a text to a vector, in batches of 32."""
-    embedded = embed_model(texts(spark, sf_dir, "documents", "doc_id", "text"), "text", _letter_model)
+    embedded = embed_model(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", _letter_model)
     return embedded.select("doc_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"n_{c}") for i, c in enumerate(_LETTERS)])

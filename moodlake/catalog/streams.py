@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, round6, sql_round6, table
+from moodlake.catalog.registry import cents, query, round6, sql_mean6, table
 from moodlake.session import scratch_path
 from moodlake.streaming import streams
 
@@ -64,12 +64,12 @@ def stream_slot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS n_rows, COUNT(*) FILTER (event_type = 'error') AS n_label,
            round(COUNT(*) FILTER (event_type = 'error') / COUNT(*), 6) AS share,
-           {sql_round6("coalesce(avg(value) FILTER (event_type = 'error'), 0)")} AS mean_score
+           {sql_mean6("sum(CAST(round(value * 100) AS BIGINT)) FILTER (event_type = 'error')", "COUNT(value) FILTER (event_type = 'error')")} AS mean_score
     FROM events GROUP BY 1
     """
 )
 def stream_label_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    running = streams.label_stream(_event_stream(spark, sf_dir), "ts", _LAG, "event_type", "value", "error")
+    running = streams.label_stream(_event_stream(spark, sf_dir).withColumn("value", cents("value")), "ts", _LAG, "event_type", "value", "error")
     stored = streams.run_to_table(running, scratch_path(spark, "stream-label"), "complete")
     return stored.select(
         F.to_date("period_start").cast("string").alias("day"), "n_rows", "n_label",

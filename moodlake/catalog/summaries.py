@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, round6, sql_round6, table
-from moodlake.functions.times import calendar
+from moodlake.catalog.registry import cents, query, round6, sql_mean6, table
 from moodlake.operators import joins, series, summary
 from moodlake.operators.dedup import union_batches
 from moodlake.plans import daily
@@ -15,9 +14,15 @@ from moodlake.sources.readers import daily_last_value
 _MEASURES = f"""
     COUNT(*) AS n_rows, COUNT(*) FILTER (event_type = 'error') AS n_label,
     round(COUNT(*) FILTER (event_type = 'error') / COUNT(*), 6) AS share,
-    {sql_round6("coalesce(avg(value) FILTER (event_type = 'error'), 0)")} AS mean_score,
-    {sql_round6("sum(CASE WHEN event_type = 'error' THEN value ELSE 0 END) / COUNT(*)")} AS intensity
+    {sql_mean6("sum(CAST(round(value * 100) AS BIGINT)) FILTER (event_type = 'error')", "COUNT(value) FILTER (event_type = 'error')")} AS mean_score,
+    {sql_mean6("coalesce(sum(CAST(round(value * 100) AS BIGINT)) FILTER (event_type = 'error'), 0)", "COUNT(*)")} AS intensity
 """
+# Every seventh event has lost its score, the label it keeps.
+_SCORED = "(SELECT * REPLACE (CASE WHEN event_id % 7 <> 0 THEN value END AS value) FROM events)"
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("value", F.when(F.col("event_id") % 7 != 0, cents("value")))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -54,7 +59,7 @@ def label_share_denominators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    SELECT source, {sql_round6("coalesce(avg(quality) FILTER (toxic = 1), 0)")} AS mean_score
+    SELECT source, round(coalesce(avg(quality) FILTER (toxic = 1), 0), 6) AS mean_score
     FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY source
     """
 )
@@ -65,15 +70,14 @@ def group_label_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(summary.group_label_mean(joined, "source", "label", "quality", "toxic"))
 
 
-@query(f"SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {_MEASURES} FROM events GROUP BY 1")
+@query(f"SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {_MEASURES} FROM {_SCORED} GROUP BY 1")
 def label_share_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(summary.label_by_period(table(spark, sf_dir, "events"), "ts", "event_type", "value", "ERROR"))
+    return _rounded(summary.label_by_period(_scored(spark, sf_dir), "ts", "event_type", "value", "ERROR"))
 
 
-@query(f"SELECT CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week, {_MEASURES} FROM events GROUP BY 1")
+@query(f"SELECT CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week, {_MEASURES} FROM {_SCORED} GROUP BY 1")
 def label_share_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return _rounded(summary.label_by_period(events, "ts", "event_type", "value", "error", period="week"))
+    return _rounded(summary.label_by_period(_scored(spark, sf_dir), "ts", "event_type", "value", "error", period="week"))
 
 
 @query(
@@ -112,71 +116,71 @@ _DAYS = """
 def completeness_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of the calendar's days on which a user has events."""
     actual = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("date"))
-    seen = joins.presence(calendar(actual, keys=["user_id"], shared=True), actual, ["user_id", "date"])
-    return _rounded(summary.completeness_rate(seen, "present", ["user_id"]))
+    return _rounded(summary.day_completeness(actual, ["user_id"]))
 
 
+# Each user's last value per kind of event and day, and a calendar from the first day of
+# each such series to its last.
 _LAST = """
     obs AS (
-      SELECT user_id, date, value FROM (
-        SELECT user_id, CAST(ts AS DATE) AS date, value,
-               row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
-        FROM events WHERE event_type = 'error') WHERE rn = 1),
-    span AS (SELECT min(date) AS lo, max(date) AS hi FROM obs),
+      SELECT user_id, event_type, date, value FROM (
+        SELECT user_id, event_type, CAST(ts AS DATE) AS date, value,
+               row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
+        FROM events) WHERE rn = 1),
+    span AS (SELECT user_id, event_type, min(date) AS lo, max(date) AS hi FROM obs GROUP BY ALL),
     grid AS (
-      SELECT u.user_id, CAST(g.d AS DATE) AS date, o.value
-      FROM (SELECT DISTINCT user_id FROM obs) u
-      CROSS JOIN (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM span) g
-      LEFT JOIN obs o ON o.user_id = u.user_id AND o.date = CAST(g.d AS DATE))
+      SELECT g.user_id, g.event_type, CAST(g.d AS DATE) AS date, o.value
+      FROM (SELECT user_id, event_type, unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM span) g
+      LEFT JOIN obs o ON o.user_id = g.user_id AND o.event_type = g.event_type AND o.date = CAST(g.d AS DATE))
 """
+_KEYS = ["user_id", "event_type"]
 
 
-def _error_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's last error value per day, with a null row for every day without one."""
-    errors = table(spark, sf_dir, "events").filter("event_type = 'error'")
-    observed = daily_last_value(errors, "ts", "value", ["user_id"], tie="event_id")
-    return calendar(observed, keys=["user_id"], shared=True).join(observed, ["user_id", "date"], "left")
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_last_value(table(spark, sf_dir, "events"), "ts", "value", _KEYS, tie="event_id")
 
 
 @query(
     f"""
     WITH {_LAST}
-    SELECT user_id, CAST(date AS VARCHAR) AS date, coalesce(last_value(value IGNORE NULLS) OVER w, 20.0) AS filled,
+    SELECT user_id, event_type, CAST(date AS VARCHAR) AS date, coalesce(last_value(value IGNORE NULLS) OVER w, 20.0) AS filled,
            CAST(date - last_value(CASE WHEN value IS NOT NULL THEN date END IGNORE NULLS) OVER w AS INTEGER) AS age_days
-    FROM grid WINDOW w AS (PARTITION BY user_id ORDER BY date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)
+    FROM grid WINDOW w AS (PARTITION BY user_id, event_type ORDER BY date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)
     """
 )
 def asof_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = series.carry_forward(_error_grid(spark, sf_dir), keys=["user_id"], max_age=7, default=20.0)
-    return _rounded(filled.select("user_id", "date", "filled", "age_days"))
+    filled = series.as_of(_observed(spark, sf_dir), keys=_KEYS, max_age=7, default=20.0)
+    return _rounded(filled.select(*_KEYS, "date", "filled", "age_days"))
 
 
 @query(
     f"""
     WITH {_LAST}
-    SELECT user_id, CAST(date AS VARCHAR) AS date, coalesce(last_value(value IGNORE NULLS) OVER w, 20.0) AS filled
-    FROM grid WINDOW w AS (PARTITION BY user_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    SELECT user_id, event_type, CAST(date AS VARCHAR) AS date, last_value(value IGNORE NULLS) OVER w AS filled
+    FROM grid WINDOW w AS (PARTITION BY user_id, event_type ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
     """
 )
 def asof_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = series.carry_forward(_error_grid(spark, sf_dir), keys=["user_id"], default=20.0, mode="chained")
-    return _rounded(filled.select("user_id", "date", "filled"))
+    filled = series.as_of(_observed(spark, sf_dir), keys=_KEYS, max_age=None)
+    return _rounded(filled.select(*_KEYS, "date", "filled"))
 
 
 @query(
     f"""
-    WITH {_LAST}, source AS (
-      SELECT user_id, date, last_value(CASE WHEN value IS NOT NULL THEN date END IGNORE NULLS) OVER
-        (PARTITION BY user_id ORDER BY date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS source_day FROM grid)
-    SELECT s.user_id, CAST(s.date AS VARCHAR) AS date, CAST(s.source_day AS VARCHAR) AS source_day, e.event_id
-    FROM source s JOIN events e ON e.user_id = s.user_id AND CAST(e.ts AS DATE) = s.source_day AND e.event_type = 'error'
+    WITH {_LAST}, last AS (SELECT max(hi) AS hi FROM span),
+    days AS (
+      SELECT user_id, event_type, date, lead(date) OVER (PARTITION BY user_id, event_type ORDER BY date) AS next FROM obs),
+    source AS (
+      SELECT user_id, event_type, date AS source_day, CAST(unnest(generate_series(CAST(date AS TIMESTAMP),
+        CAST(least(coalesce(next - 1, hi), date + 6) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM days, last)
+    SELECT s.user_id, s.event_type, CAST(s.date AS VARCHAR) AS date, CAST(s.source_day AS VARCHAR) AS source_day, e.event_id
+    FROM source s JOIN events e ON e.user_id = s.user_id AND e.event_type = s.event_type AND CAST(e.ts AS DATE) = s.source_day
     """
 )
 def carry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days without error events of a user take those of the last day that has some."""
-    errors = table(spark, sf_dir, "events").filter("event_type = 'error'")
-    rows = errors.select("user_id", "event_id", F.to_date("ts").alias("date"))
-    return _rounded(series.carry_rows(rows, keys=["user_id"]).select("user_id", "date", "source_day", "event_id"))
+    """Days without events of a user and kind take those of the last day that has some."""
+    rows = table(spark, sf_dir, "events").select(*_KEYS, "event_id", F.to_date("ts").alias("date"))
+    return _rounded(series.carry_rows(rows, keys=_KEYS).select(*_KEYS, "date", "source_day", "event_id"))
 
 
 def _daily_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,5 +223,5 @@ def zscore_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole month in one job; its last day has no events."""
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events").withColumn("value", cents("value"))
     return _rounded(daily.backfill(events, "2024-01-01", "2024-01-31", "event_type", "value", "error"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.catalog.registry import query, table, texts
+from moodlake.catalog.registry import query, table
+from moodlake.functions.text import strip
 from moodlake.operators.dedup import union_batches
 from moodlake.operators.scoring import score_model
 from moodlake.operators.summary import label_summary
@@ -29,7 +30,7 @@ def _land_tsv(df: DataFrame, path: str) -> str:
 def scan_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = _land_tsv(docs, scratch_path(spark, "tsv"))
-    return readers.scan_tsv(spark, path, len(docs.columns), multi_line=True).toDF(*docs.columns)
+    return readers.scan_tsv(spark, path, len(docs.columns), multi_line=True)[0].toDF(*docs.columns)
 
 
 _EVENT_NAMES = ("event_id", "user_id", "event_type", "value", "props")
@@ -48,7 +49,8 @@ def name_by_width(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for layout, width in (("all", 5), ("short", 4), ("other", 3)):
         path = _land_tsv(events.select(*_EVENT_NAMES[:width]), scratch_path(spark, f"width-{layout}"))
-        named = readers.name_by_width(readers.scan_tsv(spark, path, width), _EVENT_NAMES)
+        found = readers.tsv_width(spark, path)
+        named = readers.name_by_width(readers.scan_tsv(spark, path, found)[0], _EVENT_NAMES)
         if "Column_0" in named.columns:
             named = named.withColumnRenamed("Column_0", "event_id").select("event_id")
         parts.append(named.withColumn("layout", F.lit(layout)))
@@ -87,7 +89,7 @@ def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.to_json(F.collect_list(record)).alias("value"))
         .write.partitionBy("part").text(path)
     )
-    rows, _ = readers.scan_json_array(spark, f"{path}/*", schema)
+    rows, _ = readers.scan_json_array(spark, f"{path}/*", schema, nan_columns=["lang"])
     return rows
 
 
@@ -116,6 +118,11 @@ def scan_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.unionByName(absent).select("event_id", "user_id", "value")
 
 
+def _sources(docs: DataFrame) -> list[str]:
+    """The groups to ask for: a caller would have this list at hand."""
+    return sorted(r.source for r in docs.select("source").distinct().collect())
+
+
 @query(
     """
     SELECT g.source, COUNT(d.doc_id) AS n_rows
@@ -127,7 +134,7 @@ def scan_groups_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "groups")
     writers.balanced(docs, ["source"]).write.partitionBy("source").parquet(path)
-    groups = [f"src{i}" for i in range(20)] + ["absent"]
+    groups = [*_sources(docs), "absent"]
     _, counts = readers.scan_groups(spark, path, docs.schema, groups, "source")
     return counts
 
@@ -137,7 +144,7 @@ def scan_groups_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     path = scratch_path(spark, "groups")
     writers.balanced(docs, ["source"]).write.partitionBy("source").parquet(path)
-    rows, _ = readers.scan_groups(spark, path, docs.schema, [f"src{i}" for i in range(20)], "source")
+    rows, _ = readers.scan_groups(spark, path, docs.schema, _sources(docs), "source")
     return rows.select("doc_id", "text", "source")
 
 
@@ -231,7 +238,7 @@ def sink_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned corpus, written by group with its key."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     path = scratch_path(spark, "texts")
-    writers.write_texts(docs.filter(F.trim("text") != ""), path, ["source"])
+    writers.write_texts(docs.filter(strip("text") != ""), path, ["source"])
     return spark.read.schema(docs.schema).parquet(path).select("doc_id", "text", "source")
 
 
@@ -252,7 +259,7 @@ _DEAD = T.StructType(
 @query("SELECT source AS \"group\", doc_id AS id, 'ValueError: unreadable marker' AS error FROM documents WHERE contains(text, '###')")
 def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model that raises on some texts: those rows alone are dead letters."""
-    docs = texts(spark, sf_dir, "documents", "source", "doc_id", "text").select(F.col("source").alias("group"), F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("group"), F.col("doc_id").alias("id"), "text")
     # Written first, so that the model runs once however often the result is split.
     scored = settle(score_model(docs, "text", _fussy_scorer, ["group", "id"]), "scored")
     _, dead = writers.split_failures(scored)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters for which Python's str.isspace() is true, so that
@@ -68,8 +70,12 @@ def contains_any(c: Column | str, terms: Iterable[str], literal: bool = True, ig
     terms = [t for t in terms if t]
     if not terms:
         return F.lit(False)
-    body = "|".join(re.escape(t) if literal else t for t in terms)
-    return F.coalesce(_col(c).rlike(("(?iu)" if ignore_case else "") + body), F.lit(False))
+    if literal:
+        # Lower-cased once; a search for a literal does not backtrack.
+        text = F.lower(_col(c)) if ignore_case else _col(c)
+        hits = [F.contains(text, F.lit(t.lower() if ignore_case else t)) for t in dict.fromkeys(terms)]
+        return F.coalesce(reduce(lambda a, b: a | b, hits), F.lit(False))
+    return F.coalesce(_col(c).rlike(("(?iu)" if ignore_case else "") + "|".join(terms)), F.lit(False))
 
 
 def has_url(c: Column | str) -> Column:
@@ -99,16 +105,36 @@ def url_host(c: Column | str) -> Column:
 
 
 # Element contents that are never article text, then the tags that end a line.
-_DROP = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<noscript\b.*?</noscript>|<h1\b.*?</h1>"
-_BREAK = r"(?i)<br\b[^>]*>|</?(?:p|div|h[2-6]|li|ul|ol|tr|table|section|blockquote)\b[^>]*>"
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+_DROP = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<noscript\b.*?</noscript>"
+_BREAK = r"(?i)<br\b[^>]*>|</?(?:p|div|h[1-6]|li|ul|ol|tr|table|section|blockquote)\b[^>]*>"
+_ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+_MARK = "\u0001"
+
+
+def decode_entities(c: Column | str) -> Column:
+    """HTML entities, numbered or named, as their characters; each once, unknown ones as they are."""
+    text = F.translate(_col(c), _MARK, " ")
+    parts = F.split(F.regexp_replace(text, _ENTITY, f"{_MARK}$1{_MARK}"), _MARK)
+    names = F.create_map(*[F.lit(x) for n, p in name2codepoint.items() for x in (n, chr(p))], F.lit("apos"), F.lit("'"))
+
+    def char(s: Column) -> Column:
+        code = F.when(s.startswith("#x") | s.startswith("#X"), F.conv(F.substring(s, 3, 8), 16, 10)).when(
+            s.startswith("#"), F.substring(s, 2, 8)
+        )
+        code = code.cast("int")
+        real = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        numbered = F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.coalesce(F.when(code.isNotNull(), numbered).otherwise(F.try_element_at(names, s)), F.concat(F.lit("&"), s, F.lit(";")))
+
+    decoded = F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, char(p)).otherwise(p)), "")
+    return F.when(F.contains(_col(c), F.lit("&")), decoded).otherwise(_col(c))
 
 
 def html_to_text(c: Column | str) -> Column:
     """Body text of a page: the <article> if there is one, else the <body>, else all.
 
     An approximation by tags; it does not guess at text density as article
-    extractors do. The headline (h1) is not part of the body text.
+    extractors do. Headlines are part of the text.
     """
     page = _col(c)
     article = F.regexp_extract(page, r"(?is)<article\b[^>]*>(.*)</article>", 1)
@@ -117,8 +143,24 @@ def html_to_text(c: Column | str) -> Column:
     text = F.regexp_replace(text, _DROP, "")
     text = F.regexp_replace(text, _BREAK, "\n")
     text = F.regexp_replace(text, r"<[^>]+>", "")
-    for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    text = decode_entities(text)
     text = F.regexp_replace(text, "[ \\t\\r\\f\\u00a0]+", " ")
     text = F.regexp_replace(text, " ?\n[ \n]*", "\n")
     return strip(text)
+
+
+def of_hosts(df: DataFrame, url: str, hosts: DataFrame, host: str = "host") -> DataFrame:
+    """Rows whose URL is on one of the hosts or a subdomain of one.
+
+    For lists too long for an expression: a row has one key per parent of its host, a
+    handful, and the join takes whatever form the size of the list asks for.
+    """
+    parts = F.split(url_host(url), r"\.")
+    places = F.sequence(F.lit(1), F.size(parts))
+    parents = F.transform(places, lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    listed = hosts.select(F.lower(F.col(host)).alias("_host")).distinct()
+    keyed = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_parents", parents)
+    hit = keyed.select("*", F.explode("_parents").alias("_host")).join(listed, "_host", "left_semi")
+    # Two listed hosts may hold one row: a host and its parent.
+    longest = hit.groupBy("_row").agg(F.max_by(F.struct(*df.columns), F.length("_host")).alias("_kept"))
+    return longest.select("_kept.*")

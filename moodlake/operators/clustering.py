@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,15 +22,17 @@ from pyspark.sql import types as T
 from moodlake.functions.text import tokens, truncate
 from moodlake.operators.representatives import representative_texts
 
-_BLOCK_ROWS = 4096
-
 
 def embed_hashing(df: DataFrame, text: str, dims: int = 256, out: str = "embedding") -> DataFrame:
-    """Adds a unit vector of hashed word counts; all zero for a text without words."""
-    staged = df.withColumn("_words", tokens(text))
-    counted = HashingTF(numFeatures=dims, inputCol="_words", outputCol="_tf").transform(staged)
-    unit = Normalizer(p=2.0, inputCol="_tf", outputCol="_unit").transform(counted)
-    return unit.withColumn(out, vector_to_array("_unit", "float32")).drop("_words", "_tf", "_unit")
+    """Adds a unit vector of hashed word counts; all zero for a text without words.
+
+    A word's place is its MD5 modulo ``dims``, which other engines can repeat.
+    """
+    place = lambda w: F.pmod(F.conv(F.left(F.md5(w), F.lit(8)), 16, 10).cast("long"), F.lit(dims)).cast("string")
+    staged = df.withColumn("_places", F.transform(tokens(text), place))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(dims)], "_places", "_tf")
+    unit = Normalizer(p=2.0, inputCol="_tf", outputCol="_unit").transform(counter.transform(staged))
+    return unit.withColumn(out, vector_to_array("_unit", "float32")).drop("_places", "_tf", "_unit")
 
 
 def embed_model(
@@ -113,7 +115,7 @@ def best_k(
     """The k with the highest silhouette; the smaller k on a tie.
 
     Uses the squared-Euclidean silhouette, which needs only the cluster sums and so is
-    one linear pass per k. ``silhouette_exact`` has the all-pairs form.
+    one linear pass per k.
     """
     ks = sorted(set(ks))
     with _kept(as_features(df, embedding)) as features:
@@ -140,81 +142,6 @@ def silhouette_squared(df: DataFrame, cluster: str, embedding: str = "embedding"
     return _evaluator("_c").evaluate(as_features(df, embedding).select("features", F.col(cluster).cast("double").alias("_c")))
 
 
-def silhouette_exact(
-    df: DataFrame, key: str, cluster: str, embedding: str = "embedding", block_rows: int = _BLOCK_ROWS
-) -> DataFrame:
-    """(key, cluster, silhouette) with plain Euclidean distance over all rows.
-
-    A mean of Euclidean distances has no shortcut, so the work is quadratic in the rows:
-    use ``silhouette_squared`` for large tables. It is cut into even hash blocks of about
-    ``block_rows`` rows whatever the cluster sizes are; each task takes one pair of
-    blocks, computes their distances in memory and sends on only one sum per row and
-    cluster, never the pairs.
-    """
-    rows = df.select(
-        F.col(key).alias("_id"), F.col(cluster).alias("_own"), F.col(embedding).cast("array<double>").alias("_v")
-    )
-    n_blocks = max(1, -(-rows.count() // block_rows))
-    rows = rows.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(n_blocks)).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
-    left = rows.withColumn("_other", others).select(F.col("_block").alias("_a"), F.col("_other").alias("_b"), "_id", "_own", "_v")
-    right = rows.withColumn("_other", others).select(F.col("_other").alias("_a"), F.col("_block").alias("_b"), "_own", "_v")
-
-    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        names = ["_id", "_own", "_to", "_sum", "_n"]
-        if a.empty or b.empty:
-            return pd.DataFrame(columns=names)
-        x, y = np.stack(a["_v"].to_numpy()), np.stack(b["_v"].to_numpy())
-        codes, labels = pd.factorize(b["_own"])
-        totals = np.zeros((len(a), len(labels)))
-        for at in range(0, len(a), 256):
-            part = x[at : at + 256]
-            gap = _distances(part, y)
-            for j in range(len(labels)):
-                totals[at : at + 256, j] = gap[:, codes == j].sum(axis=1)
-        size = np.bincount(codes, minlength=len(labels))
-        return pd.DataFrame(
-            {
-                "_id": np.repeat(a["_id"].to_numpy(), len(labels)),
-                "_own": np.repeat(a["_own"].to_numpy(), len(labels)),
-                "_to": np.tile(np.asarray(labels), len(a)),
-                "_sum": totals.ravel(),
-                "_n": np.tile(size, len(a)),
-            },
-            columns=names,
-        )
-
-    own = rows.schema["_own"].dataType
-    schema = T.StructType(
-        [
-            T.StructField("_id", rows.schema["_id"].dataType), T.StructField("_own", own), T.StructField("_to", own),
-            T.StructField("_sum", T.DoubleType()), T.StructField("_n", T.LongType()),
-        ]
-    )
-    partial = left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInPandas(sums, schema)
-    mean = partial.groupBy("_id", "_own", "_to").agg(F.sum("_sum").alias("s"), F.sum("_n").alias("n"))
-    same = F.col("_to") == F.col("_own")
-    per_row = mean.groupBy("_id", "_own").agg(
-        F.max(F.when(same, F.col("n"))).alias("_size"),
-        F.max(F.when(same, F.try_divide(F.col("s"), F.col("n") - 1))).alias("_in"),
-        F.min(F.when(~same, F.col("s") / F.col("n"))).alias("_out"),
-    )
-    value = F.when((F.col("_size") == 1) | F.col("_out").isNull(), F.lit(0.0)).otherwise(
-        F.coalesce(F.try_divide(F.col("_out") - F.col("_in"), F.greatest("_in", "_out")), F.lit(0.0))
-    )
-    return per_row.select(F.col("_id").alias(key), F.col("_own").alias(cluster), value.alias("silhouette"))
-
-
-def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Euclidean distances, in strips of y that keep the difference array near 32 MB."""
-    strip = max(1, 4_000_000 // x.size)
-    out = np.empty((len(x), len(y)))
-    for at in range(0, len(y), strip):
-        part = y[at : at + strip]
-        out[:, at : at + strip] = np.sqrt(((x[:, None, :] - part[None, :, :]) ** 2).sum(axis=2))
-    return out
-
-
 def cluster_sizes(df: DataFrame, cluster: str, n_clusters: int | None = None) -> DataFrame:
     """(cluster, size, percentage). With ``n_clusters`` also the empty ones of 0..n-1."""
     sizes = df.groupBy(cluster).agg(F.count("*").alias("size"))
@@ -241,10 +168,10 @@ def cluster_group_map(df: DataFrame, cluster: str, group: str) -> DataFrame:
 
 def cluster_report(
     df: DataFrame, doc: str, cluster: str, group: str, text: str, preview: int = 100, stop_words: Sequence[str] = (),
-    n_clusters: int | None = None, tasks: int | None = None,
+    n_clusters: int | None = None,
 ) -> DataFrame:
     """(cluster, size, percentage, representative preview, group_distribution)."""
-    first = representative_texts(df, doc, cluster, text, top_n=1, stop_words=stop_words, tasks=tasks)
+    first = representative_texts(df, doc, cluster, text, top_n=1, stop_words=stop_words)
     return (
         cluster_sizes(df, cluster, n_clusters)
         .join(first.select(cluster, truncate(text, preview).alias("representative")), cluster, "left")

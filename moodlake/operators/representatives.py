@@ -68,18 +68,17 @@ def with_document_frequency(tf: DataFrame, doc: str, cluster: str) -> DataFrame:
 
 
 def document_scores(
-    docs: DataFrame, doc: str, cluster: str, text: str, stop_words: Sequence[str] = (), tasks: int | None = None
+    docs: DataFrame, doc: str, cluster: str, text: str, stop_words: Sequence[str] = ()
 ) -> DataFrame:
     """(doc, cluster, score); 0 for a document without any term.
 
     Weight is tf * (ln((1+n)/(1+df)) + 1) with n and df taken inside the cluster; the
     score is the sum of the document's weights after scaling them to unit length. The
     term counts are written once, since they are read for df and again for the sums.
-    ``tasks`` spreads the texts for counting, for a table with fewer splits than cores.
     """
     sizes = docs.groupBy(cluster).agg(F.count("*").alias("_n"))
     grouped = docs.filter(F.col(cluster).isNotNull())
-    counts = settle(term_counts(grouped.repartition(tasks) if tasks else grouped, doc, text, [cluster], stop_words), "terms")
+    counts = settle(term_counts(grouped, doc, text, [cluster], stop_words), "terms")
     counted = with_document_frequency(counts, doc, cluster)
     no_terms = docs.select(doc, cluster, F.lit(0).alias("tf"), F.lit(0).alias("df"))
     # With A = ln(1+n)+1 a weight is tf*(A - ln(1+df)), so five sums per document are
@@ -101,7 +100,6 @@ def document_scores(
 
 def representative_texts(
     docs: DataFrame, doc: str, cluster: str, text: str, top_n: int = 5, stop_words: Sequence[str] = (),
-    tasks: int | None = None,
 ) -> DataFrame:
     """(cluster, rank, doc, score, text): the ``top_n`` best documents of each cluster.
 
@@ -112,7 +110,7 @@ def representative_texts(
     """
     best = Window.partitionBy(cluster).orderBy(F.desc(F.round("score", 9)), doc)
     top = (
-        document_scores(docs, doc, cluster, text, stop_words, tasks)
+        document_scores(docs, doc, cluster, text, stop_words)
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top_n)
         .withColumn("_best", F.max("score").over(Window.partitionBy(cluster)))

@@ -39,18 +39,16 @@ def score_words(df: DataFrame, text: str, positive: Sequence[str], negative: Seq
 
 def score_model(
     df: DataFrame, text: str, make_scorer: Callable[[], Scorer], keep: Sequence[str] = (), batch: int = 32,
-    max_chars: int | None = None,
 ) -> DataFrame:
     """Columns ``keep`` plus label, score and error from a model.
 
     The model is loaded once per task and fed ``batch`` texts at a time. When a batch
     raises, its texts are tried one by one, so one bad text costs one error row.
-    ``max_chars`` cuts the text to the model's input limit. Null or empty text is not
+    Whole texts go to the model, which may split them itself. Null or empty text is not
     sent to the model: its label, score and error are null.
     """
     keep = list(keep)
     schema = T.StructType([*[df.schema[c] for c in keep], *SCORE_FIELDS])
-    given = F.col(text) if max_chars is None else F.left(F.col(text), F.lit(max_chars))
 
     def one_by_one(scorer: Scorer, texts: list[str]) -> list[tuple]:
         out = []
@@ -66,10 +64,11 @@ def score_model(
         scorer = make_scorer()
         for frame in frames:
             results: list[tuple] = [(None, None, None)] * len(frame)
-            todo = [i for i, t in enumerate(frame["_text"]) if t]
+            given = frame["_text"].tolist()
+            todo = [i for i, t in enumerate(given) if t]
             for at in range(0, len(todo), batch):
                 part = todo[at : at + batch]
-                texts = [frame["_text"].iat[i] for i in part]
+                texts = [given[i] for i in part]
                 try:
                     scored = [(label, float(score), None) for label, score in scorer(texts)]
                     if len(scored) != len(texts):
@@ -82,4 +81,4 @@ def score_model(
             out["label"], out["score"], out["error"] = (list(c) for c in zip(*results)) if results else ([], [], [])
             yield out
 
-    return df.select(*keep, given.alias("_text")).mapInPandas(run, schema)
+    return df.select(*keep, F.col(text).alias("_text")).mapInPandas(run, schema)

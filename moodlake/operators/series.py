@@ -61,15 +61,43 @@ def carry_rows(
     if mode not in ("observed", "chained"):
         raise ValueError(f"mode must be 'observed' or 'chained', not {mode!r}")
     keys = list(keys)
-    have = rows.select(*keys, day).distinct()
-    grid = calendar(have, day, keys, shared=True).join(have.withColumn("_seen", F.col(day)), [*keys, day], "left")
-    w = Window.partitionBy(*keys).orderBy(_day_number(day))
-    w = w.rangeBetween(-max_age, 0) if mode == "observed" else w.rowsBetween(Window.unboundedPreceding, 0)
-    source = grid.withColumn("source_day", F.last("_seen", ignorenulls=True).over(w)).filter("source_day IS NOT NULL")
-    days = settle(source.select(*keys, day, "source_day"), "days")
+    have = rows.select(*keys, F.col(day).alias("source_day")).filter(F.col(day).isNotNull()).distinct()
+    until = rows.agg(F.max(day)).scalar()
+    days = settle(_reach(have, "source_day", keys, max_age if mode == "observed" else None, until, day), "days")
     return rows.withColumnRenamed(day, "source_day").join(days, [*keys, "source_day"])
 
 
+def _reach(have: DataFrame, day: str, keys: Sequence[str], max_age: int | None, until: Column | None, out: str) -> DataFrame:
+    """Each row for every day it is the latest for: up to the day before the key's next row, and
+    no more than ``max_age`` days. The last row of a key reaches to ``until``."""
+    after = F.lead(day).over(Window.partitionBy(*keys).orderBy(day))
+    last = F.coalesce(F.date_sub(after, 1), F.greatest(F.col(day), until) if until is not None else F.col(day))
+    if max_age is not None:
+        last = F.least(last, F.date_add(day, max_age))
+    return have.withColumn("_last", last).select("*", F.explode(F.sequence(day, "_last")).alias(out)).drop("_last")
+
+
+def as_of(
+    observed: DataFrame, value: str = "value", day: str = "date", keys: Sequence[str] = (), max_age: int | None = 7,
+    default: float | None = None, until: Column | None = None,
+) -> DataFrame:
+    """Every day from a key's first observation to its last (or to ``until``), with the value of
+    the latest observation up to it and its age in days.
+
+    ``observed`` has one row per key and day; null values do not count. A value older than
+    ``max_age`` days is not carried: such days have ``default``, or no row without one. With
+    ``max_age=None`` values never expire. One window over the observations; days are made from
+    the gaps, so keys are not multiplied by a calendar.
+    """
+    rows = observed.filter(F.col(value).isNotNull()).select(*keys, F.col(day).alias("_day"), F.col(value).alias("_value"))
+    reach = _reach(rows, "_day", keys, max_age if default is None else None, until, day)
+    age = F.date_diff(day, "_day")
+    fresh = F.lit(True) if max_age is None else age <= max_age
+    return reach.select(
+        *keys, day, F.when(fresh, F.col("_value")).otherwise(F.lit(default)).alias("filled"), F.when(fresh, age).alias("age_days")
+    )
+
+
 def _spread(value: str, ddof: int):
     return F.stddev_samp(value) if ddof == 1 else F.stddev_pop(value)
 

@@ -17,26 +17,27 @@ def label_measures(label: str, score: str, target: str, denominator: str = "scor
     """Aggregates: n_rows, n_label, share, mean_score, intensity.
 
     ``denominator`` is the row count the share divides by: ``'scored'`` (rows with a
-    label) or ``'all'``. Intensity is the mean over the denominator of the score where
-    the label holds and 0 elsewhere, which is share times mean_score. All are 0 when
-    there is nothing to divide by.
+    label) or ``'all'``. The mean is over the rows under the label that have a score.
+    Intensity is the mean over the denominator of the score where the label holds and 0
+    elsewhere. All are 0 when there is nothing to divide by. A decimal score gives exact
+    decimals.
     """
     if denominator not in ("scored", "all"):
         raise ValueError(f"denominator must be 'scored' or 'all', not {denominator!r}")
     hit = label_is(label, target)
     n = F.count(F.col(label)) if denominator == "scored" else F.count(F.lit(1))
     n_label = F.count_if(hit)
-    total = F.sum(F.when(hit, F.col(score)))
+    held = F.when(hit, F.col(score))
 
     def ratio(a: Column, b: Column) -> Column:
-        return F.coalesce(F.try_divide(a, b), F.lit(0.0))
+        return F.coalesce(F.try_divide(a, b), F.lit(0))
 
     return [
         n.alias("n_rows"),
         n_label.alias("n_label"),
         ratio(n_label, n).alias("share"),
-        ratio(total, n_label).alias("mean_score"),
-        ratio(total, n).alias("intensity"),
+        F.coalesce(F.avg(held), F.lit(0)).alias("mean_score"),
+        ratio(F.sum(held), n).alias("intensity"),
     ]
 
 
@@ -59,7 +60,7 @@ def label_by_period(
 def group_label_mean(df: DataFrame, group: str, label: str, score: str, target: str) -> DataFrame:
     """Mean score under a label per group; 0 for a group that has none."""
     mean = F.avg(F.when(label_is(label, target), F.col(score)))
-    return df.groupBy(group).agg(F.coalesce(mean, F.lit(0.0)).alias("mean_score"))
+    return df.groupBy(group).agg(F.coalesce(mean, F.lit(0)).alias("mean_score"))
 
 
 def ingest_stats(df: DataFrame, text: str, by: Sequence[str] = (), empty_as_failed: bool = False) -> DataFrame:
@@ -85,3 +86,13 @@ def group_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
 def completeness_rate(presence: DataFrame, present: str, by: Sequence[str] = ()) -> DataFrame:
     """Share of expected outputs that exist."""
     return presence.groupBy(*by).agg(F.avg(F.col(present).cast("double")).alias("rate"))
+
+
+def day_completeness(df: DataFrame, by: Sequence[str], day: str = "date") -> DataFrame:
+    """Share of the days from the first to the last of the whole frame on which a key has rows.
+
+    Counts distinct days; keys and days are never multiplied.
+    """
+    ends = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    n_days = ends.select(F.date_diff("hi", "lo") + 1).scalar()
+    return df.groupBy(*by).agg((F.count_distinct(day) / n_days).alias("rate"))

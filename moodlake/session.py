@@ -44,13 +44,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder on this machine: on a cluster the
-    executors would not see it, and it would be lost with the node.
+    Only a session whose executors are threads of this process may do without: it takes a
+    folder of its own. On a cluster the setting is required, and a folder of the local file
+    system is refused, since other machines would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.conf.get("spark.master", "")
     if root:
+        if root.startswith("file:") and not master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir is {root}, which other machines cannot reach")
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
@@ -73,18 +77,3 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread_tasks(scan: DataFrame) -> int | None:
-    """The number of cores if a file scan has fewer splits than that, else None."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return cores if scan.rdd.getNumPartitions() < cores else None
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core a share of heavy per-row work on a table in a few small files.
-
-    A table with more splits than cores is returned as it is.
-    """
-    tasks = spread_tasks(scan)
-    return scan.repartition(tasks) if tasks else scan

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import date
+from itertools import islice, product
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -31,20 +34,43 @@ def name_by_width(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*[f"Column_{i}" for i in range(width)])
 
 
-def scan_tsv(spark: SparkSession, path: str | list[str], width: int, multi_line: bool = False) -> DataFrame:
-    """Headerless tab-separated text as ``width`` string columns ``_c0 .. _cN``.
-
-    ``multi_line`` allows quoted line breaks but makes each file one task; feed files
-    have none, so it is off and large files are split.
-    """
-    return (
-        spark.read.schema(strings(f"_c{i}" for i in range(width)))
+def _feed(spark: SparkSession, path: str | list[str], names: list[str], multi_line: bool) -> DataFrame:
+    """The columns, the raw record where its width is not theirs, the file, and the tabs in it."""
+    raw = (
+        spark.read.schema(strings(names + [BAD_RECORD]))
         .option("sep", "\t")
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_RECORD)
+        # A pruned scan would not see that a row has the wrong width.
+        .option("columnPruning", False)
+        # A file that cannot be read to its end costs itself, not the job.
+        .option("ignoreCorruptFiles", True)
         .csv(path)
+        .select(*names, BAD_RECORD, F.col("_metadata.file_path").alias("file"))
     )
+    unquoted = F.regexp_replace(F.col(BAD_RECORD), '"[^"]*"', "")
+    return raw.filter(_touch(names[0])).withColumn("tabs", F.regexp_count(unquoted, F.lit("\t")))
+
+
+def _wrong_width(raw: DataFrame, width: int) -> DataFrame:
+    error = F.concat(F.lit("expected "), F.lit(width), F.lit(" columns, found "), F.col("tabs") + 1)
+    return raw.select("file", error.alias("error"), F.col(BAD_RECORD).alias("record"))
+
+
+def scan_tsv(spark: SparkSession, path: str | list[str], width: int, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Headerless tab-separated text as ``width`` string columns ``_c0 .. _cN``: (rows, dead letters).
+
+    A row with fewer fields is filled up with nulls; one with more goes to the dead letters
+    with its file and raw text. ``multi_line`` allows quoted line breaks but makes each file
+    one task; feed files have none, so it is off and large files are split.
+    """
+    names = [f"_c{i}" for i in range(width)]
+    raw = _feed(spark, path, names, multi_line)
+    wide = F.coalesce(F.col("tabs") >= width, F.lit(False))
+    return raw.filter(~wide).select(*names), _wrong_width(raw.filter(wide), width)
 
 
 def _touch(any_column: str) -> Column:
@@ -53,6 +79,12 @@ def _touch(any_column: str) -> Column:
     return F.coalesce(F.col(any_column).cast("string"), F.lit("")) >= ""
 
 
+def tsv_width(spark: SparkSession, path: str | list[str]) -> int:
+    """The most fields that a record of the files has, quoted separators aside."""
+    lines = spark.read.text(path).select(F.regexp_replace("value", '"[^"]*"', "").alias("v"))
+    return (lines.agg(F.max(F.regexp_count("v", F.lit("\t")))).first()[0] or 0) + 1
+
+
 def scan_feed(
     spark: SparkSession,
     path: str | list[str],
@@ -66,65 +98,57 @@ def scan_feed(
     dead letters with their file and raw text instead of failing the job.
     """
     names = list(names)
-    raw = (
-        spark.read.schema(strings(names + [BAD_RECORD]))
-        .option("sep", "\t")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD)
-        # A pruned scan would not see that a row has the wrong width.
-        .option("columnPruning", False)
-        .csv(path)
-        .select(*names, BAD_RECORD, F.col("_metadata.file_path").alias("file"))
-    )
-    unquoted = F.regexp_replace(F.col(BAD_RECORD), '"[^"]*"', "")
-    tabs = F.regexp_count(unquoted, F.lit("\t"))
-    good = F.col(BAD_RECORD).isNull() | (tabs == len(names) - 2)
-    raw = raw.filter(_touch(names[0]))
+    raw = _feed(spark, path, names, multi_line)
+    good = F.col(BAD_RECORD).isNull() | (F.col("tabs") == len(names) - 2)
     named = null_tokens(raw.filter(good).select(*names), na_tokens)
-    dead = raw.filter(~good).select(
-        "file",
-        F.concat(F.lit("expected "), F.lit(len(names)), F.lit(" columns, found "), tabs + 1).alias("error"),
-        F.col(BAD_RECORD).alias("record"),
-    )
-    return named, dead
+    return named, _wrong_width(raw.filter(~good), len(names))
 
 
 def scan_zipped_tsv(spark: SparkSession, path: str | list[str], width: int) -> DataFrame:
-    """First member of each zip file as string columns; a bad archive gives one error row.
+    """Every member of every zip file as string columns, with the names of file and member.
 
-    Zip has no split points, so one archive is one task's work, read in chunks.
+    A row with fewer fields is filled up with nulls; one with more becomes an error row. An
+    archive is checked before its rows are given out, so a bad one gives one error row and
+    nothing else. Zip has no split points: one archive is one task's work, in chunks.
     """
     columns = [f"_c{i}" for i in range(width)]
-    schema = T.StructType(strings(["file", *columns, "error"]).fields)
+    names = ["file", "member", *columns, "error"]
+    schema = T.StructType(strings(names).fields)
+
+    def rows(file: str, archive: zipfile.ZipFile) -> Iterator[list]:
+        for member in archive.namelist():
+            with archive.open(member) as raw:
+                for row in csv.reader(io.TextIOWrapper(raw, "utf-8", "replace", newline=""), delimiter="\t"):
+                    if len(row) > width:
+                        yield [file, member, *row[:width], f"expected {width} columns, found {len(row)}: " + "\t".join(row)]
+                    elif row:
+                        yield [file, member, *(x or None for x in row), *[None] * (width - len(row)), None]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"]):
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(archive.namelist()[0]) as member:
-                        chunks = pd.read_csv(member, sep="\t", header=None, dtype=str, chunksize=_CHUNK_ROWS)
-                        for chunk in chunks:
-                            if chunk.shape[1] > width:
-                                raise ValueError(f"expected {width} columns, found {chunk.shape[1]}")
-                            chunk = chunk.reindex(columns=range(width)).set_axis(columns, axis=1)
-                            yield chunk.assign(file=file, error=None)[["file", *columns, "error"]]
+                    archive = zipfile.ZipFile(io.BytesIO(content))
+                    if bad := archive.testzip():
+                        raise zipfile.BadZipFile(f"bad member {bad}")
                 except Exception as exc:  # one unreadable archive must not stop the others
-                    row = dict.fromkeys(columns) | {"file": file, "error": f"{type(exc).__name__}: {exc}"}
-                    yield pd.DataFrame([row])[["file", *columns, "error"]]
+                    yield pd.DataFrame([[file, None, *[None] * width, f"{type(exc).__name__}: {exc}"]], columns=names)
+                    continue
+                every = rows(file, archive)
+                while chunk := list(islice(every, _CHUNK_ROWS)):
+                    yield pd.DataFrame(chunk, columns=names, dtype=object)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(read, schema)
 
 
 def scan_json_array(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, nan_tokens: Sequence[str] = ("NaN",)
+    spark: SparkSession, path: str | list[str], schema: T.StructType, nan_columns: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """Files that each hold one JSON array of records: (rows, dead letters).
 
-    A bare ``NaN`` arrives as the text "NaN" and becomes null. A file that does not
+    A bare ``NaN`` arrives as the text "NaN". In ``nan_columns`` it becomes null; a column of
+    free text is not among them, since there "NaN" may be a word. A file that does not
     parse yields one dead letter; the other files are not affected.
     """
     with_bad = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
@@ -141,7 +165,8 @@ def scan_json_array(
     dead = raw.filter(F.col(BAD_RECORD).isNotNull()).select(
         "file", F.lit("not a JSON array of records").alias("error"), F.col(BAD_RECORD).alias("record")
     )
-    return null_tokens(rows, nan_tokens), dead
+    plain = [F.when(F.col(c) != "NaN", F.col(c)).alias(c) if c in nan_columns else F.col(c) for c in schema.names]
+    return rows.select(*plain), dead
 
 
 def scan_text_array(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
@@ -166,26 +191,40 @@ def read_partition(
 ) -> DataFrame:
     """Rows of one partition (or of several values of it) under a partitioned root.
 
-    The conditions are on partition columns only, so other folders are never opened.
+    Conditions in the order of the folders name those folders, so no others are listed; in
+    another order the root is listed, and still only matching folders are opened.
     An absent partition gives no rows, or FileNotFoundError with ``on_missing='raise'``.
     """
     if on_missing not in ("skip", "raise"):
         raise ValueError(f"on_missing must be 'skip' or 'raise', not {on_missing!r}")
-    try:
-        df = spark.read.schema(schema).format(fmt).load(root)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        df = spark.createDataFrame([], schema)
-    for name, value in partition.items():
+    asked = {name: [value] if isinstance(value, (str, date)) else list(value) for name, value in partition.items()}
+    df = _load_folders(spark, root, schema, fmt, asked)
+    for name, values in asked.items():
         kind = df.schema[name].dataType
-        values = [value] if isinstance(value, (str, date)) else list(value)
         df = df.filter(F.col(name).isin([F.lit(str(v)).cast(kind) for v in values]))
     if on_missing == "raise" and df.isEmpty():
         raise FileNotFoundError(f"no rows for {partition} under {root}")
     return df
 
 
+def _load_folders(spark: SparkSession, root: str, schema: T.StructType, fmt: str, asked: dict[str, list]) -> DataFrame:
+    """The rows under ``root``, from the asked folders alone where they are found by name."""
+    reader = spark.read.schema(schema).format(fmt)
+
+    def load(*paths: str) -> DataFrame | None:
+        try:
+            return reader.option("basePath", root).load(list(paths))
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    tails = ["/".join(f"{k}={v}" for k, v in zip(asked, values)) for values in product(*asked.values())]
+    found = [f"{root.rstrip('/')}/{t}" for t in tails if asked and load(f"{root.rstrip('/')}/{t}") is not None]
+    df = load(*found) if found else load(root)
+    return df if df is not None else spark.createDataFrame([], schema)
+
+
 def scan_groups(
     spark: SparkSession, root: str, schema: T.StructType, groups: Sequence[str], group_col: str, **partition
 ) -> tuple[DataFrame, DataFrame]:
@@ -202,11 +241,12 @@ def scan_groups(
 def available_dates(spark: SparkSession, root: str) -> DataFrame:
     """Dates that have a folder under the root, newest first; other folders are ignored.
 
-    Lists files and reads none: of a binary-file scan only the path column is kept.
+    A date in the path of the root itself does not count. Lists files and reads none: of a
+    binary-file scan only the path column is kept.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(date_in_path(F.col("path")).alias("date"))
-    )
+    below = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*(?=/)", "", root).rstrip("/") + "/"
+    path = F.concat(F.lit("/"), F.substring_index(F.col("path"), below, -1))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(date_in_path(path).alias("date"))
     return files.filter(F.col("date").isNotNull()).distinct().orderBy(F.desc("date"))
 
 

@@ -19,8 +19,12 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """UTF-8 JSON records, one per line, optionally in partition folders."""
-    balanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).option("ignoreNullFields", False).json(path)
+    """UTF-8 JSON records, one per line, optionally in partition folders. Overwriting
+    replaces only the partitions present in ``df``."""
+    writer = balanced(df, partition_by).write.mode(mode).option("ignoreNullFields", False)
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    writer.json(path)
 
 
 def write_csv(df: DataFrame, path: str, decimals: int | None = 3, mode: str = "overwrite") -> None:
@@ -74,22 +78,24 @@ def upsert_keep_existing(
     fresh = keep_first(new, [date, key], order)
     stored = None
     try:
-        stored = spark.read.schema(new.schema).parquet(path)
+        stored = spark.read.option("mergeSchema", rewrite).parquet(path)
     except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
     if stored is not None:
-        # The dates of one batch: a handful of calendar days, and the partition filter.
-        days = [r[0] for r in new.select(date).distinct().collect()]
-        stored = stored.filter(F.col(date).isin(days))
+        # Spark prunes the partitions by the dates of the batch when it runs the join.
+        stored = stored.withColumn(date, F.col(date).cast(new.schema[date].dataType))
+        stored = stored.join(new.select(date).distinct(), date, "left_semi")
         fresh = fresh.join(stored.select(date, key), [date, key], "left_anti")
     if stored is None or not rewrite:
         balanced(fresh, [date]).write.mode("append").partitionBy(date).parquet(path)
         return
     stage = scratch_path(spark, "upsert")
-    balanced(stored.unionByName(fresh), [date]).write.partitionBy(date).parquet(stage)
+    # Columns that only the stored rows or only the new ones have are kept, with nulls.
+    both = stored.unionByName(fresh, allowMissingColumns=True)
+    balanced(both, [date]).write.partitionBy(date).parquet(stage)
     (
-        balanced(spark.read.schema(new.schema).parquet(stage), [date])
+        balanced(spark.read.schema(both.schema).parquet(stage), [date])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date)
