@@ -122,7 +122,8 @@ def _buckets(ids: DataFrame, id_col: str) -> list[float]:
     many = max(1, min(MAX_BUCKETS, rows // BUCKET_ROWS))
     shares = [k / many for k in range(1, many)]
     cuts = ids.select(F.percentile_approx(id_col, shares, 10 * many)).first()[0] if shares and rows else []
-    return [float("-inf"), *sorted({float(c) for c in cuts or []}), float("inf")]
+    # One cut at least: the bucketizer asks for it, and any place will do.
+    return [float("-inf"), *sorted({float(c) for c in cuts or [0.0]}), float("inf")]
 
 
 def next_texts(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
