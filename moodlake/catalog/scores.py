@@ -92,7 +92,7 @@ def label_intensity(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed AS (
       SELECT doc_id, CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % 256 AS dim, sum(n) AS n FROM words GROUP BY 1, 2),
     sizes AS (SELECT doc_id, sqrt(sum(n * n)) AS size FROM placed GROUP BY 1)
-    SELECT doc_id, dim, round(n / size, 6) AS weight FROM placed JOIN sizes USING (doc_id)
+    SELECT doc_id, dim, round(CAST(CAST(n / size AS FLOAT) AS DOUBLE), 6) AS weight FROM placed JOIN sizes USING (doc_id)
     """
 )
 def embed_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
