@@ -56,7 +56,27 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y%m%d%H%M%S') AS slot, COUNT(*) AS n_rows FROM events GROUP BY 1")
 def stream_slot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = streams.slot_counts(_event_stream(spark, sf_dir), "ts", _LAG)
-    stored = streams.run_to_table(counts, scratch_path(spark, "stream-slots"), "complete")
+    stored = streams.run_updates(counts, scratch_path(spark, "stream-slots"), ["slot"])
+    return stored.select(F.date_format("slot", "yyyyMMddHHmmss").alias("slot"), "n_rows")
+
+
+@query(
+    """
+    WITH w AS (SELECT max(ts) - INTERVAL 3 DAY AS mark FROM events WHERE event_id % 10 <> 0)
+    SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y%m%d%H%M%S') AS slot, COUNT(*) AS n_rows
+    FROM events, w WHERE event_id % 10 <> 0 OR time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE > mark GROUP BY 1
+    """
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the events arrives after all others: rows behind the watermark are dropped,
+    the others still join their slots."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    source, path, state = (scratch_path(spark, f"stream-late-{x}") for x in ("source", "slots", "state"))
+    late = F.col("event_id") % 10 == 0
+    for i, part in enumerate((events.filter(~late), events.filter(late))):
+        part.write.parquet(f"{source}/run={i}")
+        counts = streams.slot_counts(streams.read_files(spark, f"{source}/*", events.schema), "ts", _LAG)
+        stored = streams.run_updates(counts, path, ["slot"], checkpoint=state)
     return stored.select(F.date_format("slot", "yyyyMMddHHmmss").alias("slot"), "n_rows")
 
 
@@ -70,7 +90,7 @@ def stream_slot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_label_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     running = streams.label_stream(_event_stream(spark, sf_dir).withColumn("value", cents("value")), "ts", _LAG, "event_type", "value", "error")
-    stored = streams.run_to_table(running, scratch_path(spark, "stream-label"), "complete")
+    stored = streams.run_updates(running, scratch_path(spark, "stream-label"), ["period_start"])
     return stored.select(
         F.to_date("period_start").cast("string").alias("day"), "n_rows", "n_label",
         F.round("share", 6).alias("share"), round6("mean_score").alias("mean_score"),

@@ -13,7 +13,6 @@ from moodlake.session import settle
 # A (cluster, term) is hot when it has more than 1 in HOT_SHARE of all rows, so there
 # are fewer than HOT_SHARE hot pairs at any data size: a bound for their broadcast.
 HOT_SHARE = 10_000
-_SPREAD = 1024
 
 
 def term_counts(docs: DataFrame, doc: str, text: str, keep: Sequence[str] = (), stop_words: Sequence[str] = ()) -> DataFrame:
@@ -48,23 +47,15 @@ def token_totals(docs: DataFrame, text: str, stop_words: Sequence[str] = ()) ->
 def with_document_frequency(tf: DataFrame, doc: str, cluster: str) -> DataFrame:
     """Adds df, the number of the cluster's documents that hold the term.
 
-    A plain join on (cluster, term) would send all rows of a common term to one task.
-    Hot terms are joined by a broadcast whose row count has a fixed bound; the others
-    by a join in which each key is small. Rows done in the first step get a key that no
-    term can equal, spread by document, so they pass the second one evenly.
+    Two branches. Hot terms, of which there are fewer than ``HOT_SHARE``, are joined by
+    broadcast where their rows lie; most rows are such. The others are joined by a shuffle in
+    which each key is small. An aggregate over the result starts in the map tasks of either.
     """
     df = tf.groupBy(cluster, "term").agg(F.count("*").alias("df"))
     is_hot = F.col("df") * F.lit(HOT_SHARE) > F.lit(tf.count())
-    hot = df.filter(is_hot).select(cluster, "term", F.col("df").alias("_hot"))
-    cold = df.filter(~is_hot).select(cluster, F.col("term").alias("_key"), F.col("df").alias("_cold"))
-    aside = F.concat(F.lit("#"), F.pmod(F.xxhash64(doc), F.lit(_SPREAD)).cast("string"))
-    return (
-        tf.join(F.broadcast(hot), [cluster, "term"], "left")
-        .withColumn("_key", F.when(F.col("_hot").isNull(), F.col("term")).otherwise(aside))
-        .join(cold, [cluster, "_key"], "left")
-        .withColumn("df", F.coalesce("_hot", "_cold"))
-        .drop("_hot", "_cold", "_key")
-    )
+    hot = F.broadcast(df.filter(is_hot))
+    rare = tf.join(hot, [cluster, "term"], "left_anti").join(df.filter(~is_hot), [cluster, "term"])
+    return tf.join(hot, [cluster, "term"]).unionByName(rare)
 
 
 def document_scores(

@@ -75,27 +75,37 @@ def run_to_end(
         query.stop()
 
 
-def run_to_table(stream: DataFrame, path: str, output_mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Run to the end into a Parquet folder and read it.
+def run_to_table(stream: DataFrame, path: str, checkpoint: str | None = None) -> DataFrame:
+    """Run to the end in append mode into a Parquet folder and read it. The file sink's own
+    log makes each batch count once."""
+    spark = stream.sparkSession
+    query = (
+        stream.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream"))
+        .trigger(availableNow=True)
+        .format("parquet")
+        .start(path)
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
 
-    Append mode uses the file sink, whose own log makes each batch count once. Complete
-    mode replaces the folder with the latest full result.
+def run_updates(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str | None = None) -> DataFrame:
+    """Run an aggregation to the end in update mode; read the latest row of each key.
+
+    Each batch writes the rows it changed to a folder of its own, so a batch that runs again
+    replaces only itself and no reader's files are taken away. Windows older than the
+    watermark leave the state and are not written again.
     """
     spark = stream.sparkSession
-    if output_mode == "append":
-        query = (
-            stream.writeStream.outputMode("append")
-            .option("checkpointLocation", checkpoint or scratch_path(spark, "stream"))
-            .trigger(availableNow=True)
-            .format("parquet")
-            .start(path)
-        )
-        query.awaitTermination()
-    elif output_mode == "complete":
-        run_to_end(stream, lambda batch, _: batch.write.mode("overwrite").parquet(path), "complete", checkpoint)
-    else:
-        raise ValueError(f"output_mode must be 'append' or 'complete', not {output_mode!r}")
-    return spark.read.schema(stream.schema).parquet(path)
+    run_to_end(stream, lambda rows, batch: rows.write.mode("overwrite").parquet(f"{path}/batch={batch:012d}"), "update", checkpoint)
+    stored = spark.read.schema(f"{_ddl(stream)}, batch string").option("basePath", path).parquet(path)
+    latest = stored.groupBy(*keys).agg(F.max_by(F.struct(*stream.columns), "batch").alias("row"))
+    return latest.select("row.*")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
 def upsert_stream(

@@ -4,8 +4,9 @@ import __spark_entry__ as driver
 import pytest
 from compare import check, connect
 
+from moodlake.catalog import ORACLES, QUERIES
+
 SF = "/root/testdata/sf0.01"
-WITHOUT_SQL = {"kmeans_assign", "kmeans_best_k", "embed_hashing"}
 
 
 @pytest.fixture(scope="module")
@@ -13,13 +14,14 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
-    assert check(driver.queries()[name](spark, SF), con, driver.oracle_sql()[name]) > 0
+    assert check(QUERIES[name](spark, SF), con, ORACLES[name]) > 0
 
 
-def test_every_query_has_sql_but_the_listed_ones():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == WITHOUT_SQL
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):

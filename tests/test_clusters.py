@@ -46,9 +46,9 @@ def test_best_k(spark):
     assert clustering.best_k(same, range(3, 5), starts=1).k == 3
 
 
-def brute_silhouette(rows):
+def brute_silhouette(rows, power=1):
     x, labels = np.array([r[2] for r in rows], dtype=np.float32).astype(float), np.array([r[1] for r in rows])
-    gap = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    gap = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) ** power
     out = {}
     for i, r in enumerate(rows):
         own = labels == labels[i]
@@ -61,19 +61,10 @@ def brute_silhouette(rows):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [7, 1000])
-def test_silhouette_exact(spark, block_rows):
+def test_silhouette_squared(spark):
     df, rows = blobs(spark, n=40)
-    rows = rows + [(99, 9, [0.0, 1.0, 2.0, 3.0])]
-    df = spark.createDataFrame(rows, df.schema)
-    got = {r.id: r.silhouette for r in clustering.silhouette_exact(df, "id", "label", block_rows=block_rows).collect()}
-    want = brute_silhouette(rows)
-    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
-
-
-def test_silhouette_of_one_cluster_is_zero(spark):
-    df, _ = blobs(spark, n=6, centres=1)
-    assert all(r.silhouette == 0 for r in clustering.silhouette_exact(df, "id", "label").collect())
+    squared = brute_silhouette(rows, 2)
+    assert clustering.silhouette_squared(df, "label") == pytest.approx(sum(squared.values()) / len(squared))
 
 
 STOP = ("the", "of")
@@ -115,16 +106,20 @@ def test_representatives_for_any_split_of_hot_and_cold_terms(spark, monkeypatch,
     assert all(texts[r.doc] == r.text for r in got.collect())
 
 
-def test_the_join_on_terms_is_keyed_so_that_hot_rows_spread(spark):
+def test_rows_of_hot_terms_are_not_shuffled_before_they_are_summed(spark):
     df = spark.createDataFrame(documents(), "doc long, cluster string, text string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = representatives.with_document_frequency(term_counts(df, "doc", "text", ["cluster"]), "doc", "cluster")
-        plan = joined._jdf.queryExecution().executedPlan().toString()
+        plan = joined.groupBy("doc").sum("tf")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    shuffled = [line for line in plan.splitlines() if "SortMergeJoin" in line]
-    assert len(shuffled) == 1 and "_key" in shuffled[0] and "BroadcastHashJoin" in plan
+    lines = plan.splitlines()
+    union = next(i for i, line in enumerate(lines) if "Union" in line)
+    rare = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    assert sum("SortMergeJoin" in line for line in lines) == 1 and "LeftAnti" in plan
+    hot = next(line for line in lines[union:rare] if "BroadcastHashJoin" in line)
+    assert "Inner" in hot and not any("Exchange hash" in line for line in lines[union : lines.index(hot)])
 
 
 def test_term_counts(spark):

@@ -1,9 +1,9 @@
 """Plans at scale: what is pruned, pushed down, and never planned."""
 
 import pytest
-import __spark_entry__ as driver
 from pyspark.sql import functions as F
 
+from moodlake.catalog import QUERIES
 from moodlake.functions import times as tm
 from moodlake.operators import joins
 from moodlake.operators.dedup import keep_first_text
@@ -20,9 +20,9 @@ def events(spark):
     return spark.read.parquet(f"{SF}/events.parquet")
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - {"kmeans_best_k", "kmeans_assign"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"kmeans_best_k", "kmeans_assign"}))
 def test_no_query_plans_a_nested_loop_or_cross_join(spark, name):
-    plan = plan_of(driver.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -73,3 +73,13 @@ def test_catalog_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string,source:string>" in plan
     plan = plan_of(driver.queries()["label_share_daily"](spark, SF))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
+
+
+@pytest.mark.parametrize("name", ["label_share_mean", "score_lexicon", "tokenize_counts", "html_to_text", "embed_hashing"])
+def test_registered_text_queries_do_not_shuffle_texts(spark, name):
+    assert "RoundRobinPartitioning" not in plan_of(QUERIES[name](spark, SF))
+
+
+def test_as_of_scans_its_input_once(spark):
+    plan = plan_of(QUERIES["asof_observed"](spark, SF))
+    assert plan.count("FileScan parquet") == 1

@@ -40,9 +40,9 @@ def test_late_rows_after_the_watermark_are_dropped(spark, tmp_path):
 
 def test_slots_and_labels_equal_the_batch_result(spark, tmp_path):
     stream = land(spark, tmp_path, *DAY)
-    slots = streams.run_to_table(streams.slot_counts(stream, "ts", "1 day"), f"{tmp_path}/slots", "complete")
+    slots = streams.run_updates(streams.slot_counts(stream, "ts", "1 day"), f"{tmp_path}/slots", ["slot"])
     assert {str(r.slot)[11:16]: r.n_rows for r in slots.collect()} == {"10:00": 3, "10:15": 1}
-    daily = streams.run_to_table(streams.label_stream(stream, "ts", "1 day", "label", "score", "neg"), f"{tmp_path}/daily", "complete").first()
+    daily = streams.run_updates(streams.label_stream(stream, "ts", "1 day", "label", "score", "neg"), f"{tmp_path}/daily", ["period_start"]).first()
     batch = summary.label_by_period(spark.read.parquet(f"{tmp_path}/in/*"), "ts", "label", "score", "neg").first()
     assert (daily.n_rows, daily.n_label, daily.share, daily.mean_score) == (batch.n_rows, batch.n_label, batch.share, batch.mean_score)
 

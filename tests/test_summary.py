@@ -84,7 +84,6 @@ def test_one_bad_text_costs_one_row(spark):
     good, dead = split_failures(out)
     assert {r.id: r.score for r in good.collect()} == {1: 2.0, 3: None, 4: None, 5: 3.0}
     assert [(r.id, r.error) for r in dead.collect()] == [(2, "RuntimeError: no x")]
-    assert {r.id: r.score for r in score_model(df, "t", _raises_on_x, ["id"], max_chars=1).collect()}[5] == 1.0
     assert score_model(df.filter("false"), "t", _raises_on_x, ["id"]).count() == 0
 
 
@@ -117,3 +116,10 @@ def test_backfill_lists_every_day(spark):
 def test_backfill_rejects_bad_ranges(start, end):
     with pytest.raises(ValueError):
         parse_range(start, end)
+
+
+def test_a_labelled_row_without_a_score_does_not_pull_the_mean_down(spark):
+    df = spark.createDataFrame([("g", "neg", 1.0), ("g", "neg", None), ("g", "pos", 0.2)], "g string, label string, score double")
+    row = summary.label_summary(df, "label", "score", "neg").first()
+    assert (row.n_label, row.mean_score) == (2, 1.0) and row.intensity == pytest.approx(1 / 3)
+    assert summary.group_label_mean(df, "g", "label", "score", "neg").first().mean_score == 1.0

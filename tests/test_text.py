@@ -106,7 +106,7 @@ def test_find_words_counts_whole_words_only(spark):
     "html,text",
     [
         ("<html><body><p>One &amp; two</p><p>three</p></body></html>", "One & two\nthree"),
-        ("<body>x<article><h1>Head</h1><p>In <b>bold</b></p></article>y</body>", "In bold"),
+        ("<body>x<article><h1>Head</h1><p>In <b>bold</b></p></article>y</body>", "Head\nIn bold"),
         ("a<script>var x='<p>no</p>'</script>b<!-- <p>c</p> -->d", "abd"),
         ("&amp;lt;", "&lt;"),
         ("plain", "plain"),
@@ -130,3 +130,22 @@ def test_english_stop_words(spark):
 
 def test_empty_html_is_empty_not_null(spark):
     assert one(spark, "<p> </p>", F.char_length(tx.html_to_text("x"))) == 0
+
+
+def test_entities_are_decoded_once(spark):
+    given = "a&#8217;b &mdash; c&#x27;d &amp;lt; &eacute;&apos; &nope; &#0; &#55555555; &#x1F600; x & y;"
+    got = spark.createDataFrame([(given,), (None,), ("plain",)], "t string").select(tx.decode_entities("t").alias("t")).collect()
+    assert got[0].t == "a\u2019b \u2014 c'd &lt; é' &nope; &#0; &#55555555; \U0001f600 x & y;"
+    assert [r.t for r in got[1:]] == [None, "plain"]
+
+
+def test_a_page_keeps_its_headline(spark):
+    page = "<html><body><article><h1>Head</h1><p>Body</p></article></body></html>"
+    assert spark.createDataFrame([(page,)], "h string").select(tx.html_to_text("h")).first()[0] == "Head\nBody"
+
+
+def test_hosts_from_a_table(spark):
+    urls = [(1, "http://a.example.com/x"), (2, "https://EXAMPLE.com"), (3, "http://badexample.com"), (4, None), (5, "mailto:x"), (2, "https://EXAMPLE.com")]
+    hosts = spark.createDataFrame([("example.com",), ("A.example.com",), (None,)], "host string")
+    got = tx.of_hosts(spark.createDataFrame(urls, "id int, url string"), "url", hosts)
+    assert sorted(r.id for r in got.collect()) == [1, 2, 2] and got.columns == ["id", "url"]

@@ -49,13 +49,30 @@ def test_name_by_width(spark):
     assert readers.name_by_width(df, ["a"]).columns == ["Column_0", "Column_1"]
 
 
-def test_zip_reads_first_member_and_isolates_bad_archives(spark, tmp_path):
+def test_wide_rows_become_dead_letters(spark, tmp_path):
+    path = write(tmp_path / "w.tsv", "a\tb\tc\td\ne\tf\ng\n")
+    rows, dead = readers.scan_tsv(spark, path, 2)
+    assert sorted(tuple(r) for r in rows.collect()) == [("e", "f"), ("g", None)]
+    assert [(r.error, r.record) for r in dead.collect()] == [("expected 2 columns, found 4", "a\tb\tc\td")]
+    assert readers.tsv_width(spark, path) == 4
+
+
+def test_zip_reads_every_member_of_any_width(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "good.zip", "w") as z:
+        z.writestr("27.csv", "\t".join(f"v{i}" for i in range(27)) + "\n")
+        z.writestr("29.csv", "\t".join(f"w{i}" for i in range(28)) + "\n" + "\t".join(f"x{i}" for i in range(29)) + "\n")
+    rows = readers.scan_zipped_tsv(spark, str(tmp_path), 28).collect()
+    assert sorted((r.member, r._c0, r._c27) for r in rows if r.error is None) == [("27.csv", "v0", None), ("29.csv", "w0", "w27")]
+    assert [(r.member, r.error[:29]) for r in rows if r.error] == [("29.csv", "expected 28 columns, found 29")]
+
+
+def test_zip_isolates_bad_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "good.zip", "w") as z:
         z.writestr("one.csv", "1\ta\n2\tb\n")
         z.writestr("two.csv", "3\tc\n")
     (tmp_path / "bad.zip").write_bytes(b"not a zip")
     rows = readers.scan_zipped_tsv(spark, str(tmp_path), 2).collect()
-    assert sorted((r._c0, r._c1) for r in rows if r.error is None) == [("1", "a"), ("2", "b")]
+    assert sorted((r._c0, r._c1) for r in rows if r.error is None) == [("1", "a"), ("2", "b"), ("3", "c")]
     assert [r.error.split(":")[0] for r in rows if r.error] == ["BadZipFile"]
 
 
@@ -63,8 +80,10 @@ def test_json_array_nan_and_truncated_file(spark, tmp_path):
     write(tmp_path / "good.json", '[{"id": "1", "title": NaN, "score": 3}, {"id": "2", "title": "t", "extra": 1}]')
     write(tmp_path / "cut.json", '[{"id": "3", "title"')
     schema = T.StructType([schemas.POSTS["id"], schemas.POSTS["title"], schemas.POSTS["score"]])
-    rows, dead = readers.scan_json_array(spark, str(tmp_path), schema)
+    rows, dead = readers.scan_json_array(spark, str(tmp_path), schema, nan_columns=["title"])
     assert sorted((r.id, r.title, r.score) for r in rows.collect()) == [("1", None, 3), ("2", "t", None)]
+    kept, _ = readers.scan_json_array(spark, str(tmp_path), schema)
+    assert {r.title for r in kept.collect()} == {"NaN", "t"}
     assert rows.count() == 2 and dead.count() == 1
     assert dead.first().file.endswith("cut.json")
 
@@ -92,6 +111,8 @@ def test_partitions_missing_and_pruned(spark, tmp_path):
     assert [r.id for r in got.collect()] == ["1"]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    one = readers.read_partition(spark, root, df.schema, date="2024-01-01", group="g1")
+    assert one.inputFiles() and all("date=2024-01-01/group=g1" in f for f in one.inputFiles())
     assert readers.read_partition(spark, root, df.schema, date="2024-05-01").isEmpty()
     assert readers.read_partition(spark, root + "/absent", df.schema, date="2024-05-01").isEmpty()
     for missing in (root, root + "/absent"):
@@ -103,6 +124,13 @@ def test_partitions_missing_and_pruned(spark, tmp_path):
     assert rows.count() == 1 and {r.group: r.n_rows for r in counts.collect()} == {"g1": 1, "g3": 0}
 
 
+def test_dates_in_the_root_do_not_count(spark, tmp_path):
+    root = tmp_path / "2020-01-01" / "series"
+    write(root / "2024-05-05" / "data.csv", "x\n")
+    for form in (str(root), f"file://{root}"):
+        assert [r.date for r in readers.available_dates(spark, form).collect()] == [date(2024, 5, 5)]
+
+
 def test_available_dates_skips_other_folders(spark, tmp_path):
     for name in ("2024-01-02", "date=2024-01-05", "latest", "2024-13-01"):
         write(tmp_path / name / "data.csv", "x\n")
@@ -124,6 +152,22 @@ def test_upsert_keeps_stored_rows_and_is_idempotent(spark, tmp_path, rewrite):
         assert len(got) == 4 and {(r.id, r.text, r.date) for r in got} == want
 
 
+def test_rewrite_keeps_columns_that_only_the_store_has(spark, tmp_path):
+    d, root = date(2024, 1, 1), str(tmp_path / "store")
+    old = spark.createDataFrame([("1", "old", 7, d)], "id string, text string, extra int, date date")
+    writers.upsert_keep_existing(old, root, "id", ["text"])
+    writers.upsert_keep_existing(posts(spark, [("2", "new", "g", d)]), root, "id", ["text"], rewrite=True)
+    got = {(r.id, r.extra, r.group) for r in spark.read.parquet(root).collect()}
+    assert got == {("1", 7, None), ("2", None, "g")}
+
+
+def test_json_of_one_day_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "days")
+    for day in (date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 2)):
+        writers.write_json(posts(spark, [("1", "a", "g", day)]), path, ["date"])
+    assert sorted(p for p in os.listdir(path) if p.startswith("date=")) == ["date=2024-01-01", "date=2024-01-02"]
+
+
 def test_dead_letters_only_when_there_are_some(spark, tmp_path):
     df = spark.createDataFrame([("g", "1", None), ("g", "2", "boom")], "group string, id string, error string")
     good, dead = writers.split_failures(df)
