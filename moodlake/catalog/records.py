@@ -265,22 +265,27 @@ _PLANTED = "&mdash;it&#8217;s&#x2026; &Eacute;&apos;&amp;lt;&unknown;"
 _TAGS = "</?(p|div|h[1-6]|li|ul|ol|tr|table|section|blockquote)(\\s[^>]*)?/?>|<br(\\s[^>]*)?/?>"
 
 
-@query(
-    rf"""
-    WITH part AS (
-      SELECT page_id, regexp_extract(replace(html, '</p>', '{_PLANTED}</p>'), '(?is)<article[^>]*>(.*)</article>', 1) AS a FROM pages),
+def page_text_sql(html: str) -> str:
+    """CTEs that end in ``page_texts (page_id, url, text)``: the text of every page."""
+    return rf"""
+    part AS (
+      SELECT page_id, url, regexp_extract({html}, '(?is)<article[^>]*>(.*)</article>', 1) AS a FROM pages),
     cut AS (
-      SELECT page_id, regexp_replace(a, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g') AS t FROM part),
+      SELECT page_id, url, regexp_replace(a, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g') AS t FROM part),
     lines AS (
-      SELECT page_id, regexp_replace(regexp_replace(t, '(?i){_TAGS}', chr(10), 'g'), '<[^>]+>', '', 'g') AS t FROM cut),
+      SELECT page_id, url, regexp_replace(regexp_replace(t, '(?i){_TAGS}', chr(10), 'g'), '<[^>]+>', '', 'g') AS t FROM cut),
     plain AS (
-      SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(t,
+      SELECT page_id, url, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(t,
         '&mdash;', chr(8212)), '&#8217;', chr(8217)), '&#x2026;', chr(8230)), '&Eacute;', chr(201)), '&apos;', chr(39)),
-        '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS t FROM lines)
-    SELECT page_id, trim(regexp_replace(regexp_replace(t, '[ \t\r\f' || chr(160) || ']+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS text
-    FROM plain
+        '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS t FROM lines),
+    page_texts AS (
+      SELECT page_id, url,
+        trim(regexp_replace(regexp_replace(t, '[ \t\r\f' || chr(160) || ']+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS text
+      FROM plain)
     """
-)
+
+
+@query(f"WITH {page_text_sql("replace(html, '</p>', '" + _PLANTED + "</p>')")} SELECT page_id, text FROM page_texts")
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with entities planted in their text: named, numbered, and one escaped twice."""
     planted = F.regexp_replace("html", "</p>", f"{_PLANTED}</p>")

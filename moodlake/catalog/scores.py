@@ -12,14 +12,15 @@ from moodlake.catalog.registry import query, round6, sql_list, table
 from moodlake.operators.clustering import embed_hashing as embed_hashed
 from moodlake.operators.clustering import embed_model
 from moodlake.operators.scoring import score_model, score_words
-from moodlake.plans.daily import sentiment_by_group
+from moodlake.catalog.records import page_text_sql
+from moodlake.plans.daily import backfill_posts, news_job, posts_job, sentiment_by_group
 
 # Our own word lists, from the vocabulary of the test texts.
 POSITIVE = ("orre", "thatin", "inoran", "thre", "und", "los", "les")
 NEGATIVE = ("ononst", "rewh", "hehely", "orantion", "nicht", "que", "una")
 
 
-def _scored_sql(text: str) -> str:
+def _scored_sql(text: str, table: str = "documents") -> str:
     def hits(words):
         return (
             f"len(list_filter(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}_]+'), lambda w: w IN ({sql_list(words)})))"
@@ -28,7 +29,7 @@ def _scored_sql(text: str) -> str:
     return f"""
       SELECT *, CASE WHEN neg > pos THEN 'negative' WHEN pos > neg THEN 'positive' ELSE 'neutral' END AS label,
              (greatest(pos, neg) + 1) / CAST(pos + neg + 2 AS DOUBLE) AS score
-      FROM (SELECT *, {hits(POSITIVE)} AS pos, {hits(NEGATIVE)} AS neg FROM documents)
+      FROM (SELECT *, {hits(POSITIVE)} AS pos, {hits(NEGATIVE)} AS neg FROM {table})
     """
 
 
@@ -121,3 +122,60 @@ def embed_model_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A caller's model that maps a text to a vector, in batches of 32."""
     embedded = embed_model(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", _letter_model)
     return embedded.select("doc_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"n_{c}") for i, c in enumerate(_LETTERS)])
+
+
+_TITLED = "(SELECT conv_id, turn, role, nullif(role, 'system') || ' ' || text AS body FROM conversations)"
+
+
+@query(
+    f"""
+    WITH s AS ({_scored_sql("body", _TITLED)}), k AS (SELECT *, CASE WHEN body IS NOT NULL THEN label END AS l FROM s)
+    SELECT 'overall' AS part, NULL AS role, COUNT(*) AS n_rows, round(COUNT(*) FILTER (l = 'negative') / COUNT(*), 6) AS share,
+           round(coalesce(avg(score) FILTER (l = 'negative'), 0), 6) AS mean_score FROM k
+    UNION ALL SELECT 'group', role, NULL, NULL, round(coalesce(avg(score) FILTER (l = 'negative'), 0), 6)
+    FROM k WHERE body IS NOT NULL GROUP BY role
+    UNION ALL SELECT 'failed', role, COUNT(*), NULL, NULL FROM k WHERE body IS NULL GROUP BY role
+    """
+)
+def posts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts job over all conversations; one role has no title, so its posts fail."""
+    posts = table(spark, sf_dir, "conversations").withColumn("title", F.expr("nullif(role, 'system')"))
+    done = posts_job(posts, "title", "text", "role", ["conv_id", "turn"], POSITIVE, NEGATIVE)
+    none = F.lit(None)
+    overall = done.overall.select(F.lit("overall").alias("part"), none.cast("string").alias("role"), "n_rows", F.round("share", 6).alias("share"), round6("mean_score").alias("mean_score"))
+    groups = done.by_group.select(F.lit("group").alias("part"), "role", none.cast("long").alias("n_rows"), none.cast("double").alias("share"), round6("mean_score").alias("mean_score"))
+    failed = done.failed.groupBy("role").agg(F.count("*").alias("n_rows"))
+    failed = failed.select(F.lit("failed").alias("part"), "role", "n_rows", none.cast("double").alias("share"), none.cast("double").alias("mean_score"))
+    return overall.unionByName(groups).unionByName(failed)
+
+
+@query(
+    f"""
+    WITH {page_text_sql("html")},
+    firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM page_texts) WHERE rn = 1),
+    s AS ({_scored_sql("text", "firsts")})
+    SELECT lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, COUNT(*) AS n_rows, COUNT(*) FILTER (label = 'negative') AS n_label,
+           round(coalesce(avg(score) FILTER (label = 'negative'), 0), 6) AS mean_score
+    FROM s WHERE contains(lower(url), 'example.com') OR contains(lower(url), 'example.org') GROUP BY 1
+    """
+)
+def news_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The news job over all pages: two domains kept, text taken out of the pages, scored per host."""
+    done = news_job(table(spark, sf_dir, "pages"), "url", "html", ["example.com", "example.org"], ["page_id"], POSITIVE, NEGATIVE)
+    return done.select("host", "n_rows", "n_label", round6("mean_score").alias("mean_score"))
+
+
+@query(
+    f"""
+    WITH p AS (SELECT DATE '2024-01-01' + CAST(turn AS INTEGER) AS day, role || ' ' || text AS body FROM conversations),
+    s AS ({_scored_sql("body", "p")}), days AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS d)
+    SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date, COUNT(label) AS n_rows, COUNT(*) FILTER (label = 'negative') AS n_label,
+           round(coalesce(avg(score) FILTER (label = 'negative'), 0), 6) AS mean_score
+    FROM days LEFT JOIN s ON s.day = CAST(d AS DATE) GROUP BY 1
+    """
+)
+def backfill_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw posts, a turn standing for a day, scored and summarised for a whole month."""
+    posts = table(spark, sf_dir, "conversations").withColumn("ts", F.date_add(F.lit("2024-01-01").cast("date"), F.col("turn").cast("int")).cast("timestamp"))
+    done = backfill_posts(posts, "2024-01-01", "2024-01-31", "role", "text", "role", POSITIVE, NEGATIVE)
+    return done.select(F.col("date").cast("string").alias("date"), "n_rows", "n_label", round6("mean_score").alias("mean_score"))

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodlake.functions.text import contains_any, has_url
+from moodlake.functions.text import concat_clean, contains_any, has_url, html_to_text, text_status, url_host
 from moodlake.operators.dedup import keep_first, keep_first_text
 from moodlake.operators.scoring import score_words
-from moodlake.operators.summary import label_summary
+from moodlake.operators.summary import group_label_mean, label_summary
 
 
 def select_news(
@@ -62,3 +63,63 @@ def backfill(
     n_days = (last - first).days + 1
     every = scored.sparkSession.range(n_days).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("date"))
     return every.join(summary, "date", "left").na.fill(0)
+
+
+@dataclass(frozen=True)
+class PostsResult:
+    """What the daily posts job writes: scored rows, failed rows and the two summaries."""
+
+    scored: DataFrame
+    failed: DataFrame
+    overall: DataFrame
+    by_group: DataFrame
+
+
+def posts_job(
+    posts: DataFrame, title: str, body: str, group: str, keep: Sequence[str], positive: Sequence[str], negative: Sequence[str],
+    target: str = "negative", by: Sequence[str] = (),
+) -> PostsResult:
+    """Title and body joined, scored and summarised over all posts and per group.
+
+    A post without a title or body is a failure: it gets no score, goes to ``failed``, and
+    still counts in the denominator of the overall share.
+    """
+    joined = posts.withColumn("_text", concat_clean(title, body, "fail"))
+    scored = score_words(joined, "_text", positive, negative).withColumn("_status", text_status("_text"))
+    columns = list(dict.fromkeys([*keep, group, *by]))
+    failed = scored.filter("_status = 'failed'").select(*columns, F.lit("title or body is missing").alias("error"))
+    good = scored.filter("_status <> 'failed'").select(*columns, "label", "score")
+    everything = scored.select(*columns, "label", "score")
+    return PostsResult(
+        good, failed,
+        label_summary(everything, "label", "score", target, by, denominator="all"),
+        group_label_mean(good, group, "label", "score", target),
+    )
+
+
+def news_job(
+    pages: DataFrame, url: str, html: str, domains: Sequence[str], order: Sequence[str], positive: Sequence[str],
+    negative: Sequence[str], target: str = "negative",
+) -> DataFrame:
+    """Pages of the listed domains, one per address: text taken out, scored, summarised per host.
+
+    Filter and deduplication come first, so only pages that count are parsed.
+    """
+    first = keep_first(pages.filter(has_url(url) & contains_any(url_host(url), domains)), [url], order)
+    texts = first.select(url_host(url).alias("host"), html_to_text(html).alias("_text"))
+    return label_summary(score_words(texts, "_text", positive, negative), "label", "score", target, ["host"])
+
+
+def backfill_posts(
+    posts: DataFrame, start: str, end: str, title: str, body: str, group: str, positive: Sequence[str], negative: Sequence[str],
+    ts: str = "ts", target: str = "negative",
+) -> DataFrame:
+    """Raw posts of an inclusive range of days, joined, scored and summarised per day in one job.
+
+    The range is cut before anything is scored; days without posts appear with zeros.
+    """
+    first, last = parse_range(start, end)
+    kind = posts.schema[ts].dataType
+    days = posts.filter((F.col(ts) >= F.lit(str(first)).cast(kind)) & (F.col(ts) < F.date_add(F.lit(last), 1).cast(kind)))
+    scored = score_words(days.withColumn("_text", concat_clean(title, body)), "_text", positive, negative)
+    return backfill(scored.select(ts, group, "label", "score"), start, end, "label", "score", target, ts)
