@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,60 +49,155 @@ def as_features(df: DataFrame, embedding: str = "embedding") -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col(embedding).cast("array<double>")))
 
 
+INIT_ROWS = 4096
+
+
+@dataclass(frozen=True)
+class Centres:
+    """A fitted K-means: the centres, the sizes of their clusters and the summed squared distances."""
+
+    centres: np.ndarray
+    sizes: np.ndarray
+    cost: float
+
+    def nearest(self, x: np.ndarray) -> np.ndarray:
+        return _gaps(x, self.centres).argmin(1)
+
+
+def _gaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of rows to centres."""
+    return np.maximum((x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1), 0)
+
+
 @contextmanager
-def _kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Hold the vectors while many fits pass over them; spills to disk, and a lost
-    block is computed again from its source."""
-    held = df.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+def _kept(df: DataFrame, embedding: str) -> Iterator[DataFrame]:
+    """Hold the vectors while passes go over them; spills to disk, and a lost block is computed
+    again from its source."""
+    vectors = df.select(F.col(embedding).cast("array<double>").alias("v")).filter(F.col("v").isNotNull())
+    held = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield held
     finally:
         held.unpersist()
 
 
-def _fit_all(features: DataFrame, ks: Sequence[int], starts: int, seed: int, max_iter: int) -> dict[int, KMeansModel]:
-    """For each k the cheapest of ``starts`` fits; the first wins a tie.
+def _first_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """K-means++ on the sample: each next centre is drawn by its squared distance to the others."""
+    draw = np.random.default_rng(seed)
+    chosen = [sample[draw.integers(len(sample))]]
+    gap = _gaps(sample, np.array(chosen))[:, 0]
+    for _ in range(k - 1):
+        total = gap.sum()
+        at = draw.choice(len(sample), p=gap / total) if total > 0 else draw.integers(len(sample))
+        chosen.append(sample[at])
+        gap = np.minimum(gap, _gaps(sample, sample[at : at + 1])[:, 0])
+    return np.array(chosen)
 
-    A fit over many splits fills the cluster, so such fits run one after the other.
-    Fits over few splits leave cores idle and run side by side.
-    """
 
-    def fit(k: int, s: int) -> KMeansModel:
-        return KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(features)
-
-    cores = features.sparkSession.sparkContext.defaultParallelism
-    at_once = max(1, 2 * cores // max(1, features.rdd.getNumPartitions()))
-    jobs = [(k, seed + i) for k in ks for i in range(starts)]
-    # Wrapped one by one: fits that shared a wrapper would share its job properties.
-    fits = [inheritable_thread_target(features.sparkSession)(partial(fit, *job)) for job in jobs]
-    with ThreadPoolExecutor(max_workers=min(at_once, len(fits))) as pool:
-        models = list(pool.map(lambda run: run(), fits))
-    best: dict[int, tuple[float, KMeansModel]] = {}
-    for (k, _), model in zip(jobs, models):
-        # Nine digits: the last ones change with the order in which tasks are summed.
-        cost = float(f"{model.summary.trainingCost:.9g}")
-        if k not in best or cost < best[k][0]:
-            best[k] = (cost, model)
-    return {k: model for k, (_, model) in best.items()}
+def _sums(vectors: DataFrame, runs: list[np.ndarray]) -> dict[tuple[int, int], tuple[int, float, float, np.ndarray]]:
+    """(count, summed distance, summed squares, summed vectors) of each cluster of each run.
+
+    One pass for all runs. A task sends one row per run and cluster; the driver gets as many,
+    a number set by the parameters alone.
+    """
+    starts = np.cumsum([0, *(len(c) for c in runs)])
+    stacked = np.concatenate(runs)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, cost, square, total = (np.zeros(s) for s in (len(stacked), len(stacked), len(stacked), stacked.shape))
+        for frame in frames:
+            x = np.stack(frame["v"].to_numpy())
+            gaps, size = _gaps(x, stacked), (x**2).sum(1)
+            for low, high in zip(starts, starts[1:]):
+                own = gaps[:, low:high].argmin(1)
+                hot = np.zeros((len(x), high - low))
+                hot[np.arange(len(x)), own] = 1
+                n[low:high] += hot.sum(0)
+                cost[low:high] += hot.T @ gaps[np.arange(len(x)), low + own]
+                square[low:high] += hot.T @ size
+                total[low:high] += hot.T @ x
+        full = np.flatnonzero(n)
+        yield pd.DataFrame({"at": full, "n": n[full].astype(int), "cost": cost[full], "square": square[full], "total": list(total[full])})
+
+    parts = vectors.mapInPandas(run, "at int, n long, cost double, square double, total array<double>")
+    parts = parts.withColumn("total", array_to_vector("total"))
+    rows = parts.groupBy("at").agg(F.sum("n"), F.sum("cost"), F.sum("square"), Summarizer.sum(F.col("total"))).collect()
+    out = {}
+    for at, n, cost, square, total in rows:
+        r = int(np.searchsorted(starts, at, "right")) - 1
+        out[r, at - int(starts[r])] = (n, cost, square, total.toArray())
+    return out
+
+
+def _fit_all(vectors: DataFrame, jobs: list[tuple[int, int]], max_iter: int, tol: float = 1e-9) -> list[Centres]:
+    """A fit for each ``(k, seed)``. All fits that have not settled move on in the same pass, so
+    there are as many passes as the slowest fit has iterations, whatever the number of fits.
+
+    Starts are drawn from about ``INIT_ROWS`` vectors, picked by hash; the fits use all.
+    """
+    rows = vectors.count()
+    if not rows:
+        raise ValueError("no vectors to cluster")
+    share = min(1.0, 2 * INIT_ROWS / rows)
+    sample = vectors.filter(F.pmod(F.xxhash64("v"), F.lit(1 << 20)) <= share * (1 << 20)) if rows > 2 * INIT_ROWS else vectors
+    drawn = np.array(sorted(list(r.v) for r in sample.collect()))
+    centres = [_first_centres(drawn, k, seed) for k, seed in jobs]
+    scale = max(float(drawn.var(0).sum()), 1e-30)
+    active = list(range(len(jobs)))
+    for _ in range(max_iter):
+        sums = _sums(vectors, [centres[j] for j in active])
+        moved = []
+        for r, j in enumerate(active):
+            new = centres[j].copy()
+            for c in range(len(new)):
+                if (r, c) in sums:
+                    new[c] = sums[r, c][3] / sums[r, c][0]
+            if ((new - centres[j]) ** 2).sum(1).max() > tol * scale:
+                moved.append(j)
+            centres[j] = new
+        active = moved
+        if not active:
+            break
+    sums = _sums(vectors, centres)
+    out = []
+    for j, c in enumerate(centres):
+        parts = [sums.get((j, i), (0, 0.0)) for i in range(len(c))]
+        out.append(Centres(c, np.array([p[0] for p in parts]), float(sum(p[1] for p in parts))))
+    return out
+
+
+def _cheapest(fits: list[Centres]) -> Centres:
+    """The fit with the least cost, the first on a tie; nine digits, since the last ones change
+    with the order in which tasks are summed."""
+    return min(fits, key=lambda f: float(f"{f.cost:.9g}"))
 
 
 def fit_kmeans(
     df: DataFrame, k: int, embedding: str = "embedding", starts: int = 10, seed: int = 42, max_iter: int = 300
-) -> KMeansModel:
+) -> Centres:
     """K-means, best of several starts."""
-    with _kept(as_features(df, embedding)) as features:
-        return _fit_all(features, [k], starts, seed, max_iter)[k]
+    with _kept(df, embedding) as vectors:
+        return _cheapest(_fit_all(vectors, [(k, seed + i) for i in range(starts)], max_iter))
 
 
-def assign(model: KMeansModel, df: DataFrame, embedding: str = "embedding") -> DataFrame:
-    """Adds the cluster of each row; one pass, no shuffle."""
-    return model.transform(as_features(df, embedding)).drop("features")
+def assign(model: Centres, df: DataFrame, embedding: str = "embedding") -> DataFrame:
+    """Adds the cluster of each row, null for a null vector; one pass, no shuffle."""
+
+    @F.pandas_udf("int")
+    def cluster(vectors: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(vectors), dtype="Int32")
+        known = vectors.notna().to_numpy()
+        if known.any():
+            out[known] = model.nearest(np.stack(vectors[known].to_numpy()).astype(float))
+        return out
+
+    return df.withColumn("cluster", cluster(F.col(embedding).cast("array<double>")))
 
 
 @dataclass(frozen=True)
 class BestK:
     k: int
-    model: KMeansModel
+    model: Centres
     scores: dict[int, float]
 
 
@@ -114,23 +207,52 @@ def best_k(
 ) -> BestK:
     """The k with the highest silhouette; the smaller k on a tie.
 
-    Uses the squared-Euclidean silhouette, which needs only the cluster sums and so is
-    one linear pass per k.
+    All starts of all k move together, one pass an iteration. Uses the squared-Euclidean
+    silhouette, which needs only the sums of the clusters: two more passes for all k.
     """
     ks = sorted(set(ks))
-    with _kept(as_features(df, embedding)) as features:
-        models = _fit_all(features, ks, starts, seed, max_iter)
-        scores: dict[int, float] = {}
-        for k in ks:
-            # A silhouette needs two clusters; a fit that collapsed to one cannot win.
-            if sum(1 for size in models[k].summary.clusterSizes if size) < 2:
-                scores[k] = -1.0
-            else:
-                scores[k] = _evaluator("cluster").evaluate(models[k].transform(features))
+    with _kept(df, embedding) as vectors:
+        fits = _fit_all(vectors, [(k, seed + i) for k in ks for i in range(starts)], max_iter)
+        models = {k: _cheapest(fits[i * starts : (i + 1) * starts]) for i, k in enumerate(ks)}
+        scores = dict(zip(ks, _silhouettes(vectors, [models[k].centres for k in ks])))
     chosen = max(ks, key=lambda k: (round(scores[k], 12), -k))
     return BestK(chosen, models[chosen], scores)
 
 
+def _silhouettes(vectors: DataFrame, runs: list[np.ndarray]) -> list[float]:
+    """Mean squared-Euclidean silhouette of each clustering, all in one pass after the sums; -1
+    where fewer than two clusters have rows."""
+    sums = _sums(vectors, runs)
+    stats = []
+    for r, c in enumerate(runs):
+        have = [i for i in range(len(c)) if (r, i) in sums]
+        n, _, square, total = (np.array([sums[r, i][k] for i in have]) for k in range(4))
+        stats.append((c[have], n, square, total))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, value = 0, np.zeros(len(stats))
+        for frame in frames:
+            x = np.stack(frame["v"].to_numpy())
+            rows += len(x)
+            for r, (c, n, square, total) in enumerate(stats):
+                if len(n) < 2:
+                    continue
+                own = _gaps(x, c).argmin(1)
+                far = np.maximum((x**2).sum(1)[:, None] * n - 2 * x @ total.T + square, 0)
+                at = np.arange(len(x))
+                inside = far[at, own] / np.maximum(n[own] - 1, 1)
+                far /= n
+                far[at, own] = np.inf
+                outside = far.min(1)
+                top = np.maximum(inside, outside)
+                value[r] += np.where((n[own] > 1) & (top > 0), (outside - inside) / np.where(top > 0, top, 1), 0).sum()
+        yield pd.DataFrame({"r": range(len(stats)), "value": value, "rows": rows})
+
+    parts = vectors.mapInPandas(run, "r int, value double, rows long")
+    got = {r.r: r.v / r.n for r in parts.groupBy("r").agg(F.sum("value").alias("v"), F.sum("rows").alias("n")).collect()}
+    return [got[r] if len(s[1]) > 1 else -1.0 for r, s in enumerate(stats)]
+
+
 def _evaluator(cluster: str) -> ClusteringEvaluator:
     return ClusteringEvaluator(
         predictionCol=cluster, featuresCol="features", metricName="silhouette", distanceMeasure="squaredEuclidean"

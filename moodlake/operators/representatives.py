@@ -51,7 +51,8 @@ def with_document_frequency(tf: DataFrame, doc: str, cluster: str) -> DataFrame:
     broadcast where their rows lie; most rows are such. The others are joined by a shuffle in
     which each key is small. An aggregate over the result starts in the map tasks of either.
     """
-    df = tf.groupBy(cluster, "term").agg(F.count("*").alias("df"))
+    # Written once, since it is read for either branch.
+    df = settle(tf.groupBy(cluster, "term").agg(F.count("*").alias("df")), "frequencies")
     is_hot = F.col("df") * F.lit(HOT_SHARE) > F.lit(tf.count())
     hot = F.broadcast(df.filter(is_hot))
     rare = tf.join(hot, [cluster, "term"], "left_anti").join(df.filter(~is_hot), [cluster, "term"])

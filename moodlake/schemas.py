@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The public column order of the global knowledge graph feed, version 2.1.
+# The public column order of the global knowledge graph feed, version 2.1,
+# and a 28th name that its layout does not have.
 NEWS_COLUMNS = (
     "GKGRECORDID", "DATE", "SourceCollectionIdentifier", "SourceCommonName",
     "DocumentIdentifier", "Counts", "V2Counts", "Themes", "V2Themes", "Locations",

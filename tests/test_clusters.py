@@ -31,11 +31,19 @@ def test_kmeans_finds_blobs_and_repeats(spark):
 def test_best_of_starts_is_the_cheapest(spark):
     rng = np.random.default_rng(3)
     df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(80)], "id long, embedding array<float>")
-    features = clustering.as_features(df)
-    costs = [clustering.fit_kmeans(df, 5, starts=1, seed=s).summary.trainingCost for s in (42, 43, 44)]
+    costs = [clustering.fit_kmeans(df, 5, starts=1, seed=s).cost for s in (42, 43, 44)]
     best = clustering.fit_kmeans(df, 5, starts=3, seed=42)
-    assert best.summary.trainingCost == pytest.approx(min(costs))
-    assert best.transform(features).count() == 80
+    assert best.cost == pytest.approx(min(costs))
+    assert best.sizes.sum() == 80
+
+
+def test_silhouette_of_a_fit_is_the_measure_of_its_clusters(spark):
+    df, _ = blobs(spark, n=40, centres=3)
+    best = clustering.best_k(df, [2, 3], starts=2)
+    assigned = clustering.assign(best.model, df)
+    assert best.scores[best.k] == pytest.approx(clustering.silhouette_squared(assigned, "cluster"))
+    odd = spark.createDataFrame([(1, None), (2, [0.0] * 4)], "id long, embedding array<float>")
+    assert [r.cluster is None for r in clustering.assign(best.model, odd).orderBy("id").collect()] == [True, False]
 
 
 def test_best_k(spark):
