@@ -69,9 +69,9 @@ def test_windows_join_on_a_bucket(spark):
 
 
 def test_catalog_reads_only_needed_columns(spark):
-    plan = plan_of(driver.queries()["dedup_keep_first"](spark, SF))
+    plan = plan_of(QUERIES["dedup_keep_first"](spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,text:string,source:string>" in plan
-    plan = plan_of(driver.queries()["label_share_daily"](spark, SF))
+    plan = plan_of(QUERIES["label_share_daily"](spark, SF))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
 
 
