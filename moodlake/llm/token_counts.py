@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -64,10 +64,20 @@ class Encoder:
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each text. Pre-tokens are counted once and remembered; a text with unusual
         characters or added tokens goes to the library whole."""
-        plain = [
-            self.splits and not _PLAIN.search(t) and not any(a in t for a in self.added) for t in texts
-        ]
+        plain = [self.plain(t) for t in texts]
         words = [self.pattern.findall(t) if p else None for t, p in zip(texts, plain)]
+        self.learn(words)
+        get = self.memo.__getitem__
+        out = [sum(map(get, ws)) if ws is not None else -1 for ws in words]
+        for k in [k for k, p in enumerate(plain) if not p]:
+            out[k] = len(self.library.encode(texts[k], add_special_tokens=False).ids)
+        return out
+
+    def plain(self, text: str) -> bool:
+        return self.splits and not _PLAIN.search(text) and not any(a in text for a in self.added)
+
+    def learn(self, words: list[list[str] | None]) -> None:
+        """Count the pre-tokens not counted yet."""
         new = list({w for ws in words if ws for w in ws if w not in self.memo})
         if len(self.memo) + len(new) > _MEMO_WORDS:
             self.memo = {}
@@ -76,14 +86,14 @@ class Encoder:
             part = new[at : at + 10_000]
             got = self.library.encode_batch_fast(part, add_special_tokens=False)
             self.memo.update(zip(part, (len(e.ids) for e in got)))
-        get = self.memo.__getitem__
-        out = [sum(map(get, ws)) if ws is not None else -1 for ws in words]
-        for k in [k for k, p in enumerate(plain) if not p]:
-            out[k] = len(self.library.encode(texts[k], add_special_tokens=False).ids)
-        return out
 
     def boundaries(self, text: str) -> tuple[list[int], list[int]]:
         """Starts of the pre-tokens and the tokens before each, with the end of the text last."""
+        if self.plain(text):
+            words = self.pattern.findall(text)
+            self.learn([words])
+            ends = np.cumsum([0, *map(len, words)])
+            return ends.tolist(), np.cumsum([0, *map(self.memo.__getitem__, words)]).tolist()
         coded = self.library.encode(text, add_special_tokens=False)
         starts, before, last = [0], [0], object()
         added = {self.library.token_to_id(a) for a in self.added}
@@ -189,7 +199,7 @@ def _long_counts(spark, long: DataFrame, tokenizer: str, chunk: int, overlap: in
 
         return run
 
-    def encode(size: int):
+    def encode(size: int, over: int):
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             use = encoder(tokenizer)
             for frame in frames:
@@ -199,8 +209,7 @@ def _long_counts(spark, long: DataFrame, tokenizer: str, chunk: int, overlap: in
                     total = (starts[-1] + s, before[-1])
                     keep = [(a + s, c) for a, c in zip(starts[:-1], before[:-1])]
                     # Only what a neighbour can meet is sent on: the overlaps and the ends.
-                    edge = len(t) - size
-                    keep = [x for x in keep if x[0] - s <= edge or x[0] - s >= size] + [total]
+                    keep = [x for x in keep if x[0] - s <= over or x[0] - s >= size] + [total]
                     rows.append((doc, b, h, n, s, safe, [x[0] for x in keep], [x[1] for x in keep]))
                 yield pd.DataFrame(rows, columns=["doc_id", "b", "h", "n", "start", "safe", "starts", "before"])
 
@@ -220,7 +229,7 @@ def _long_counts(spark, long: DataFrame, tokenizer: str, chunk: int, overlap: in
         size = max(chunk, over)
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         pieces = waiting.mapInPandas(pieces_of(size, over), pieces_schema).repartition(tasks, "doc_id", "h", "n")
-        marks = pieces.mapInPandas(encode(size), marks_schema)
+        marks = pieces.mapInPandas(encode(size, over), marks_schema)
         spliced = settle(
             marks.groupBy("doc_id", "h").applyInPandas(join, "doc_id string, b long, h long, total long"), "tokens-spliced"
         )
