@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodlake.functions.times import calendar
 from moodlake.session import settle
 
 
