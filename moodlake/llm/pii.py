@@ -280,7 +280,9 @@ def mask(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFra
     cuts = found.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(F.sort_array(F.collect_set(one)).alias("_cuts"))
     cuts = settle(cuts, "pii-cuts")
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_h"))
-    joined = docs.join(cuts, same, "left")
+    # A text that passes no cheap test has no span: it is not moved to meet the spans.
+    could = F.coalesce(reduce(lambda a, b: a | b, [F.col(text).rlike(test) for _, _, test, _ in SOURCES]), F.lit(False))
+    joined = docs.filter(could).join(cuts, same, "left")
     t = F.col(text)
     # Each span with the text between it and the span before it; of two that overlap, as base
     # spans of different kinds may, the second is joined to the first.
@@ -298,4 +300,4 @@ def mask(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFra
     out = joined.withColumn(text, changed)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_cuts").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return docs.filter(~could).unionByName(out.select(*docs.columns))
