@@ -72,7 +72,7 @@ def test_catalog_reads_only_needed_columns(spark):
     plan = plan_of(QUERIES["dedup_keep_first"](spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,text:string,source:string>" in plan
     plan = plan_of(QUERIES["label_share_daily"](spark, SF))
-    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in plan
 
 
 @pytest.mark.parametrize("name", ["label_share_mean", "score_lexicon", "tokenize_counts", "html_to_text", "embed_hashing"])
