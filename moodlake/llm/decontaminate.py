@@ -11,22 +11,24 @@ weighted-shingle similarity.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodlake.llm.common import prepare
+from moodlake.llm.common import prepare, settle
 
 WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 47
 BLOCKS = 16
 BLOCK_ITEMS = 50_000
+BLOCK_BYTES = 8 << 20
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -77,7 +79,10 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
 
 
 class Index:
-    """Items of the benchmark: their shingles, weights, and the blocks of their fingerprints."""
+    """Items of the benchmark: their shingles, weights, and the blocks of their fingerprints.
+
+    All of it is arrays: some 40 bytes a shingle and 512 bytes an item for the blocks.
+    """
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         self.items: list[tuple[int | None, int, np.ndarray]] = []
@@ -86,29 +91,44 @@ class Index:
             if len(words):
                 width = min(WORDS, len(words))
                 self.items.append((name, width, shingles(words, width)))
-        seen = Counter(h for _, _, s in self.items for h in set(s.tolist()))
-        self.unseen = float(np.log1p(len(self.items)))
-        self.weight = {h: float(np.log1p(len(self.items) / n)) for h, n in seen.items()}
-        self.keys = np.array(sorted(seen), _U)
-        self.filter = np.zeros(1 << 20, bool)
-        self.filter[self.keys & _U((1 << 20) - 1)] = True
         self.widths = sorted({w for _, w, _ in self.items})
-        self.at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.prints, self.totals = [], []
-        self.blocks: dict[tuple[int, int], set[int]] = defaultdict(set)
-        near = [sum(1 << b for b in c) for k in range(RADIUS // BLOCKS + 1) for c in combinations(range(8), k)]
-        for i, (_, _, s) in enumerate(self.items):
-            for place, h in enumerate(s.tolist()):
-                self.at[h].append((i, place))
-            w = self.weights(s)
-            self.totals.append(float(w.sum()))
-            self.prints.append(self.fingerprint(s, w))
-            for b, value in enumerate(self.prints[-1].tolist()):
-                for m in near:
-                    self.blocks[b, value ^ m].add(i)
+        self.width = np.array([w for _, w, _ in self.items], np.int64)
+        sizes = np.array([len(s) for _, _, s in self.items], np.int64)
+        flat = np.concatenate([np.zeros(0, _U), *(s for _, _, s in self.items)])
+        self.keys, key = np.unique(flat, return_inverse=True)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        pairs = np.unique(np.stack([key, owner], 1), axis=0)
+        self.unseen = float(np.log1p(len(sizes)))
+        self.weight = np.log1p(len(sizes) / np.bincount(pairs[:, 0], minlength=len(self.keys)))
+        slots = 1 << max(20, len(self.keys).bit_length() + 4)
+        self.slot = _U(slots - 1)
+        self.filter = np.zeros(slots, bool)
+        self.filter[self.keys & self.slot] = True
+        # Where windows are laid for a shingle: its place in an item, the item's size and width.
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.lay = np.unique(np.stack([key, place, sizes[owner], self.width[owner]], 1), axis=0)
+        self.first = np.searchsorted(self.lay[:, 0], np.arange(len(self.keys) + 1))
+        self.totals = [float(self.weights(s).sum()) for _, _, s in self.items]
+        self.prints = np.array([self.fingerprint(s, self.weights(s)) for _, _, s in self.items], np.uint8).reshape(-1, BLOCKS)
+        # For each block and value, a bit map of the items filed there.
+        masks = [sum(1 << b for b in c) for k in range(RADIUS // BLOCKS + 1) for c in combinations(range(8), k)]
+        filed = self.prints[:, :, None] ^ np.array(masks, np.uint8)
+        self.blocks = np.zeros((BLOCKS, 256, -(-len(sizes) // 8)), np.uint8)
+        for b in range(BLOCKS):
+            on = np.zeros((256, len(sizes)), bool)
+            on[filed[:, b], np.arange(len(sizes))[:, None]] = True
+            self.blocks[b] = np.packbits(on, axis=1)
 
     def weights(self, s: np.ndarray) -> np.ndarray:
-        return np.array([self.weight.get(h, self.unseen) for h in s.tolist()])
+        at, known = self.find(s)
+        return np.where(known, self.weight[at], self.unseen) if len(self.keys) else np.full(len(s), self.unseen)
+
+    def find(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each shingle among the keys, and whether it is one."""
+        if not len(self.keys):
+            return np.zeros(len(s), np.int64), np.zeros(len(s), bool)
+        at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
+        return at, self.keys[at] == s
 
     @staticmethod
     def fingerprint(s: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -119,31 +139,42 @@ class Index:
 
     def near(self, print_: np.ndarray) -> list[int]:
         """All items whose fingerprint lies within the radius."""
-        found: set[int] = set()
-        for b, value in enumerate(print_.tolist()):
-            found |= self.blocks.get((b, value), set())
-        return [i for i in found if int(np.unpackbits(print_ ^ self.prints[i]).sum()) <= RADIUS]
+        filed = np.bitwise_or.reduce(self.blocks[np.arange(BLOCKS), print_], axis=0)
+        found = np.flatnonzero(np.unpackbits(filed, count=len(self.items)))
+        bits = np.bitwise_count(self.prints[found] ^ print_).sum(axis=1, dtype=np.int64)
+        return found[bits <= RADIUS].tolist()
 
     def similarity(self, i: int, s: np.ndarray, w: np.ndarray) -> float:
         """Weight of the common shingles, repeats counted, over the larger total weight."""
         mine, his = Counter(self.items[i][2].tolist()), Counter(s.tolist())
-        common = sum(min(n, his[h]) * self.weight[h] for h, n in mine.items() if h in his)
+        weight = dict(zip(s.tolist(), w.tolist()))
+        common = sum(min(n, his[h]) * weight[h] for h, n in mine.items() if h in his)
         return common / max(self.totals[i], float(w.sum()))
 
+    def windows(self, s: np.ndarray, width: int) -> list[list[int]]:
+        """``[start, size]`` of every window of shingles to look at, without repeats."""
+        hit = np.flatnonzero(self.filter[s & self.slot])
+        at, known = self.find(s[hit])
+        hit, at = hit[known], at[known]
+        found = []
+        # A shingle of many items may occur often in one text: a bounded number at a time.
+        for k in range(0, len(hit), 4096):
+            many = self.first[at[k : k + 4096] + 1] - self.first[at[k : k + 4096]]
+            ends = np.cumsum(many)
+            row = np.arange(ends[-1]) - np.repeat(ends - many, many) + np.repeat(self.first[at[k : k + 4096]], many)
+            lay, own = self.lay[row], np.repeat(hit[k : k + 4096], many)
+            fits = lay[:, 3] == width
+            start = np.maximum(0, own[fits] - lay[fits, 1])
+            found.append(np.unique(np.stack([start, lay[fits, 2]], 1), axis=0))
+        return np.unique(np.concatenate(found), axis=0).tolist() if found else []
+
     def search(self, text: str | None) -> list[tuple[int | None, float]]:
         """Items contained in a whole text, each with its best similarity."""
         words = word_hashes(text)
         best: dict[int, float] = {}
         for width in self.widths:
             s = shingles(words, width)
-            hit = np.flatnonzero(self.filter[s & _U((1 << 20) - 1)])
-            hit = hit[np.isin(s[hit], self.keys)]
-            windows: set[tuple[int, int]] = set()
-            for place in hit.tolist():
-                for i, own in self.at[int(s[place])]:
-                    if self.items[i][1] == width:
-                        windows.add((max(0, place - own), len(self.items[i][2])))
-            for start, size in windows:
+            for start, size in self.windows(s, width):
                 part = s[start : start + size]
                 w = self.weights(part)
                 for i in self.near(self.fingerprint(part, w)):
@@ -154,16 +185,18 @@ class Index:
         return [(self.items[i][0], v) for i, v in sorted(best.items())]
 
 
-def _indexes(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str) -> list:
-    """The benchmark as broadcast indexes of at most about ``BLOCK_ITEMS`` items each."""
+def _indexes(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str) -> Iterator[tuple[int, Broadcast]]:
+    """Broadcast indexes of bounded size, made one after the other, and how many are to come.
+
+    A block has about ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` of their texts at most.
+    """
     spark = prepare(docs.sparkSession)
     items = benchmark.select(F.col(item).alias("i"), F.col(item_text).alias("t")).filter("t is not null")
-    blocks = -(-max(items.count(), 1) // BLOCK_ITEMS)
-    out = []
+    many, size = items.agg(F.count("*"), F.sum(F.octet_length("t"))).first()
+    blocks = max(1, -(-many // BLOCK_ITEMS), -(-(size or 0) // BLOCK_BYTES))
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()
-        out.append(spark.sparkContext.broadcast(Index(sorted(((r.i, r.t) for r in rows), key=str))))
-    return out
+        yield blocks - 1 - k, spark.sparkContext.broadcast(Index(sorted(((r.i, r.t) for r in rows), key=str)))
 
 
 def search(
@@ -173,37 +206,48 @@ def search(
 
     Items with fewer than five words count as one shingle; items without words and null texts
     match nothing. The benchmark is worked through in blocks of bounded size, each against
-    all documents.
+    all documents; the rows are written between blocks, so a task holds one block.
     """
-    indexes = _indexes(docs, benchmark, item, item_text)
-
+    schema = "doc_id string, n_items int, best double, item_ids array<long>"
+    start = [F.lit(0).alias("n_items"), F.lit(0.0).alias("best"), F.array().cast("array<long>").alias("item_ids")]
+    found = docs.select(F.col(id_col).cast("string").alias("doc_id"), *start, F.col(text).alias("t"))
+    for more, index in _indexes(docs, benchmark, item, item_text):
+        # Texts come back only where another block follows.
+        found = found.mapInPandas(_searcher(index, bool(more)), schema + ", t string" * bool(more))
+        found = settle(found, "decontaminate-found") if more else found
+    ids = F.array_sort("item_ids").alias("item_ids")
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("n_items") > 0).alias("contaminated"), "n_items", "best", ids)
+
+
+def _searcher(index: Broadcast, with_text: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [[x for index in indexes for x in index.value.search(t)] for t in frame["t"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": frame["doc_id"],
-                    "contaminated": [bool(f) for f in found],
-                    "n_items": [len(f) for f in found],
-                    "best": [max((v for _, v in f), default=0.0) for f in found],
-                    "item_ids": [sorted(i for i, _ in f if i is not None) for f in found],
-                }
+            new = [index.value.search(t) for t in frame["t"]]
+            out = frame if with_text else frame.drop(columns="t")
+            yield out.assign(
+                n_items=[n + len(f) for n, f in zip(frame["n_items"], new)],
+                best=[max([b, *(v for _, v in f)]) for b, f in zip(frame["best"], new)],
+                item_ids=[[*old, *(i for i, _ in f if i is not None)] for old, f in zip(frame["item_ids"], new)],
             )
 
-    thin = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text).alias("t"))
-    schema = "doc_id string, contaminated boolean, n_items int, best double, item_ids array<long>"
-    return thin.mapInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return run
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item."""
-    import pyarrow as pa
+    kept = docs
+    for more, index in _indexes(docs, benchmark, item, item_text):
+        kept = kept.mapInArrow(_keeper(index, text), docs.schema)
+        kept = settle(kept, "decontaminate-kept") if more else kept
+    return kept
 
-    indexes = _indexes(docs, benchmark, item, item_text)
+
+def _keeper(index: Broadcast, text: str):
+    import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            yield batch.filter(pa.array([not any(x.value.search(t) for x in indexes) for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([not index.value.search(t) for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return run

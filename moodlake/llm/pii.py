@@ -277,27 +277,30 @@ def mask(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFra
     """
     found = spans(docs, text, id_col).filter("kind is not null")
     one = F.struct("start", "end", "kind")
-    cuts = found.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(F.sort_array(F.collect_set(one)).alias("_cuts"))
+    # Names that no column of the caller's has.
+    tag = "_" * (1 + max(map(len, docs.columns)))
+    own, hashed, cuts_of = (tag + x for x in ("id", "h", "cuts"))
+    cuts = found.groupBy(F.col("doc_id").alias(own), F.col("h").alias(hashed)).agg(F.sort_array(F.collect_set(one)).alias(cuts_of))
     cuts = settle(cuts, "pii-cuts")
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_h"))
+    same = F.col(id_col).eqNullSafe(F.col(own)) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col(hashed))
     # A text that passes no cheap test has no span: it is not moved to meet the spans.
     could = F.coalesce(reduce(lambda a, b: a | b, [F.col(text).rlike(test) for _, _, test, _ in SOURCES]), F.lit(False))
     joined = docs.filter(could).join(cuts, same, "left")
     t = F.col(text)
     # Each span with the text between it and the span before it; of two that overlap, as base
     # spans of different kinds may, the second is joined to the first.
-    last = lambda i: F.array_max(F.transform(F.slice("_cuts", F.lit(1), i), lambda c: c["end"]))
+    last = lambda i: F.array_max(F.transform(F.slice(cuts_of, F.lit(1), i), lambda c: c["end"]))
     start_of = lambda c, i: F.when(i == 0, F.lit(0)).otherwise(last(i))
     between = F.transform(
-        "_cuts",
+        cuts_of,
         lambda c, i: F.when(
             c["start"] >= start_of(c, i),
             F.concat(F.substring(t, (start_of(c, i) + 1).cast("int"), (c["start"] - start_of(c, i)).cast("int")), F.lit("["), F.upper(c["kind"]), F.lit("]")),
         ).otherwise(F.lit("")),
     )
-    tail = F.substring(t, (last(F.size("_cuts")) + 1).cast("int"), F.length(t))
-    changed = F.when(F.col("_cuts").isNull(), t).otherwise(F.concat(F.array_join(between, ""), tail))
+    tail = F.substring(t, (last(F.size(cuts_of)) + 1).cast("int"), F.length(t))
+    changed = F.when(F.col(cuts_of).isNull(), t).otherwise(F.concat(F.array_join(between, ""), tail))
     out = joined.withColumn(text, changed)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cuts").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(cuts_of).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
     return docs.filter(~could).unionByName(out.select(*docs.columns))

@@ -23,6 +23,7 @@ from moodlake.llm.common import connected_components, prepare, settle
 SEED = 42
 WORDS = 3
 RADIUS = 2
+BLOCK = 1 << 16
 
 
 def simhash(text: str | None, words: int = WORDS) -> int:
@@ -35,9 +36,11 @@ def simhash(text: str | None, words: int = WORDS) -> int:
     starts = [0, *(e + 1 for e in ends[:-1])]
     width = min(words, len(parts))
     xx = xxhash.xxh64_intdigest
-    hashes = [xx(joined[s:e], SEED) for s, e in zip(starts, ends[width - 1 :])]
-    bits = np.unpackbits(np.array(hashes, np.uint64).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    votes = bits.sum(axis=0, dtype=np.int64)
+    hashes = np.array([xx(joined[s:e], SEED) for s, e in zip(starts, ends[width - 1 :])], np.uint64).astype(">u8")
+    votes = np.zeros(64, np.int64)
+    # A block at a time: unpacked bits take eight times the room of the hashes.
+    for at in range(0, len(hashes), BLOCK):
+        votes += np.unpackbits(hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int(np.packbits(votes * 2 > len(hashes)).view(">i8")[0])
 
 

@@ -188,6 +188,29 @@ def test_decontaminate(spark, docs, texts):
         assert got[d].contaminated == any(len(g & own) >= 0.8 * len(g) for g in grams.values())
 
 
+def test_decontaminate_in_blocks(spark, docs, monkeypatch):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    whole = sorted(decontaminate.search(docs, items).collect())
+    kept = {r.doc_id for r in decontaminate.clean(docs, items).collect()}
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 15)
+    parts = sorted(decontaminate.search(docs, items).collect())
+    # Weights are those of a block's items, so only the similarity may differ a little.
+    assert [(r.doc_id, r.contaminated, r.item_ids) for r in parts] == [(r.doc_id, r.contaminated, r.item_ids) for r in whole]
+    assert {r.doc_id for r in decontaminate.clean(docs, items).collect()} == kept == {r.doc_id for r in whole if not r.contaminated}
+
+
+def test_near_items_are_all_within_the_radius():
+    draw = random.Random(5)
+    items = [(k, " ".join(draw.choice("abcdefghij") * draw.randrange(1, 4) for _ in range(30))) for k in range(300)]
+    index = decontaminate.Index(items)
+    for _ in range(50):
+        at = draw.randrange(300)
+        bits = np.unpackbits(index.prints[at])
+        bits[draw.sample(range(128), draw.randrange(70))] ^= 1
+        wanted = [i for i in range(300) if int((np.unpackbits(index.prints[i]) != bits).sum()) <= decontaminate.RADIUS]
+        assert index.near(np.packbits(bits)) == wanted
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")

@@ -68,6 +68,17 @@ def test_filters_keep_all_columns(spark, odd):
     assert pii.mask(odd).count() == odd.count()
 
 
+def test_columns_named_like_the_operators_own(spark, odd):
+    own = ["_id", "_h", "_cuts", "_kept", "_lang", "rid", "n_items", "component", "node", "e", "own"]
+    named = odd.selectExpr("*", *[f"cast({k} as long) as {c}" for k, c in enumerate(own)])
+    bench = spark.createDataFrame([(1, "quick brown fox jumps over a lazy dog")], "item_id long, text string")
+    for kept in (simhash_dedup.keep_one(named), decontaminate.clean(named, bench), pii.mask(named)):
+        assert kept.columns == named.columns
+        assert all(r[c] == k for r in kept.collect() for k, c in enumerate(own))
+    for name, op in _ops(spark).items():
+        assert op(named).count() == odd.count(), name
+
+
 def test_known_values(spark, odd):
     got = {r.doc_id: r for r in repeats.repeated_bytes(odd).filter("doc_id is not null").collect()}
     assert got[0].n_bytes == 0 and got[0].kept_sha256 == hashlib.sha256(b"").hexdigest()
