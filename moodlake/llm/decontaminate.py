@@ -81,10 +81,14 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
 class Index:
     """Items of the benchmark: their shingles, weights, and the blocks of their fingerprints.
 
-    All of it is arrays: some 40 bytes a shingle and 512 bytes an item for the blocks.
+    All of it is arrays: some 40 bytes a shingle and 512 bytes an item for the blocks. Of a part
+    of a benchmark, ``total`` and ``counts`` are those of all of it: how many items have words,
+    and in how many items each shingle occurs (hashes and numbers).
     """
 
-    def __init__(self, items: list[tuple[int | None, str | None]]):
+    def __init__(
+        self, items: list[tuple[int | None, str | None]], total: int | None = None, counts: tuple[np.ndarray, np.ndarray] | None = None
+    ):
         self.items: list[tuple[int | None, int, np.ndarray]] = []
         for name, text in items:
             words = word_hashes(text)
@@ -97,9 +101,13 @@ class Index:
         flat = np.concatenate([np.zeros(0, _U), *(s for _, _, s in self.items)])
         self.keys, key = np.unique(flat, return_inverse=True)
         owner = np.repeat(np.arange(len(sizes)), sizes)
-        pairs = np.unique(np.stack([key, owner], 1), axis=0)
-        self.unseen = float(np.log1p(len(sizes)))
-        self.weight = np.log1p(len(sizes) / np.bincount(pairs[:, 0], minlength=len(self.keys)))
+        if counts is None:
+            pairs = np.unique(np.stack([key, owner], 1), axis=0)
+            total, counts = len(sizes), (self.keys, np.bincount(pairs[:, 0], minlength=len(self.keys)))
+        order = np.argsort(counts[0])
+        seen = counts[1][order][np.searchsorted(counts[0][order], self.keys)]
+        self.unseen = float(np.log1p(total))
+        self.weight = np.log1p(total / seen)
         slots = 1 << max(20, len(self.keys).bit_length() + 4)
         self.slot = _U(slots - 1)
         self.filter = np.zeros(slots, bool)
@@ -185,18 +193,35 @@ class Index:
         return [(self.items[i][0], v) for i, v in sorted(best.items())]
 
 
+def _item_shingles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each distinct shingle of an item with words, and one null for the item itself."""
+    for frame in frames:
+        for k, text in zip(frame["k"], frame["t"]):
+            words = word_hashes(text)
+            if len(words):
+                own = np.unique(shingles(words, min(WORDS, len(words)))).view(np.int64)
+                yield pd.DataFrame({"k": k, "h": pd.array([None, *own.tolist()], "Int64")})
+
+
 def _indexes(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str) -> Iterator[tuple[int, Broadcast]]:
     """Broadcast indexes of bounded size, made one after the other, and how many are to come.
 
-    A block has about ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` of their texts at most.
+    A block has about ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` of their texts at most. Weights
+    are those of the whole benchmark, whatever the blocks.
     """
     spark = prepare(docs.sparkSession)
     items = benchmark.select(F.col(item).alias("i"), F.col(item_text).alias("t")).filter("t is not null")
     many, size = items.agg(F.count("*"), F.sum(F.octet_length("t"))).first()
     blocks = max(1, -(-many // BLOCK_ITEMS), -(-(size or 0) // BLOCK_BYTES))
+    items = items.withColumn("k", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)))
+    counts = items.select("k", "t").mapInPandas(_item_shingles, "k long, h long").groupBy("h")
+    counts = settle(counts.agg(F.count("*").alias("n"), F.collect_set("k").alias("ks")), "decontaminate-shingles")
+    total = counts.filter("h is null").first()
     for k in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()
-        yield blocks - 1 - k, spark.sparkContext.broadcast(Index(sorted(((r.i, r.t) for r in rows), key=str)))
+        rows = sorted(((r.i, r.t) for r in items.filter(F.col("k") == k).collect()), key=str)
+        own = counts.filter(F.array_contains("ks", F.lit(k).cast("long")) & F.col("h").isNotNull()).select("h", "n").toPandas()
+        seen = own["h"].to_numpy(np.int64).view(_U), own["n"].to_numpy(np.int64)
+        yield blocks - 1 - k, spark.sparkContext.broadcast(Index(rows, total.n if total else 0, seen))
 
 
 def search(
