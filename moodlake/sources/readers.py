@@ -34,10 +34,51 @@ def name_by_width(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*[f"Column_{i}" for i in range(width)])
 
 
-def _feed(spark: SparkSession, path: str | list[str], names: list[str], multi_line: bool) -> DataFrame:
-    """The columns, the raw record where its width is not theirs, the file, and the tabs in it."""
+def _literal(path: str) -> str:
+    """The path with the signs of a pattern escaped."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def _readable(spark: SparkSession, path: str | list[str]) -> tuple[str | list[str], DataFrame | None]:
+    """The paths to read and the dead letters of files that cannot be read to their end, if any.
+
+    One pass reads all files strictly, with the retries of tasks for faults that pass. Only if
+    it fails are the files parted in halves, down to the single ones that fail.
+    """
+
+    def fault(paths: str | list[str]) -> str | None:
+        try:
+            spark.read.option("ignoreCorruptFiles", False).text(paths).write.format("noop").mode("append").save()
+        except AnalysisException:
+            raise
+        except Exception as exc:
+            return str(exc).strip()
+        return None
+
+    if fault(path) is None:
+        return path, None
+    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").distinct().sort("path").collect()]
+    good, bad, parts = [], [], [files]
+    while parts:
+        part = parts.pop()
+        error = fault([_literal(f) for f in part])
+        if error is None:
+            good += part
+        elif len(part) == 1:
+            bad.append((part[0], f"unreadable: {error}", None))
+        else:
+            parts += [part[: len(part) // 2], part[len(part) // 2 :]]
+    dead = spark.createDataFrame(bad, "file string, error string, record string") if bad else None
+    return [_literal(f) for f in good], dead
+
+
+def _feed(spark: SparkSession, path: str | list[str], names: list[str], multi_line: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the columns, the raw record where its width is not theirs, the file, and the tabs
+    in it; and the dead letters of unreadable files, if any."""
+    path, unreadable = _readable(spark, path)
+    schema = strings(names + [BAD_RECORD])
     raw = (
-        spark.read.schema(strings(names + [BAD_RECORD]))
+        spark.read.schema(schema)
         .option("sep", "\t")
         .option("quote", '"')
         .option("escape", '"')
@@ -46,31 +87,34 @@ def _feed(spark: SparkSession, path: str | list[str], names: list[str], multi_li
         .option("columnNameOfCorruptRecord", BAD_RECORD)
         # A pruned scan would not see that a row has the wrong width.
         .option("columnPruning", False)
-        # A file that cannot be read to its end costs itself, not the job.
-        .option("ignoreCorruptFiles", True)
-        .csv(path)
-        .select(*names, BAD_RECORD, F.col("_metadata.file_path").alias("file"))
+        .option("ignoreCorruptFiles", False)
     )
+    if path:
+        rows = raw.csv(path).select(*names, BAD_RECORD, F.col("_metadata.file_path").alias("file"))
+    else:
+        rows = spark.createDataFrame([], strings([*names, BAD_RECORD, "file"]))
     unquoted = F.regexp_replace(F.col(BAD_RECORD), '"[^"]*"', "")
-    return raw.filter(_touch(names[0])).withColumn("tabs", F.regexp_count(unquoted, F.lit("\t")))
+    return rows.filter(_touch(names[0])).withColumn("tabs", F.regexp_count(unquoted, F.lit("\t"))), unreadable
 
 
-def _wrong_width(raw: DataFrame, width: int) -> DataFrame:
+def _dead_letters(raw: DataFrame, width: int, unreadable: DataFrame | None) -> DataFrame:
     error = F.concat(F.lit("expected "), F.lit(width), F.lit(" columns, found "), F.col("tabs") + 1)
-    return raw.select("file", error.alias("error"), F.col(BAD_RECORD).alias("record"))
+    wide = raw.select("file", error.alias("error"), F.col(BAD_RECORD).alias("record"))
+    return wide if unreadable is None else wide.unionByName(unreadable)
 
 
 def scan_tsv(spark: SparkSession, path: str | list[str], width: int, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """Headerless tab-separated text as ``width`` string columns ``_c0 .. _cN``: (rows, dead letters).
 
     A row with fewer fields is filled up with nulls; one with more goes to the dead letters
-    with its file and raw text. ``multi_line`` allows quoted line breaks but makes each file
+    with its file and raw text. A file that cannot be read to its end gives one dead letter and no
+    rows; the files are read once before to find such. ``multi_line`` allows quoted line breaks but makes each file
     one task; feed files have none, so it is off and large files are split.
     """
     names = [f"_c{i}" for i in range(width)]
-    raw = _feed(spark, path, names, multi_line)
+    raw, unreadable = _feed(spark, path, names, multi_line)
     wide = F.coalesce(F.col("tabs") >= width, F.lit(False))
-    return raw.filter(~wide).select(*names), _wrong_width(raw.filter(wide), width)
+    return raw.filter(~wide).select(*names), _dead_letters(raw.filter(wide), width, unreadable)
 
 
 def _touch(any_column: str) -> Column:
@@ -80,8 +124,11 @@ def _touch(any_column: str) -> Column:
 
 
 def tsv_width(spark: SparkSession, path: str | list[str]) -> int:
-    """The most fields that a record of the files has, quoted separators aside."""
-    lines = spark.read.text(path).select(F.regexp_replace("value", '"[^"]*"', "").alias("v"))
+    """The most fields that a record of the readable files has, quoted separators aside."""
+    path, _ = _readable(spark, path)
+    if not path:
+        return 1
+    lines = spark.read.option("ignoreCorruptFiles", False).text(path).select(F.regexp_replace("value", '"[^"]*"', "").alias("v"))
     return (lines.agg(F.max(F.regexp_count("v", F.lit("\t")))).first()[0] or 0) + 1
 
 
@@ -95,13 +142,14 @@ def scan_feed(
     """Read feed files of mixed widths in one pass: (named rows, dead letters).
 
     A row may have all the names or all but the last. Rows of another width go to the
-    dead letters with their file and raw text instead of failing the job.
+    dead letters with their file and raw text instead of failing the job, and so does a file
+    that cannot be read to its end, with its error.
     """
     names = list(names)
-    raw = _feed(spark, path, names, multi_line)
+    raw, unreadable = _feed(spark, path, names, multi_line)
     good = F.col(BAD_RECORD).isNull() | (F.col("tabs") == len(names) - 2)
     named = null_tokens(raw.filter(good).select(*names), na_tokens)
-    return named, _wrong_width(raw.filter(~good), len(names))
+    return named, _dead_letters(raw.filter(~good), len(names), unreadable)
 
 
 def scan_zipped_tsv(spark: SparkSession, path: str | list[str], width: int) -> DataFrame:
