@@ -239,8 +239,9 @@ def read_partition(
 ) -> DataFrame:
     """Rows of one partition (or of several values of it) under a partitioned root.
 
-    Conditions in the order of the folders name those folders, so no others are listed; in
-    another order the root is listed, and still only matching folders are opened.
+    Texts and dates in the order of the folders name those folders, so no others are listed.
+    Otherwise, or if one of the folders is not found by its name, the root is listed, and still
+    only matching folders are opened.
     An absent partition gives no rows, or FileNotFoundError with ``on_missing='raise'``.
     """
     if on_missing not in ("skip", "raise"):
@@ -256,7 +257,7 @@ def read_partition(
 
 
 def _load_folders(spark: SparkSession, root: str, schema: T.StructType, fmt: str, asked: dict[str, list]) -> DataFrame:
-    """The rows under ``root``, from the asked folders alone where they are found by name."""
+    """The rows under ``root``, from the asked folders alone where all of them are found by name."""
     reader = spark.read.schema(schema).format(fmt)
 
     def load(*paths: str) -> DataFrame | None:
@@ -267,12 +268,27 @@ def _load_folders(spark: SparkSession, root: str, schema: T.StructType, fmt: str
                 raise
             return None
 
-    tails = ["/".join(f"{k}={v}" for k, v in zip(asked, values)) for values in product(*asked.values())]
-    found = [f"{root.rstrip('/')}/{t}" for t in tails if asked and load(f"{root.rstrip('/')}/{t}") is not None]
-    df = load(*found) if found else load(root)
+    kinds = {f.name: f.dataType for f in schema.fields}
+
+    def one_spelling(name: str, values: list) -> bool:
+        """A number may be stored in another spelling than is asked; text and ISO dates are not."""
+        iso = all(re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", str(v)) for v in values)
+        return kinds.get(name) == T.StringType() or (kinds.get(name) == T.DateType() and iso)
+
+    if asked and all(one_spelling(k, v) for k, v in asked.items()):
+        tails = {"/".join(f"{_escaped(k)}={_escaped(v)}" for k, v in zip(asked, values)) for values in product(*asked.values())}
+        paths = [f"{root.rstrip('/')}/{_literal(t)}" for t in sorted(tails)]
+        if paths and all(load(p) is not None for p in paths):
+            return load(*paths)
+    df = load(root)
     return df if df is not None else spark.createDataFrame([], schema)
 
 
+def _escaped(value: str | date) -> str:
+    """A name or value as Spark writes it in the name of a partition folder."""
+    return re.sub(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", str(value))
+
+
 def scan_groups(
     spark: SparkSession, root: str, schema: T.StructType, groups: Sequence[str], group_col: str, **partition
 ) -> tuple[DataFrame, DataFrame]:
