@@ -81,19 +81,39 @@ def _kept(df: DataFrame, embedding: str) -> Iterator[DataFrame]:
         held.unpersist()
 
 
-def _first_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """K-means++ on the sample: each next centre is drawn by its squared distance to the others."""
+def _first_centres(sample: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """K-means++ on the weighted sample: each next centre is drawn by its squared distance to the others."""
     draw = np.random.default_rng(seed)
-    chosen = [sample[draw.integers(len(sample))]]
+    chosen = [sample[draw.choice(len(sample), p=weight / weight.sum())]]
     gap = _gaps(sample, np.array(chosen))[:, 0]
     for _ in range(k - 1):
-        total = gap.sum()
-        at = draw.choice(len(sample), p=gap / total) if total > 0 else draw.integers(len(sample))
+        share = gap * weight if (gap * weight).sum() > 0 else weight
+        at = draw.choice(len(sample), p=share / share.sum())
         chosen.append(sample[at])
         gap = np.minimum(gap, _gaps(sample, sample[at : at + 1])[:, 0])
     return np.array(chosen)
 
 
+def _sample(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``INIT_ROWS`` distinct vectors, drawn by their copies without return, and their weights.
+
+    Each distinct vector waits a time drawn by its hash at a rate of its copies; the first ones
+    are taken. A weight is the copies over the chance to be taken: the copies themselves where
+    all are taken. Hashes and counts are shuffled, and only drawn vectors are moved.
+    """
+    hashes = [F.xxhash64("v").alias("h"), F.xxhash64(F.lit("second"), "v").alias("h2")]
+    counts = vectors.groupBy(*hashes).agg(F.count("*").alias("n"))
+    place = (F.pmod(F.xxhash64(F.lit("wait"), "h", "h2"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    waits = counts.withColumn("wait", -F.log(place) / F.col("n"))
+    first = waits.orderBy("wait", "h", "h2").limit(INIT_ROWS + 1).collect()
+    taken, until = first[:INIT_ROWS], first[INIT_ROWS].wait if len(first) > INIT_ROWS else np.inf
+    wanted = vectors.sparkSession.createDataFrame([(r.h, r.h2) for r in taken], "h long, h2 long")
+    found = vectors.select("v", *hashes).join(F.broadcast(wanted), ["h", "h2"]).groupBy("h", "h2").agg(F.first("v").alias("v")).collect()
+    of = {(r.h, r.h2): r.v for r in found}
+    drawn = sorted((list(of[r.h, r.h2]), r.n / -np.expm1(-r.n * until)) for r in taken)
+    return np.array([v for v, _ in drawn]), np.array([w for _, w in drawn])
+
+
 def _sums(vectors: DataFrame, runs: list[np.ndarray]) -> dict[tuple[int, int], tuple[int, float, float, np.ndarray]]:
     """(count, summed distance, summed squares, summed vectors) of each cluster of each run.
 
@@ -133,16 +153,15 @@ def _fit_all(vectors: DataFrame, jobs: list[tuple[int, int]], max_iter: int, tol
     """A fit for each ``(k, seed)``. All fits that have not settled move on in the same pass, so
     there are as many passes as the slowest fit has iterations, whatever the number of fits.
 
-    Starts are drawn from about ``INIT_ROWS`` vectors, picked by hash; the fits use all.
+    Starts are drawn from at most ``INIT_ROWS`` distinct vectors, weighted by their copies; the
+    fits use all.
     """
-    rows = vectors.count()
-    if not rows:
+    if vectors.isEmpty():
         raise ValueError("no vectors to cluster")
-    share = min(1.0, 2 * INIT_ROWS / rows)
-    sample = vectors.filter(F.pmod(F.xxhash64("v"), F.lit(1 << 20)) <= share * (1 << 20)) if rows > 2 * INIT_ROWS else vectors
-    drawn = np.array(sorted(list(r.v) for r in sample.collect()))
-    centres = [_first_centres(drawn, k, seed) for k, seed in jobs]
-    scale = max(float(drawn.var(0).sum()), 1e-30)
+    drawn, weight = _sample(vectors)
+    centres = [_first_centres(drawn, weight, k, seed) for k, seed in jobs]
+    mean = np.average(drawn, axis=0, weights=weight)
+    scale = max(float(np.average(((drawn - mean) ** 2).sum(1), weights=weight)), 1e-30)
     active = list(range(len(jobs)))
     for _ in range(max_iter):
         sums = _sums(vectors, [centres[j] for j in active])
