@@ -1,9 +1,9 @@
 """URL filter by a tree of path templates per host, with rules on top.
 
 Paths become templates: a segment whose shape is variable (numbers, hashes, dates, ids) is a
-wildcard at once; further segments become wildcards where a node of the tree has too many
-different children, or where a child's labels do not differ, by a test of two shares, from
-those of its siblings. A template is rejected when the smoothed share of blocked pages among
+wildcard at once; further segments become wildcards where a child's labels do not differ, by a
+test of two shares, from those of its siblings, or where a child has no labels and its node of
+the tree has too many different children. A template is rejected when the smoothed share of blocked pages among
 its labelled ones is high. All steps are aggregates and joins on (host, template), so a host
 that holds a third of all pages is counted in every task before anything is shuffled.
 """
@@ -96,7 +96,8 @@ def templates(paths: DataFrame, depth: int = DEPTH, branches: int = BRANCHES) ->
         spread = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (F.try_divide(F.lit(1), "cn") + F.try_divide(F.lit(1), others)))
         z = F.abs(F.try_divide("cb", "cn") - F.try_divide(rest, others)) / spread
         similar = (F.col("cn") > 0) & (others > 0) & (z < SIMILAR_Z)
-        merged = F.coalesce((F.col("many") > branches) | similar, F.lit(False))
+        # However many children there are, a labelled one that is not like its siblings stays apart.
+        merged = F.coalesce(((F.col("many") > branches) & (F.col("cn") == 0)) | similar, F.lit(False))
         step = both.select("host", "template", "child", F.when(merged, F.lit("*")).otherwise(F.col("child")).alias("step"))
         now = now.join(step, ["host", "template", "child"], "left")
         now = now.withColumn("template", F.when(F.col("step").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "step")))
