@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from moodlake.catalog.records import STOP_WORDS
 from moodlake.catalog.registry import query, sql_list, table
-from moodlake.operators import clustering
+from moodlake.operators import clustering, text_clusters
 from moodlake.operators.representatives import representative_texts
+from moodlake.plans.clusters import cluster_texts
+from moodlake.session import scratch_path
 
 
 def _planted(spark: SparkSession, sf_dir: str, groups: int) -> DataFrame:
@@ -74,14 +76,14 @@ def cluster_group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster_group_counts(table(spark, sf_dir, "events"), "event_type", "user_id")
 
 
-def _representatives_sql(top_n: int) -> str:
+def _representatives_sql(top_n: int, docs: str = "documents") -> str:
     return f"""
     terms AS (
       SELECT doc_id, source, term, COUNT(*) AS tf
-      FROM (SELECT doc_id, source, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM documents)
+      FROM (SELECT doc_id, source, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM {docs})
       WHERE term NOT IN ({sql_list(STOP_WORDS)}) GROUP BY doc_id, source, term),
     df AS (SELECT source, term, COUNT(*) AS df FROM terms GROUP BY source, term),
-    sizes AS (SELECT source, COUNT(*) AS n FROM documents GROUP BY source),
+    sizes AS (SELECT source, COUNT(*) AS n FROM {docs} GROUP BY source),
     weights AS (
       SELECT doc_id, tf * (ln((1.0 + n) / (1.0 + df)) + 1) AS w
       FROM terms JOIN df USING (source, term) JOIN sizes USING (source)),
@@ -89,7 +91,7 @@ def _representatives_sql(top_n: int) -> str:
     ranked AS (
       SELECT doc_id, source, text, coalesce(score, 0) AS score,
              row_number() OVER (PARTITION BY source ORDER BY round(coalesce(score, 0), 9) DESC, doc_id) AS rank
-      FROM documents LEFT JOIN scores USING (doc_id)),
+      FROM {docs} LEFT JOIN scores USING (doc_id)),
     reps AS (SELECT * FROM ranked WHERE rank <= {top_n})
     """
 
@@ -116,3 +118,57 @@ def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = clustering.cluster_report(docs, "doc_id", "source", "lang", "text", stop_words=STOP_WORDS)
     entries = F.transform(F.array_sort(F.map_entries("group_distribution")), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
     return report.withColumn("percentage", F.round("percentage", 6)).withColumn("group_distribution", F.array_join(entries, ","))
+
+
+_GROUPS = 4
+_DIMS = 1024
+
+
+def _planted_texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All documents, and the vectors of their texts moved far apart by ``doc_id`` modulo the
+    groups: one more place with a large weight, then unit length again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    vectors = text_clusters.hashed_places(docs, "text", _DIMS).select("doc_id", "places", "weights")
+    size = F.lit(1 / 101**0.5)
+    place = (F.lit(_DIMS) + F.col("doc_id") % _GROUPS).cast("int")
+    return docs, vectors.select(
+        "doc_id", F.concat("places", F.array(place)).alias("places"),
+        F.transform(F.concat("weights", F.array(F.lit(10.0))), lambda w: w * size).alias("weights"),
+    )
+
+
+_PLANTED_SQL = f"d AS (SELECT doc_id, text, lang, doc_id % {_GROUPS} AS source FROM documents)"
+
+
+@query(
+    f"""
+    WITH {_PLANTED_SQL}, {_representatives_sql(1, "d")},
+    groups AS (SELECT source, string_agg(lang || ':' || n, ',' ORDER BY lang) AS group_distribution
+               FROM (SELECT source, lang, COUNT(*) AS n FROM d GROUP BY source, lang) GROUP BY source),
+    names AS (SELECT source, min(doc_id) AS cluster FROM d GROUP BY source)
+    SELECT cluster, n AS size, round(n * 100.0 / (SELECT COUNT(*) FROM d), 6) AS percentage,
+           substr(text, 1, 100) AS representative, group_distribution
+    FROM sizes JOIN reps USING (source) JOIN groups USING (source) JOIN names USING (source)
+    """
+)
+def cluster_texts_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clustering job on all texts, k from 3 to 6 by silhouette; clusters by their smallest id."""
+    docs, vectors = _planted_texts(spark, sf_dir)
+    done = cluster_texts(
+        docs, scratch_path(spark, "text-clusters"), "doc_id", "lang", "text", vectors, _DIMS + _GROUPS, range(3, 7), STOP_WORDS, starts=4
+    )
+    names = done.assigned.groupBy("cluster").agg(F.min("doc_id").alias("name"))
+    entries = F.transform(F.array_sort(F.map_entries("group_distribution")), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
+    return done.report.join(names, "cluster").select(
+        F.col("name").alias("cluster"), "size", F.round("percentage", 6).alias("percentage"), "representative",
+        F.array_join(entries, ",").alias("group_distribution"),
+    )
+
+
+@query(f"SELECT doc_id, lang, doc_id % {_GROUPS} AS cluster FROM documents")
+def cluster_texts_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored assignments of the same job for one k, read back by key."""
+    docs, vectors = _planted_texts(spark, sf_dir)
+    done = cluster_texts(docs, scratch_path(spark, "text-assigned"), "doc_id", "lang", "text", vectors, _DIMS + _GROUPS, [_GROUPS], starts=4)
+    names = done.assigned.groupBy("cluster").agg(F.min("doc_id").alias("name"))
+    return done.assigned.join(names, "cluster").select("doc_id", "lang", F.col("name").alias("cluster"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodlake.catalog.registry import query, sql_list, table
+from moodlake.functions import terms
 from moodlake.functions import text as tx
 from moodlake.functions import times as tm
 from moodlake.operators import joins, series
@@ -47,6 +48,46 @@ def filter_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").filter(tx.contains_any("text", TERMS)).select("doc_id")
 
 
+# Lists of the most frequent words of all documents, long enough to need more than an expression.
+_LIST = 5000
+_LIST_SQL = f"""
+    words AS (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) AS term FROM documents),
+    terms AS (SELECT term FROM words GROUP BY term ORDER BY COUNT(*) DESC, term LIMIT {_LIST})
+"""
+
+
+def _frequent_words(spark: SparkSession, sf_dir: str) -> list[str]:
+    words = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("term"))
+    top = words.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(_LIST)
+    return [r.term for r in top.collect()]
+
+
+@query(
+    f"""
+    WITH {_LIST_SQL}
+    SELECT page_id, COUNT(*) AS n_terms FROM pages JOIN terms ON contains(lower(html), term) GROUP BY page_id
+    """
+)
+def filter_many_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that hold any of thousands of terms, and how many of them."""
+    listed = _frequent_words(spark, sf_dir)
+    held = table(spark, sf_dir, "pages").filter(terms.holds_term("html", listed))
+    return held.select("page_id", F.size(terms.terms_in("html", listed)).cast("long").alias("n_terms"))
+
+
+@query(
+    f"""
+    WITH {_LIST_SQL},
+    hosts AS (SELECT page_id, url, '.' || lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host FROM pages)
+    SELECT page_id, url FROM hosts WHERE EXISTS (SELECT 1 FROM terms WHERE ends_with(host, '.' || term || '.example.com'))
+    """
+)
+def filter_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages on any of thousands of hosts or their subdomains."""
+    listed = [f"{w}.Example.com" for w in _frequent_words(spark, sf_dir)]
+    return table(spark, sf_dir, "pages").filter(terms.on_hosts("url", listed)).select("page_id", "url")
+
+
 @query(
     f"""
     SELECT page_id, url FROM (
@@ -158,8 +199,23 @@ def range_join_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days on which a user has no events."""
     actual = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("date"))
-    expected = tm.calendar(actual, keys=["user_id"], shared=True)
-    return joins.missing_from(expected, actual, ["user_id", "date"]).select("user_id", F.col("date").cast("string").alias("date"))
+    return joins.missing_days(actual, ["user_id"]).select("user_id", F.col("date").cast("string").alias("date"))
+
+
+@query(
+    """
+    WITH ends AS (SELECT CAST(min(ts) AS DATE) AS low, CAST(max(ts) AS DATE) AS high FROM events),
+    days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events UNION SELECT DISTINCT user_id, low - 1 FROM events, ends
+             UNION SELECT DISTINCT user_id, high + 1 FROM events, ends),
+    gaps AS (SELECT user_id, d + 1 AS first, lead(d) OVER (PARTITION BY user_id ORDER BY d) - 1 AS last FROM days)
+    SELECT user_id, CAST(first AS VARCHAR) AS first, CAST(last AS VARCHAR) AS last FROM gaps WHERE first <= last
+    """
+)
+def missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of days on which a user has no events."""
+    actual = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("date"))
+    found = joins.missing_ranges(actual, ["user_id"])
+    return found.select("user_id", F.col("first").cast("string").alias("first"), F.col("last").cast("string").alias("last"))
 
 
 @query(
@@ -292,6 +348,21 @@ def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", tx.html_to_text(planted).alias("text"))
 
 
+# A page without an <article>: the same headline and paragraphs in plain blocks, with a menu and
+# notices around them.
+_MENU = "<div class=menu>" + "".join(f'<a href="/s{i}">Section number {i}</a> | ' for i in range(12)) + "</div>"
+_FOOT = "<div>Short notice of nothing.<ul>" + "".join(f'<li><a href="/m{i}">More of this {i}</a></li>' for i in range(8)) + "</ul></div>"
+
+
+@query(f"WITH {page_text_sql('html')} SELECT page_id, text FROM page_texts")
+def article_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The body found by density in pages whose <article> is taken away and that get more around it."""
+    open_, shut = F.lit(f"{_MENU}<div>"), F.lit(f"</div>{_FOOT}")
+    bare = F.replace(F.replace("html", F.lit("<article>"), open_), F.lit("</article>"), shut)
+    pages = table(spark, sf_dir, "pages").select("page_id", bare.alias("html"))
+    return tx.article_body(pages, "html", "text").select("page_id", "text")
+
+
 @query("SELECT lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, COUNT(*) AS n FROM pages GROUP BY 1")
 def url_host_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").groupBy(tx.url_host("url").alias("host")).agg(F.count("*").alias("n"))

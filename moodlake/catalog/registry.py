@@ -51,6 +51,13 @@ def sql_mean6(cents_sum: str, n: str) -> str:
     return f"coalesce(((2 * CAST(({cents_sum}) AS HUGEINT) * 10000 + ({n})) // nullif(2 * ({n}), 0)) / 1e6, 0)"
 
 
+def sql_exact_mean6(score: str, condition: str, n: str) -> str:
+    """The sum of the scores, to nine decimals each, where the condition holds, over n; rounded
+    half up to six decimals in whole numbers; 0 for n = 0."""
+    billionths = f"CAST(coalesce(sum(CAST(round({score} * 1e9) AS BIGINT)) FILTER ({condition}), 0) AS HUGEINT)"
+    return f"coalesce(((2 * {billionths} + 1000 * ({n})) // nullif(2000 * ({n}), 0)) / 1e6, 0)"
+
+
 def sql_list(words) -> str:
     """Words as a SQL list of string literals."""
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.catalog.registry import query, round6, sql_list, table
+from moodlake.catalog.registry import query, round6, sql_exact_mean6, sql_list, table
 from moodlake.operators.clustering import embed_hashing as embed_hashed
 from moodlake.operators.clustering import embed_model
 from moodlake.operators.scoring import score_model, score_words
@@ -66,8 +66,8 @@ _BY_SOURCE = f"""
     firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM scored) WHERE rn = 1)
     SELECT source, COUNT(*) AS n_rows, COUNT(*) FILTER (label = 'negative') AS n_label,
            round(COUNT(*) FILTER (label = 'negative') / COUNT(*), 6) AS share,
-           round(coalesce(avg(score) FILTER (label = 'negative'), 0), 6) AS mean_score,
-           round(sum(CASE WHEN label = 'negative' THEN score ELSE 0 END) / COUNT(*), 6) AS intensity
+           {sql_exact_mean6("score", "label = 'negative'", "COUNT(score) FILTER (label = 'negative')")} AS mean_score,
+           {sql_exact_mean6("score", "label = 'negative'", "COUNT(*)")} AS intensity
     FROM firsts GROUP BY source
 """
 
@@ -99,8 +99,9 @@ def label_intensity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embed_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed word-count vectors, in long form: the places that are not zero."""
     embedded = embed_hashed(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
-    places = embedded.select("doc_id", F.posexplode("embedding").alias("dim", "weight")).filter("weight <> 0")
-    return places.select("doc_id", F.col("dim").cast("long").alias("dim"), F.round(F.col("weight").cast("double"), 6).alias("weight"))
+    places = F.transform("embedding", lambda w, i: F.when(w != 0, F.struct(i.cast("long").alias("dim"), w.cast("double").alias("weight"))))
+    held = embedded.select("doc_id", F.explode(F.filter(places, lambda x: x.isNotNull())).alias("x"))
+    return held.select("doc_id", "x.dim", F.round("x.weight", 6).alias("weight"))
 
 
 _LETTERS = "aeinst"
@@ -131,8 +132,8 @@ _TITLED = "(SELECT conv_id, turn, role, nullif(role, 'system') || ' ' || text AS
     f"""
     WITH s AS ({_scored_sql("body", _TITLED)}), k AS (SELECT *, CASE WHEN body IS NOT NULL THEN label END AS l FROM s)
     SELECT 'overall' AS part, NULL AS role, COUNT(*) AS n_rows, round(COUNT(*) FILTER (l = 'negative') / COUNT(*), 6) AS share,
-           round(coalesce(avg(score) FILTER (l = 'negative'), 0), 6) AS mean_score FROM k
-    UNION ALL SELECT 'group', role, NULL, NULL, round(coalesce(avg(score) FILTER (l = 'negative'), 0), 6)
+           {sql_exact_mean6("score", "l = 'negative'", "COUNT(score) FILTER (l = 'negative')")} AS mean_score FROM k
+    UNION ALL SELECT 'group', role, NULL, NULL, {sql_exact_mean6("score", "l = 'negative'", "COUNT(score) FILTER (l = 'negative')")}
     FROM k WHERE body IS NOT NULL GROUP BY role
     UNION ALL SELECT 'failed', role, COUNT(*), NULL, NULL FROM k WHERE body IS NULL GROUP BY role
     """
@@ -155,7 +156,7 @@ def posts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM page_texts) WHERE rn = 1),
     s AS ({_scored_sql("text", "firsts")})
     SELECT lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, COUNT(*) AS n_rows, COUNT(*) FILTER (label = 'negative') AS n_label,
-           round(coalesce(avg(score) FILTER (label = 'negative'), 0), 6) AS mean_score
+           {sql_exact_mean6("score", "label = 'negative'", "COUNT(score) FILTER (label = 'negative')")} AS mean_score
     FROM s WHERE contains(lower(url), 'example.com') OR contains(lower(url), 'example.org') GROUP BY 1
     """
 )
@@ -170,7 +171,7 @@ def news_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH p AS (SELECT DATE '2024-01-01' + CAST(turn AS INTEGER) AS day, role || ' ' || text AS body FROM conversations),
     s AS ({_scored_sql("body", "p")}), days AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS d)
     SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date, COUNT(label) AS n_rows, COUNT(*) FILTER (label = 'negative') AS n_label,
-           round(coalesce(avg(score) FILTER (label = 'negative'), 0), 6) AS mean_score
+           {sql_exact_mean6("score", "label = 'negative'", "COUNT(score) FILTER (label = 'negative')")} AS mean_score
     FROM days LEFT JOIN s ON s.day = CAST(d AS DATE) GROUP BY 1
     """
 )

@@ -80,6 +80,31 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(F.date_format("slot", "yyyyMMddHHmmss").alias("slot"), "n_rows")
 
 
+@query(
+    """
+    WITH w AS (SELECT max(ts) - INTERVAL 3 DAY AS mark FROM events WHERE event_id % 10 <> 0),
+    e AS (SELECT event_id, time_bucket(INTERVAL 15 MINUTE, ts) AS slot,
+                 event_id % 10 <> 0 OR time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE > mark AS in_time FROM events, w)
+    SELECT 'slot' AS part, strftime(slot, '%Y%m%d%H%M%S') AS slot, COUNT(*) AS n_rows, NULL AS event_id FROM e WHERE in_time GROUP BY slot
+    UNION ALL SELECT 'late', strftime(slot, '%Y%m%d%H%M%S'), 1, event_id FROM e WHERE NOT in_time
+    """
+)
+def stream_late_reported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two arrivals, with the rows behind the watermark as dead letters: all rows are
+    either counted or reported."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    source, path, state = (scratch_path(spark, f"stream-reported-{x}") for x in ("source", "slots", "state"))
+    late = F.col("event_id") % 10 == 0
+    for i, part in enumerate((events.filter(~late), events.filter(late))):
+        part.write.parquet(f"{source}/run={i}")
+        found = streams.slots_and_late(streams.read_files(spark, f"{source}/*", events.schema), "ts", _LAG, ["event_id", "ts"], salts=2)
+        counts, dead = streams.run_slots_and_late(found, path, checkpoint=state)
+    slot = F.date_format("slot", "yyyyMMddHHmmss").alias("slot")
+    counted = counts.select(F.lit("slot").alias("part"), slot, "n_rows", F.lit(None).cast("long").alias("event_id"))
+    event = F.get_json_object("record", "$.event_id").cast("long").alias("event_id")
+    return counted.unionByName(dead.select(F.lit("late").alias("part"), slot, F.lit(1).cast("long").alias("n_rows"), event))
+
+
 @query(
     f"""
     SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS n_rows, COUNT(*) FILTER (event_type = 'error') AS n_label,

@@ -130,37 +130,76 @@ def decode_entities(c: Column | str) -> Column:
     return F.when(F.contains(_col(c), F.lit("&")), decoded).otherwise(_col(c))
 
 
+def _plain(fragment: Column) -> Column:
+    """The text of a piece of a page: tags gone, lines kept, entities decoded."""
+    text = F.regexp_replace(fragment, _DROP, "")
+    text = F.regexp_replace(text, _BREAK, "\n")
+    text = F.regexp_replace(text, r"<[^>]+>", "")
+    text = decode_entities(text)
+    text = F.regexp_replace(text, "[ \\t\\r\\f\\u00a0]+", " ")
+    text = F.regexp_replace(text, " ?\n[ \n]*", "\n")
+    return strip(text)
+
+
 def html_to_text(c: Column | str) -> Column:
     """Body text of a page: the <article> if there is one, else the <body>, else all.
 
-    An approximation by tags; it does not guess at text density as article
-    extractors do. Headlines are part of the text.
+    By tags alone; ``article_body`` finds the body of pages without an <article>. Headlines
+    are part of the text.
     """
     page = _col(c)
     article = F.regexp_extract(page, r"(?is)<article\b[^>]*>(.*)</article>", 1)
     body = F.regexp_extract(page, r"(?is)<body\b[^>]*>(.*)</body>", 1)
-    text = F.when(F.char_length(article) > 0, article).when(F.char_length(body) > 0, body).otherwise(page)
-    text = F.regexp_replace(text, _DROP, "")
-    text = F.regexp_replace(text, _BREAK, "\n")
-    text = F.regexp_replace(text, r"<[^>]+>", "")
-    text = decode_entities(text)
-    text = F.regexp_replace(text, "[ \\t\\r\\f\\u00a0]+", " ")
-    text = F.regexp_replace(text, " ?\n[ \n]*", "\n")
-    return strip(text)
+    return _plain(F.when(F.char_length(article) > 0, article).when(F.char_length(body) > 0, body).otherwise(page))
+
 
+# Elements around an article, and names that pages give to what is beside it.
+_AROUND = r"(?is)<(head|nav|footer|aside|form)\b.*?</\1\s*>"
+_BESIDE = r"(?i)\b(?:class|id|role)\s*=\s*[\"']?[^\"'>]*\b(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|footer|menu|nav\w*|promo\w*|related|share|sidebar|social|sponsor\w*|subscribe)\b"
+_BLOCK = r"(?i)(</?(?:p|div|h[1-6]|li|ul|ol|dl|dd|dt|table|tr|section|main|header|blockquote|article|figure|pre)\b[^>]*>)"
+_BLOCK_COST, _LINK_COST, _BESIDE_COST, _HEADLINE, _PARAGRAPH = 10, 2, 60, 20, 10
 
-def of_hosts(df: DataFrame, url: str, hosts: DataFrame, host: str = "host") -> DataFrame:
-    """Rows whose URL is on one of the hosts or a subdomain of one.
 
-    For lists too long for an expression: a row has one key per parent of its host, a
-    handful, and the join takes whatever form the size of the list asks for.
+def article_body(df: DataFrame, html: str, out: str = "body") -> DataFrame:
+    """Adds the body text of pages that need not mark it: the best run of neighbouring blocks.
+
+    A page is cut at block tags. A block is worth its words outside links, less a cost for
+    itself, its words in links, and a name that tells it stands beside the text; a headline and
+    a paragraph are worth a little more. The run of blocks with the highest sum is the body, so
+    that a short paragraph between long ones stays and navigation, notices and link lists at
+    either end go. The earliest run on a tie; a null page has a null body, a page without words
+    an empty one. Built-in expressions only.
     """
-    parts = F.split(url_host(url), r"\.")
-    places = F.sequence(F.lit(1), F.size(parts))
-    parents = F.transform(places, lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    listed = hosts.select(F.lower(F.col(host)).alias("_host")).distinct()
-    keyed = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_parents", parents)
-    hit = keyed.select("*", F.explode("_parents").alias("_host")).join(listed, "_host", "left_semi")
-    # Two listed hosts may hold one row: a host and its parent.
-    longest = hit.groupBy("_row").agg(F.max_by(F.struct(*df.columns), F.length("_host")).alias("_kept"))
-    return longest.select("_kept.*")
+    page = F.regexp_replace(F.regexp_replace(F.translate(F.col(html), _MARK, " "), _DROP, ""), _AROUND, "")
+    blocks = F.split(F.regexp_replace(page, _BLOCK, f"{_MARK}$1"), _MARK)
+
+    def worth(block: Column) -> Column:
+        tag = F.lower(F.regexp_extract(block, "^<(/?[A-Za-z0-9]+)", 1))
+        bare = F.regexp_replace(F.regexp_replace(block, r"(?is)<a\b.*?(?:</a>|$)", " "), "<[^>]+>", " ")
+        every = F.regexp_count(F.regexp_replace(block, "<[^>]+>", " "), F.lit(r"\S+"))
+        plain = F.regexp_count(bare, F.lit(r"\S+"))
+        beside = F.regexp_extract(block, "^(<[^>]*>)", 1).rlike(_BESIDE)
+        return (
+            plain - _LINK_COST * (every - plain) - _BLOCK_COST
+            - F.when(beside, _BESIDE_COST).otherwise(0)
+            + F.when((every > 0) & tag.isin("h1", "h2"), _HEADLINE).when((every > 0) & (tag == "p"), _PARAGRAPH).otherwise(0)
+        )
+
+    # Of a block without words nothing is lost or won: it costs nothing.
+    scores = F.transform("_blocks", lambda b: F.when(F.regexp_replace(b, "<[^>]+>", "").rlike(r"\S"), worth(b)).otherwise(F.lit(0)))
+    start = F.struct(*[F.lit(v).alias(n) for n, v in (("best", -(1 << 30)), ("a", 1), ("b", 0), ("sum", 0), ("from", 1), ("at", 0))])
+
+    def step(s: Column, x: Column) -> Column:
+        at = s["at"] + 1
+        fresh = s["sum"] <= 0
+        total = F.when(fresh, x).otherwise(s["sum"] + x)
+        since = F.when(fresh, at).otherwise(s["from"])
+        better = total > s["best"]
+        return F.struct(
+            F.when(better, total).otherwise(s["best"]).alias("best"), F.when(better, since).otherwise(s["a"]).alias("a"),
+            F.when(better, at).otherwise(s["b"]).alias("b"), total.alias("sum"), since.alias("from"), at.alias("at"),
+        )
+
+    cut = df.withColumn("_blocks", blocks).withColumn("_run", F.aggregate(scores, start, step))
+    kept = F.array_join(F.slice("_blocks", F.col("_run.a"), F.col("_run.b") - F.col("_run.a") + 1), "")
+    return cut.withColumn(out, _plain(kept)).drop("_blocks", "_run")

@@ -10,27 +10,36 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import CountVectorizerModel, Normalizer
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.functions import array_to_vector, predict_batch_udf
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodlake.functions.text import tokens, truncate
+from moodlake.functions.hashing import unit_counts
+from moodlake.functions.text import truncate
 from moodlake.operators.representatives import representative_texts
 
 
 def embed_hashing(df: DataFrame, text: str, dims: int = 256, out: str = "embedding") -> DataFrame:
-    """Adds a unit vector of hashed word counts; all zero for a text without words.
+    """Adds a unit vector of hashed word counts; all zero for a text without words, null for a null one.
 
     A word's place is its MD5 modulo ``dims``, which other engines can repeat.
     """
-    place = lambda w: F.pmod(F.conv(F.left(F.md5(w), F.lit(8)), 16, 10).cast("long"), F.lit(dims)).cast("string")
-    staged = df.withColumn("_places", F.transform(tokens(text), place))
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(dims)], "_places", "_tf")
-    unit = Normalizer(p=2.0, inputCol="_tf", outputCol="_unit").transform(counter.transform(staged))
-    return unit.withColumn(out, vector_to_array("_unit", "float32")).drop("_places", "_tf", "_unit")
+
+    @F.pandas_udf("array<float>")
+    def vector(texts: pd.Series) -> pd.Series:
+        made = []
+        for t in texts:
+            v = None
+            if t is not None:
+                v = np.zeros(dims, np.float32)
+                at, weights = unit_counts(t, dims)
+                v[at] = weights
+            made.append(v)
+        return pd.Series(made, dtype=object)
+
+    return df.withColumn(out, vector(F.lower(F.col(text))))
 
 
 def embed_model(

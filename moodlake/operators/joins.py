@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodlake.session import settle
@@ -52,6 +52,32 @@ def missing_from(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) ->
     return expected.select(*keys).distinct().join(actual.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def missing_ranges(df: DataFrame, keys: Sequence[str], day: str = "date") -> DataFrame:
+    """(keys..., first, last): the stretches of days on which a key has no rows, between the
+    first and the last day of the whole frame.
+
+    Gaps between the days that are there; keys are never multiplied by days. Rows without a
+    day, and keys that have no others, do not count.
+    """
+    known = df.filter(F.col(day).isNotNull())
+    low, high = known.agg(F.min(day), F.max(day)).first()
+    kind = df.schema[day].dataType
+    days = known.select(*keys, day).distinct()
+    order = Window.partitionBy(*keys).orderBy(day)
+    before = F.coalesce(F.lag(day).over(order), F.date_sub(F.lit(low).cast(kind), 1))
+    gap = F.struct(F.date_add(before, 1).alias("first"), F.date_sub(day, 1).alias("last"))
+    end = F.struct(F.date_add(day, 1).alias("first"), F.lit(high).cast(kind).alias("last"))
+    at_end = F.lead(day).over(order).isNull()
+    ranges = days.withColumn("_gap", gap).withColumn("_end", F.when(at_end, end))
+    every = ranges.select(*keys, F.explode(F.array("_gap", "_end")).alias("_r")).select(*keys, "_r.*")
+    return every.filter(F.col("first") <= F.col("last"))
+
+
+def missing_days(df: DataFrame, keys: Sequence[str], day: str = "date") -> DataFrame:
+    """The days of ``missing_ranges``, one row each."""
+    return missing_ranges(df, keys, day).select(*keys, F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias(day))
+
+
 def present_in(rows: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys occur in the other frame."""
     return rows.join(actual.select(*keys).distinct(), list(keys), "left_semi")

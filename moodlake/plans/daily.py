@@ -24,6 +24,11 @@ def select_news(
     return keep_first(kept, [url], order)
 
 
+def _exact(scored: DataFrame) -> DataFrame:
+    """Scores as decimals, so that sums do not depend on the order of tasks."""
+    return scored.withColumn("score", F.col("score").cast("decimal(18,9)"))
+
+
 def sentiment_by_group(
     docs: DataFrame, doc: str, text: str, group: str, positive: Sequence[str], negative: Sequence[str],
     target: str = "negative", denominator: str = "scored",
@@ -33,7 +38,7 @@ def sentiment_by_group(
     Scoring comes before the shuffle, so what is shuffled is a hash, a label and a
     number instead of the text.
     """
-    scored = score_words(docs, text, positive, negative)
+    scored = _exact(score_words(docs, text, positive, negative))
     first = keep_first_text(scored, text, [doc])
     return label_summary(first, "label", "score", target, [group], denominator)
 
@@ -92,8 +97,8 @@ def posts_job(
     everything = scored.select(*columns, "label", "score")
     return PostsResult(
         good, failed,
-        label_summary(everything, "label", "score", target, by, denominator="all"),
-        group_label_mean(good, group, "label", "score", target),
+        label_summary(_exact(everything), "label", "score", target, by, denominator="all"),
+        group_label_mean(_exact(good), group, "label", "score", target),
     )
 
 
@@ -107,7 +112,7 @@ def news_job(
     """
     first = keep_first(pages.filter(has_url(url) & contains_any(url_host(url), domains)), [url], order)
     texts = first.select(url_host(url).alias("host"), html_to_text(html).alias("_text"))
-    return label_summary(score_words(texts, "_text", positive, negative), "label", "score", target, ["host"])
+    return label_summary(_exact(score_words(texts, "_text", positive, negative)), "label", "score", target, ["host"])
 
 
 def backfill_posts(
@@ -122,4 +127,4 @@ def backfill_posts(
     kind = posts.schema[ts].dataType
     days = posts.filter((F.col(ts) >= F.lit(str(first)).cast(kind)) & (F.col(ts) < F.date_add(F.lit(last), 1).cast(kind)))
     scored = score_words(days.withColumn("_text", concat_clean(title, body)), "_text", positive, negative)
-    return backfill(scored.select(ts, group, "label", "score"), start, end, "label", "score", target, ts)
+    return backfill(_exact(scored.select(ts, group, "label", "score")), start, end, "label", "score", target, ts)

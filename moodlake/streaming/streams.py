@@ -6,12 +6,14 @@ late feeds are given.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from moodlake.operators.summary import label_measures
 from moodlake.session import scratch_path
@@ -47,6 +49,63 @@ def slot_counts(stream: DataFrame, ts: str, lag: str, slot: str = "15 minutes")
     return counted.select(F.col("window.start").alias("slot"), "n_rows")
 
 
+SLOT_STATE = "slot long, salt int, n_rows long, record string"
+
+
+def slots_and_late(
+    stream: DataFrame, ts: str, lag: str, keep: Sequence[str], slot_minutes: int = 15, salts: int = 8
+) -> DataFrame:
+    """Rows per slot with late rows reported: ``(slot, salt, n_rows, record)``, in update mode.
+
+    A row on time counts: its slot and salt get a row with the new count and no record. A row
+    whose slot had ended by the watermark is given back as it is, a JSON record of ``keep``
+    without a count. The count of a slot is kept until the watermark passes its end, when a
+    timer frees it. Slots are dealt over ``salts`` keys, so that one busy slot is not one task.
+    """
+    size = slot_minutes * 60_000_000
+    event = with_event_time(stream, ts, lag)
+    record = F.to_json(F.struct(*keep), {"ignoreNullFields": "false"})
+    micros = F.unix_micros(F.col(ts))
+    start = micros - F.pmod(micros, F.lit(size))
+    rows = event.filter(F.col(ts).isNotNull()).select(start.alias("slot"), record.alias("record"))
+    # Spark takes rows away unseen whose event time lies behind the watermark. The time that it is
+    # shown here is never late, so that the function sees all rows; its timers are not touched.
+    shown = F.lit("2250-01-01").cast("timestamp").alias("shown", metadata={"spark.watermarkDelayMs": 0})
+    rows = rows.select("slot", F.pmod(F.xxhash64("record"), F.lit(salts)).cast("int").alias("salt"), "record", shown)
+
+    def count(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        slot, salt = key
+        slot, salt = int(slot), int(salt)
+        end = (slot + size) // 1000
+        if state.hasTimedOut:
+            state.remove()
+            return
+        if end <= state.getCurrentWatermarkMs():
+            for frame in frames:
+                yield pd.DataFrame({"slot": slot, "salt": salt, "n_rows": pd.array([None] * len(frame), "Int64"), "record": frame["record"]})
+            return
+        n = (state.get[0] if state.exists else 0) + sum(len(frame) for frame in frames)
+        state.update((int(n),))
+        state.setTimeoutTimestamp(end)
+        yield pd.DataFrame({"slot": [slot], "salt": [salt], "n_rows": pd.array([n], "Int64"), "record": pd.Series([None], dtype=object)})
+
+    grouped = rows.groupBy("slot", "salt")
+    return grouped.applyInPandasWithState(count, SLOT_STATE, "n long", "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def run_slots_and_late(stream: DataFrame, path: str, checkpoint: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Run ``slots_and_late`` to the end of what is there and read what is stored: ``(slot,
+    n_rows)`` and the dead letters ``(slot, record, error)``. Together they are all rows."""
+    spark = stream.sparkSession
+    run_to_end(stream, lambda rows, batch: rows.write.mode("overwrite").parquet(f"{path}/batch={batch:012d}"), "update", checkpoint)
+    stored = spark.read.schema(f"{SLOT_STATE}, batch string").option("basePath", path).parquet(path)
+    latest = stored.filter("n_rows is not null").groupBy("slot", "salt").agg(F.max_by("n_rows", "batch").alias("n_rows"))
+    start = F.timestamp_micros("slot").alias("slot")
+    counts = latest.groupBy("slot").agg(F.sum("n_rows").alias("n_rows")).select(start, "n_rows")
+    late = stored.filter("record is not null").select(start, "record", F.lit("behind the watermark").alias("error"))
+    return counts, late
+
+
 def label_stream(
     stream: DataFrame, ts: str, lag: str, label: str, score: str, target: str, denominator: str = "scored",
     period: str = "1 day",

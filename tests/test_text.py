@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from moodlake.functions import terms
 from moodlake.functions import text as tx
 
 
@@ -147,5 +148,5 @@ def test_a_page_keeps_its_headline(spark):
 def test_hosts_from_a_table(spark):
     urls = [(1, "http://a.example.com/x"), (2, "https://EXAMPLE.com"), (3, "http://badexample.com"), (4, None), (5, "mailto:x"), (2, "https://EXAMPLE.com")]
     hosts = spark.createDataFrame([("example.com",), ("A.example.com",), (None,)], "host string")
-    got = tx.of_hosts(spark.createDataFrame(urls, "id int, url string"), "url", hosts)
+    got = terms.of_hosts(spark.createDataFrame(urls, "id int, url string"), "url", hosts)
     assert sorted(r.id for r in got.collect()) == [1, 2, 2] and got.columns == ["id", "url"]
