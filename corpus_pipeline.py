@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodlake.llm import decontaminate, near_copies, pieces, pii, quality
+from moodlake.llm import decontaminate, pieces, pii, quality, simhash_dedup
 from moodlake.llm.common import read, settle
 from moodlake.llm.queries import tokenizer_path
 
@@ -20,8 +20,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, by five-word similarity, the document with the smallest id stays."""
-    return near_copies.keep_one(docs)
+    """Of each group of SimHash near copies, with the shingles and distance of op4, the document with
+    the smallest id stays."""
+    return simhash_dedup.keep_one(docs)
 
 
 def keep_unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

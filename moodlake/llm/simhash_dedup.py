@@ -9,13 +9,14 @@ documents share a fingerprint, so no group is hot and no pairs of a group are ex
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodlake.llm.common import connected_components, prepare, settle
@@ -44,19 +45,26 @@ def simhash(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(votes * 2 > len(hashes)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS) -> DataFrame:
-    """One row ``(doc_id, fp)`` for each row of ``docs``; a null text is an empty one."""
+def fingerprints(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, more: dict[str, Column] | None = None
+) -> DataFrame:
+    """One row ``(doc_id, more..., fp)`` for each row of ``docs``; a null text is an empty one.
+
+    ``more`` names further long columns to carry along.
+    """
+    names = list(more or {})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             fp = np.array([simhash(t, words) for t in frame["t"]], np.int64)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "fp": fp})
+            yield frame[["doc_id", *names]].assign(fp=fp)
 
     prepare(docs.sparkSession)
-    # The id passes as text so that a null stays a null.
-    thin = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    made = thin.mapInPandas(run, "doc_id string, fp long")
-    return made.select(F.col("doc_id").cast("long").alias("doc_id"), "fp")
+    # Ids pass as text so that a null stays a null.
+    carried = [c.cast("string").alias(n) for n, c in {"doc_id": F.col(id_col), **(more or {})}.items()]
+    thin = docs.select(*carried, F.coalesce(F.col(text), F.lit("")).alias("t"))
+    made = thin.mapInPandas(run, "".join(f"{n} string, " for n in ["doc_id", *names]) + "fp long")
+    return made.select(*[F.col(n).cast("long").alias(n) for n in ["doc_id", *names]], "fp")
 
 
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -78,6 +86,13 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
+def _members(least: DataFrame, radius: int) -> DataFrame:
+    """The rows of distinct fingerprints, each with the component it belongs to."""
+    groups = connected_components(links(least.select("fp"), radius), "simhash-links")
+    member = least.join(groups, least.fp == groups.node, "left")
+    return settle(member.select(*least.columns, F.coalesce("component", "fp").alias("component")), "simhash-members")
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", radius: int = RADIUS, words: int = WORDS
 ) -> DataFrame:
@@ -89,23 +104,31 @@ def near_duplicates(
     """
     fps = settle(fingerprints(docs, text, id_col, words), "simhash")
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    groups = connected_components(links(least.select("fp"), radius), "simhash-links")
-    member = least.join(groups, least.fp == groups.node, "left")
-    member = member.select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    member = settle(member, "simhash-members")
+    member = _members(least, radius)
     heads = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = member.join(heads, "component").select(F.col("fp").alias("key"), "component_id")
     named = settle(named, "simhash-named")
     return fps.join(named, fps.fp == named.key).select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the smallest id stays.
+def keep_one(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", radius: int = RADIUS, words: int = WORDS
+) -> DataFrame:
+    """The rows of ``docs``, all columns, without near-duplicates: of each component one row stays.
 
-    Of repeated rows with that id one stays. Rows whose id is null cannot be told apart, so all
-    of them stay.
+    It is the row with the smallest id, null ids last, and among rows of that id the one whose
+    text has the smallest hash; of rows that are equal in both one stays. A row stands for its
+    own text, whatever other rows share its id. Only ids, hashes and fingerprints are grouped.
     """
-    found = near_duplicates(docs, text, id_col, radius)
-    heads = found.filter("doc_id = component_id").select("doc_id").distinct().withColumnRenamed("doc_id", "_kept")
-    kept = docs.join(heads, docs[id_col] == heads["_kept"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+    body = F.coalesce(F.col(text), F.lit(""))
+    hashes = {"h1": F.xxhash64(body), "h2": F.xxhash64(F.lit("second"), body)}
+    fps = settle(fingerprints(docs, text, id_col, words, hashes), "simhash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("gone"), "doc_id", "h1", "h2")).alias("first")
+    member = _members(fps.groupBy("fp").agg(first), radius)
+    heads = member.groupBy("component").agg(F.min("first").alias("first"))
+    # Names that no column of ``docs`` has.
+    own = {n: f"_{uuid.uuid4().hex}_{n}" for n in ("doc_id", "h1", "h2")}
+    heads = settle(heads.select(*[F.col(f"first.{n}").alias(own[n]) for n in own]), "simhash-heads")
+    same = docs[id_col].eqNullSafe(heads[own["doc_id"]]) & (hashes["h1"] == heads[own["h1"]]) & (hashes["h2"] == heads[own["h2"]])
+    # The hashes are part of the join's keys; a head met by several equal rows keeps one.
+    return docs.join(heads, same, "inner").dropDuplicates(list(own.values())).drop(*own.values())

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+    return spark.read.parquet(f"{SF}/documents.parquet")
 
 
 @pytest.fixture(scope="module")
@@ -316,6 +316,20 @@ def test_flattened_trees_fit_a_rule():
     assert one[0] == model.score(x[2000:])[0]
 
 
+def test_survivors_of_odd_rows(spark):
+    """Equal ids with other texts, null ids, repeated rows, clashing names, no rows."""
+    rows = [(1, "a b c d", "x"), (1, "one two three four five", "y"), (2, "a b c d", "x"), (None, "a b c d", "z"), (None, "lone text here now", "z")]
+    rows += [(3, "one two three four five", "y")] * 2 + [(4, None, "n"), (5, "", "n"), (None, None, "n")] + [(7, "kept twice over and over", "k")] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    named = frame.withColumnsRenamed({}).selectExpr("*", "fp as h1", "fp as _h1", "fp as component", "fp as first")
+    got = simhash_dedup.keep_one(named)
+    assert got.columns == named.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(1, "a b c d"), (1, "one two three four five"), (None, "lone text here now"), (4, None), (7, "kept twice over and over")], key=str
+    )
+    assert simhash_dedup.keep_one(named.limit(0)).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
@@ -325,7 +339,16 @@ def test_pipeline(spark):
     model = quality.train(docs, labels)
     good = {r.doc_id for r in quality.score(docs, model).filter("predicted = 1").collect()}
     kept = docs.filter(docs.doc_id.isin(list(good)))
-    heads = {r.component_id for r in simhash_dedup.near_duplicates(kept).collect()}
+    # Plain components of plain fingerprints.
+    prints = {r.doc_id: _simhash(r.text) for r in kept.collect()}
+    heads, left = set(), sorted(prints)
+    while left:
+        group, left = [left[0]], left[1:]
+        heads.add(group[0])
+        for a in group:
+            near = [b for b in left if (prints[a] ^ prints[b]).bit_count() <= 2]
+            group += near
+            left = [b for b in left if b not in near]
     unseen = {r.doc_id for r in decontaminate.search(kept, benchmark).filter("not contaminated").collect()} & heads
     got = corpus_pipeline.run(spark, SF).collect()
     assert sorted(r.doc_id for r in got) == sorted(unseen)
