@@ -3,8 +3,10 @@
 A text is cut before single spaces, where a pre-token always begins, so that most of it is
 looked up; the distinct pre-tokens not seen before become rows ``(word, position, token)``, one
 a byte. A recursive query joins each row and its neighbour with the merge table and contracts,
-in every word, the leftmost pair of the smallest rank, until no word has a pair left. Ordered
-aggregation turns the rows of a word into its ids, and the ids' bytes into what they decode to.
+in every word, the leftmost pair of the smallest rank, until no word has a pair left. The
+ids are decoded by a join with the vocabulary and ordered aggregation. A worker decodes the ids
+of each distinct pre-token once; a text whose pre-tokens all give their own bytes back decodes to
+its own bytes.
 
 A pre-token over ``LONG`` bytes is encoded in windows that overlap. Two windows are spliced
 where both have the same token at the same place, after the same or another token of the left
@@ -33,38 +35,38 @@ WIDEN = 4
 BATCH_WORDS = 20_000
 BATCH_BYTES = 1 << 20
 PART_SIGNS = 4 << 20
-_MEMO = 300_000
+MEMO = 700_000
 
 # White space as the pattern's engine has it; before these a space does not begin a pre-token.
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _AFTER_SPACE = [" " + c for c in _SPACES if c.isascii()], [" " + c for c in _SPACES]
 
 # A row has its token, the place after it, the next token, and rank and place of the pair of both.
-_MERGE = """
-WITH RECURSIVE state(w, p, t, np, nx, k, go) AS (
-  SELECT s.w, s.p, s.t, s.p + 1, s.nx, (m.r::BIGINT << 32) | s.p, true
+# ``n`` counts the contractions; a word's rows of the highest ``n`` are its fixpoint.
+_IDS = """
+WITH RECURSIVE state(w, p, t, np, nx, k, n) AS (
+  SELECT s.w, s.p, s.t, s.p + 1, s.nx, (m.r::BIGINT << 32) | s.p, 0
   FROM start s LEFT JOIN merges m ON m.k = (s.t::BIGINT << 32) | s.nx
   UNION ALL
-  SELECT c.w, c.p, c.t, c.np, c.nx, CASE WHEN c.changed THEN (m.r::BIGINT << 32) | c.p ELSE c.k END, c.go
+  SELECT c.w, c.p, c.t, c.np, c.nx, CASE WHEN c.changed THEN (m.r::BIGINT << 32) | c.p ELSE c.k END, c.n + 1
   FROM (
-    SELECT s.w, s.p, s.k, b.best IS NOT NULL AS go, s.p = b.at OR s.np = b.at AS changed,
+    SELECT s.w, s.p, s.n, s.k, s.p = b.at OR s.np = b.at AS changed,
            CASE WHEN s.p = b.at THEN b.r ELSE s.t END AS t,
-           CASE WHEN s.p = b.at THEN b.after_np ELSE s.np END AS np,
-           CASE WHEN s.p = b.at THEN b.after_nx WHEN s.np = b.at THEN b.r ELSE s.nx END AS nx
-    FROM (SELECT * FROM state WHERE go) s
+           CASE WHEN s.p = b.at THEN q.np ELSE s.np END AS np,
+           CASE WHEN s.p = b.at THEN q.nx WHEN s.np = b.at THEN b.r ELSE s.nx END AS nx
+    FROM state s
     JOIN (
-      SELECT f.w, f.best, (f.best >> 32)::INT AS r, (f.best & 4294967295)::INT AS at, l.np AS gone,
-             q.np AS after_np, q.nx AS after_nx
-      FROM (SELECT w, min(k) AS best FROM state WHERE go GROUP BY w) f
-      LEFT JOIN (SELECT w, np, k FROM state WHERE go) l ON l.w = f.w AND l.k = f.best
-      LEFT JOIN (SELECT w, p, np, nx FROM state WHERE go) q ON q.w = l.w AND q.p = l.np
+      SELECT w, (best >> 32)::INT AS r, (best & 4294967295)::INT AS at, gone
+      FROM (SELECT w, min(k) AS best, arg_min(np, k) AS gone FROM state WHERE k IS NOT NULL GROUP BY w)
     ) b ON s.w = b.w
-    WHERE b.gone IS NULL OR s.p <> b.gone
+    LEFT JOIN state q ON q.p = CASE WHEN s.p = b.at THEN b.gone END
+    WHERE s.p <> b.gone
   ) c LEFT JOIN merges m ON m.k = CASE WHEN c.changed THEN (c.t::BIGINT << 32) | c.nx END
 )
-SELECT w, p, t FROM state WHERE NOT go
+SELECT s.w, s.p, s.t
+FROM state s JOIN (SELECT w, max(n) AS n FROM state GROUP BY w) l ON l.w = s.w AND l.n = s.n
+ORDER BY s.p
 """
-_IDS = f"SELECT w, p, t FROM ({_MERGE}) ORDER BY w, p"
 _BYTES = """
 SELECT w, unhex(string_agg(v.h, '' ORDER BY p)) AS b FROM coded JOIN vocabulary v ON coded.t = v.t GROUP BY w
 """
@@ -91,56 +93,59 @@ class BytePairs:
         self.db.execute("SET temp_directory = ''")
         self.db.execute("CREATE TABLE merges AS SELECT k::BIGINT AS k, r::INT AS r FROM merges")
         self.db.execute("CREATE TABLE vocabulary AS SELECT t::INT AS t, h FROM words")
-        # Ids as little-endian 32-bit integers, and the bytes they decode to.
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.chunks: dict[str, tuple[bytes, bytes]] = {}
-
-    def contract(self, raw: list[bytes]) -> list[np.ndarray]:
-        """Ids of byte strings by merging alone."""
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(raw)
+        # Ids as little-endian 32-bit integers.
+        self.words: dict[str, bytes] = {}
+        # Without the space that they begin with; ``heads`` are those at the start of a text.
+        self.chunks: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
+        # Pre-tokens whose ids decode to something else: none, unless the vocabulary is odd.
+        self.odd: dict[str, bytes] = {}
+
+    def contract(self, raw: list[bytes]) -> list[bytes]:
+        """Ids of byte strings by merging alone, as little-endian 32-bit integers."""
+        out = [b""] * len(raw)
         at = 0
         while at < len(raw):
             end, size = at, 0
             while end < len(raw) and end - at < BATCH_WORDS and (end == at or size + len(raw[end]) <= BATCH_BYTES):
                 size += len(raw[end])
                 end += 1
-            lens = np.array([len(r) for r in raw[at:end]])
-            flat = np.frombuffer(b"".join(raw[at:end]), np.uint8)
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
-            word, token = np.repeat(np.arange(at, end, dtype=np.int32), lens), self.byte[flat]
-            last = np.append(word[1:] != word[:-1], True)
-            after = pd.array(np.append(token[1:], 0), "Int32")
-            after[last] = pd.NA
-            start = pd.DataFrame({"w": word, "p": place.astype(np.int32), "t": token, "nx": after})  # noqa: F841  (read by name)
+            token = self.byte[np.frombuffer(b"".join(raw[at:end]), np.uint8)]
+            word = np.repeat(np.arange(at, end, dtype=np.int32), [len(r) for r in raw[at:end]])
+            after = pd.array(np.append(token[1:], 0)[: len(token)], "Int32")
+            after[np.append(word[1:] != word[:-1], True)[: len(word)]] = pd.NA
+            # Places count through the batch, so that one number names a row.
+            start = pd.DataFrame({"w": word, "p": np.arange(len(token), dtype=np.int32), "t": token, "nx": after})  # noqa: F841
             done = self.db.execute(_IDS).fetchnumpy()
             edges = np.flatnonzero(np.diff(done["w"], prepend=-1))
-            for w, ids in zip(done["w"][edges].tolist(), np.split(done["t"], edges[1:])):
-                out[w] = ids
+            flat, ends = done["t"].astype("<i4").tobytes(), [*(4 * edges[1:]).tolist(), 4 * len(done["t"])]
+            for w, a, b in zip(done["w"][edges].tolist(), (4 * edges).tolist(), ends):
+                out[w] = flat[a:b]
             at = end
         return out
 
-    def encode_bytes(self, raw: list[bytes]) -> list[np.ndarray]:
+    def encode_bytes(self, raw: list[bytes]) -> list[bytes]:
         """Ids of pre-tokens of any length."""
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(raw)
+        out = [b""] * len(raw)
         short = [k for k, r in enumerate(raw) if r not in self.whole and len(r) <= LONG]
         for k, ids in zip(short, self.contract([raw[k] for k in short])):
             out[k] = ids
         for k, r in enumerate(raw):
             if r in self.whole:
                 # A pre-token that is itself a token is not merged.
-                out[k] = np.array([self.whole[r]], np.int32)
+                out[k] = np.array([self.whole[r]], "<i4").tobytes()
             elif len(r) > LONG:
                 out[k] = self.encode_long(r)
         return out
 
-    def encode_long(self, raw: bytes, overlap: int = OVERLAP) -> np.ndarray:
+    def encode_long(self, raw: bytes, overlap: int = OVERLAP) -> bytes:
         while True:
             size = max(LONG, 2 * overlap)
             starts = list(range(0, max(1, len(raw) - overlap), size))
             parts = self.contract([raw[s : s + size + overlap] for s in starts])
-            spliced = self._splice(starts, parts)
+            spliced = self._splice(starts, [np.frombuffer(p, "<i4") for p in parts])
             if spliced is not None:
-                return spliced
+                return spliced.tobytes()
             overlap *= WIDEN
 
     def _splice(self, starts: list[int], parts: list[np.ndarray]) -> np.ndarray | None:
@@ -176,13 +181,9 @@ class BytePairs:
         """Bytes of each sequence of ids: rows joined with the vocabulary, aggregated in order."""
         out = [b""] * len(ids)
         lens = np.array([len(x) for x in ids], np.int64)
-        edges = [0]
-        for k, total in enumerate(np.cumsum(lens).tolist()):
-            if total - (int(lens[: edges[-1]].sum()) if edges[-1] else 0) > BATCH_BYTES and k + 1 > edges[-1]:
-                edges.append(k + 1)
+        parts = np.cumsum(lens) // BATCH_BYTES
+        edges = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
         for a, b in zip(edges, [*edges[1:], len(ids)]):
-            if a == b:
-                continue
             flat = np.concatenate([np.zeros(0, np.int32), *ids[a:b]]).astype(np.int32)
             if len(flat) and (int(flat.min()) < 0 or int(flat.max()) >= len(self.lengths) or not self.lengths[flat].all()):
                 raise ValueError("an id is not in the vocabulary")
@@ -192,51 +193,57 @@ class BytePairs:
                 out[w] = bytes(raw)
         return out
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encode and decode the chunks not known yet, by their distinct pre-tokens."""
-        cut = {c: self.pattern.findall(c) for c in chunks}
-        new = list({w for ws in cut.values() for w in ws if w not in self.words})
-        ids = self.encode_bytes([w.encode("utf-8", "surrogatepass") for w in new])
-        self.words.update(zip(new, zip([x.astype("<i4").tobytes() for x in ids], self.decode_many(ids))))
-        for c, ws in cut.items():
-            if len(ws) == 1:
-                self.chunks[c] = self.words[ws[0]]
-            else:
-                found = [self.words[w] for w in ws]
-                self.chunks[c] = b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
+    def learn(self, heads: list[str], chunks: list[str]) -> None:
+        """Encode what is not known yet by its distinct pre-tokens, and decode their ids."""
+        cut = [self.pattern.findall(c) for c in [*heads, *(" " + c for c in chunks)]]
+        new = list({w for ws in cut for w in ws if w not in self.words})
+        raw = [w.encode("utf-8", "surrogatepass") for w in new]
+        ids = self.encode_bytes(raw)
+        self.words.update(zip(new, ids))
+        for w, r, back in zip(new, raw, self.decode_many([np.frombuffer(i, "<i4") for i in ids])):
+            if back != r:
+                self.odd[w] = back
+        coded = [self.words[ws[0]] if len(ws) == 1 else b"".join([self.words[w] for w in ws]) for ws in cut]
+        self.heads.update(zip(heads, coded))
+        self.chunks.update(zip(chunks, coded[len(heads) :]))
 
     def run(self, texts: list[str]) -> list[tuple[np.ndarray, bytes]]:
         """Ids of whole texts, and the bytes that those ids decode to."""
-        for memo in (self.words, self.chunks):
-            if len(memo) > _MEMO:
+        for memo in (self.words, self.chunks, self.heads):
+            if len(memo) > MEMO:
                 # The older half goes.
                 for key in list(memo)[: len(memo) // 2]:
                     del memo[key]
         cut = [split(t) for t in texts]
-        found = [list(map(self.chunks.get, cs)) for cs in cut]
+        found = [list(map(self.chunks.get, cs)) for _, cs in cut]
+        heads = {h for h, _ in cut if h not in self.heads}
         missing = [k for k, f in enumerate(found) if None in f]
-        if missing:
-            self.learn(sorted({c for k in missing for c, f in zip(cut[k], found[k]) if f is None}))
+        if missing or heads:
+            self.learn(list(heads), list({c for k in missing for c, f in zip(cut[k][1], found[k]) if f is None}))
             for k in missing:
-                found[k] = list(map(self.chunks.__getitem__, cut[k]))
-        return [(np.frombuffer(b"".join([i for i, _ in f]), "<i4"), b"".join([d for _, d in f])) for f in found]
-
-
-def split(text: str) -> list[str]:
-    """Parts of a text that begin where a pre-token does: before a space and another sign."""
+                found[k] = list(map(self.chunks.__getitem__, cut[k][1]))
+        ids = [np.frombuffer(self.heads[h] + b"".join(f), "<i4") for (h, _), f in zip(cut, found)]
+        if self.odd:
+            return list(zip(ids, self.decode_many(ids)))
+        # Every pre-token decoded to its own bytes, so the whole does.
+        return [(i, t.encode("utf-8", "surrogatepass")) for i, t in zip(ids, texts)]
+
+
+def split(text: str) -> tuple[str, list[str]]:
+    """Cuts a text before spaces that begin a pre-token, those before another sign: what comes
+    before the first such space, and the parts after each."""
+    head, *parts = text.split(" ")
     odd = _AFTER_SPACE[0 if text.isascii() else 1]
-    parts = text.split(" ")
-    out = [parts[0], *(" " + p for p in parts[1:])] if len(parts) > 1 else parts
     if text.endswith(" ") or any(o in text for o in odd):
-        joined: list[str] = []
-        for part in out:
+        joined = [head]
+        for part in parts:
             # A space before white space, or at the end, may belong to the run before it.
-            if joined and (part == " " or part[1:2] in _SPACES):
-                joined[-1] += part
+            if not part or part[0] in _SPACES:
+                joined[-1] += " " + part
             else:
                 joined.append(part)
-        out = joined
-    return out if out != [""] else []
+        head, *parts = joined
+    return head, parts
 
 
 @lru_cache(maxsize=2)
@@ -259,8 +266,8 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", id_col
         for frame in frames:
             # A bounded number of signs at a time: ids take about as much room as the text.
             for _, part in frame.groupby(frame["t"].str.len().cumsum() // PART_SIGNS):
-                found = use.run(part["t"].tolist())
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "ids": [f[0] for f in found], "decoded": [f[1] for f in found]})
+                ids, decoded = zip(*use.run(part["t"].tolist()))
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "ids": list(ids), "decoded": list(decoded)})
 
     prepare(docs.sparkSession)
     thin = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
