@@ -25,7 +25,7 @@ from moodlake.llm.common import prepare
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_MEMO_WORDS = 300_000
+_MEMO_WORDS = 700_000
 _MEMO_PAIRS = 1_000_000
 
 
@@ -82,7 +82,7 @@ class Pieces:
         known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) > _MEMO_PAIRS:
-                self.pairs.clear()
+                _drop_older(self.pairs)
             known = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
         return known
 
@@ -90,23 +90,25 @@ class Pieces:
         """The pieces of each distinct word, in sorted order."""
         before, last, best = "", [""], [0.0]
         lowest = min(self.scores.values(), default=0.0) - 10
+        scores, longest, pairs = self.scores, self.longest, self.pairs
         for word in sorted(set(words)):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
             del last[shared + 1 :], best[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                reach = self.longest.get(word[max(0, end - 2) : end], 1) if end > 1 else 1
+                reach = longest.get(word[max(0, end - 2) : end], 1) if end > 1 else 1
                 found, top = None, float("-inf")
                 for start in range(max(0, end - reach), end):
                     piece = word[start:end]
-                    if piece not in self.scores and end - start > 1:
+                    if piece not in scores and end - start > 1:
                         continue
                     if self.bpe:
-                        if self.stable(last[start], piece):
+                        known = pairs.get((last[start], piece))
+                        if known or known is None and self.stable(last[start], piece):
                             found = piece
                             break
-                    elif (score := best[start] + self.scores.get(piece, lowest)) > top:
+                    elif (score := best[start] + scores.get(piece, lowest)) > top:
                         found, top = piece, score
                 last.append(found)
                 best.append(top)
@@ -119,7 +121,7 @@ class Pieces:
     def learn(self, words: list[str]) -> None:
         """Encode the words not known yet."""
         if len(self.memo) > _MEMO_WORDS:
-            self.memo.clear()
+            _drop_older(self.memo)
         for word, parts in self.walk(w for w in words if w not in self.memo):
             out: list[int] = []
             for part in parts:
@@ -143,6 +145,12 @@ class Pieces:
         return raw[1:].decode("utf-8", "replace")
 
 
+def _drop_older(memo: dict) -> None:
+    """The half that was learnt first goes."""
+    for key in list(memo)[: len(memo) // 2]:
+        del memo[key]
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces.load(path)
