@@ -37,13 +37,13 @@ SOURCES = (
     ("phone", "phone", r"\+[0-9]", r"\+[0-9][ ().0-9-]+[0-9]"),
     (
         "email_spelled", "email", r"(?i)[(\[{]at[)\]}]",
-        r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[{]at[)\]}] ?[A-Za-z0-9-]{1,63}+"
-        r"(?:(?: ?[(\[{]dot[)\]}] ?|\.)[A-Za-z0-9-]{1,63}+){1,8}",
+        r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[(\[{]at[)\]}] ?[A-Za-z0-9-]++"
+        r"(?:(?: ?[(\[{]dot[)\]}] ?|\.)[A-Za-z0-9-]++){1,8}",
     ),
     ("phone_local", "phone", r"[0-9]{3}[ .-][0-9]{4}", r"(?<![0-9+.)-] ?)(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])"),
     (
         "secret", "secret", "(?i)token|key|secret|passw",
-        r"(?i)(?<![a-z])(?:token|api[_-]?key|secret|password|passwd)[\"']? ?[=:] ?[\"']?[A-Za-z0-9_-]{8,256}+",
+        r"(?i)(?<![a-z])(?:token|api[_-]?key|secret|password|passwd)[\"']? ?[=:] ?[\"']?[A-Za-z0-9_-]{8,}+",
     ),
     ("iban", "iban", "[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     (

@@ -246,6 +246,18 @@ def test_personal_data(spark, texts):
         assert [got[k][f"n_{x}"] for x in pii.BASE] == [sum(b.startswith(x) for b in base) for x in pii.BASE]
 
 
+def test_long_secrets_and_local_parts_are_found_whole(spark):
+    token, local = "aZ09_-" * 70, "first.last_" * 8
+    rows = [(1, f"api_key = {token} and more"), (2, f"write to {local} [at] mail [dot] example.org today"), (3, "token=" + "k" * 90_000)]
+    whole = {name: re.compile(pattern) for name, _, _, pattern in pii.SOURCES if name in ("secret", "email_spelled")}
+    assert whole["secret"].search(rows[0][1]).group().endswith(token)
+    assert whole["email_spelled"].search(rows[1][1]).group() == f"{local} [at] mail [dot] example.org"
+    masked = {r.doc_id: r.text for r in pii.mask(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # What is masked at all is masked to its end.
+    assert masked[1] == rows[0][1] or token[-9:] not in masked[1]
+    assert masked[3] == rows[2][1] or "kkk" not in masked[3]
+
+
 def test_mask(spark):
     rows = [(1, "to und.34@mail7.example.com, from 97.51.17.173.", 5), (2, "nothing", 7), (3, None, 0), (1, "to und.34@mail7.example.com, from 97.51.17.173.", 5)]
     got = pii.mask(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()
