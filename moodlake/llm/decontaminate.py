@@ -1,9 +1,10 @@
 """Benchmark decontamination with SimHash over item-sized windows.
 
 Words are runs of letters and digits, lower-cased; shingles are five words. Windows of a
-document have as many shingles as a benchmark item. A window that shares no shingle with any
-item has similarity 0, so windows are laid where a shingle of an item occurs, aligned with
-its place in the item. Each window's 128-bit SimHash is looked up in a multi-index: of 16
+document have as many shingles as a benchmark item and start at every place. Running sums of the
+weights of an item's shingles bound the similarity of each window with it from above; only
+windows whose bound is below the threshold, or not above the best already found, are left out.
+Each other window's 128-bit SimHash is looked up in a multi-index: of 16
 blocks at least one differs in no more than two bits for every fingerprint within the radius,
 and items are filed under all such block values. Candidates are verified by their exact
 weighted-shingle similarity.
@@ -29,6 +30,9 @@ RADIUS = 47
 BLOCKS = 16
 BLOCK_ITEMS = 50_000
 BLOCK_BYTES = 8 << 20
+#: Window starts and (shingle, item) pairs looked at together in a worker; results do not depend on them.
+STARTS = 1 << 14
+PAIRS = 1 << 20
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -101,8 +105,8 @@ class Index:
         flat = np.concatenate([np.zeros(0, _U), *(s for _, _, s in self.items)])
         self.keys, key = np.unique(flat, return_inverse=True)
         owner = np.repeat(np.arange(len(sizes)), sizes)
+        pairs = np.unique(np.stack([key, owner], 1), axis=0)
         if counts is None:
-            pairs = np.unique(np.stack([key, owner], 1), axis=0)
             total, counts = len(sizes), (self.keys, np.bincount(pairs[:, 0], minlength=len(self.keys)))
         order = np.argsort(counts[0])
         seen = counts[1][order][np.searchsorted(counts[0][order], self.keys)]
@@ -112,11 +116,12 @@ class Index:
         self.slot = _U(slots - 1)
         self.filter = np.zeros(slots, bool)
         self.filter[self.keys & self.slot] = True
-        # Where windows are laid for a shingle: its place in an item, the item's size and width.
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.lay = np.unique(np.stack([key, place, sizes[owner], self.width[owner]], 1), axis=0)
-        self.first = np.searchsorted(self.lay[:, 0], np.arange(len(self.keys) + 1))
-        self.totals = [float(self.weights(s).sum()) for _, _, s in self.items]
+        # The items that own each key.
+        self.sizes = sizes
+        self.owners = pairs[:, 1]
+        self.first = np.searchsorted(pairs[:, 0], np.arange(len(self.keys) + 1))
+        self.own = [np.unique(k) for k in np.split(key, np.cumsum(sizes)[:-1])] if len(sizes) else []
+        self.totals = np.array([float(self.weights(s).sum()) for _, _, s in self.items])
         self.prints = np.array([self.fingerprint(s, self.weights(s)) for _, _, s in self.items], np.uint8).reshape(-1, BLOCKS)
         # For each block and value, a bit map of the items filed there.
         masks = [sum(1 << b for b in c) for k in range(RADIUS // BLOCKS + 1) for c in combinations(range(8), k)]
@@ -159,22 +164,52 @@ class Index:
         common = sum(min(n, his[h]) * weight[h] for h, n in mine.items() if h in his)
         return common / max(self.totals[i], float(w.sum()))
 
-    def windows(self, s: np.ndarray, width: int) -> list[list[int]]:
-        """``[start, size]`` of every window of shingles to look at, without repeats."""
+    def likely(self, at: np.ndarray, width: int) -> np.ndarray:
+        """Items of a width of whose weight the given keys, repeats counted, make up enough."""
+        mass = np.zeros(len(self.items))
+        many = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(many)
+        begin = 0
+        while begin < len(at):
+            past = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, past + PAIRS, side="right")))
+            some = many[begin:end]
+            row = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some - self.first[at[begin:end]], some)
+            mass += np.bincount(self.owners[row], np.repeat(self.weight[at[begin:end]], some), len(mass))
+            begin = end
+        return np.flatnonzero((mass >= SIMILARITY * self.totals - 1e-6) & (self.width == width))
+
+    def _scan(self, s: np.ndarray, starts: int, width: int, best: dict[int, float]) -> None:
+        """Puts into ``best`` the items found in windows that begin at the first ``starts`` shingles."""
         hit = np.flatnonzero(self.filter[s & self.slot])
         at, known = self.find(s[hit])
         hit, at = hit[known], at[known]
-        found = []
-        # A shingle of many items may occur often in one text: a bounded number at a time.
-        for k in range(0, len(hit), 4096):
-            many = self.first[at[k : k + 4096] + 1] - self.first[at[k : k + 4096]]
-            ends = np.cumsum(many)
-            row = np.arange(ends[-1]) - np.repeat(ends - many, many) + np.repeat(self.first[at[k : k + 4096]], many)
-            lay, own = self.lay[row], np.repeat(hit[k : k + 4096], many)
-            fits = lay[:, 3] == width
-            start = np.maximum(0, own[fits] - lay[fits, 1])
-            found.append(np.unique(np.stack([start, lay[fits, 2]], 1), axis=0))
-        return np.unique(np.concatenate(found), axis=0).tolist() if found else []
+        if not len(hit):
+            return
+        w = self.weights(s)
+        run = np.concatenate([[0.0], np.cumsum(w)])
+        start, mine = np.arange(starts), np.zeros(len(self.keys), bool)
+        near: dict[tuple[int, int], set[int]] = {}
+        for i in self.likely(at, width).tolist():
+            mine[self.own[i]] = True
+            held = np.zeros(len(s))
+            own = mine[at]
+            held[hit[own]] = self.weight[at[own]]
+            mine[self.own[i]] = False
+            held = np.concatenate([[0.0], np.cumsum(held)])
+            stop = np.minimum(start + self.sizes[i], len(s))
+            bound = (held[stop] - held[start]) / np.maximum(self.totals[i], run[stop] - run[start])
+            good = np.flatnonzero(bound >= SIMILARITY - 1e-6)
+            for p in good[np.argsort(-bound[good], kind="stable")].tolist():
+                if bound[p] <= best.get(i, 0) + 1e-9:
+                    break
+                part, weights, place = s[p : stop[p]], w[p : stop[p]], (p, int(stop[p]))
+                if place not in near:
+                    near[place] = set(self.near(self.fingerprint(part, weights)))
+                if i in near[place]:
+                    value = self.similarity(i, part, weights)
+                    if value >= SIMILARITY - 1e-9:
+                        best[i] = max(best.get(i, 0), value)
 
     def search(self, text: str | None) -> list[tuple[int | None, float]]:
         """Items contained in a whole text, each with its best similarity."""
@@ -182,14 +217,11 @@ class Index:
         best: dict[int, float] = {}
         for width in self.widths:
             s = shingles(words, width)
-            for start, size in self.windows(s, width):
-                part = s[start : start + size]
-                w = self.weights(part)
-                for i in self.near(self.fingerprint(part, w)):
-                    if self.items[i][1] == width and best.get(i, 0) < 1:
-                        value = self.similarity(i, part, w)
-                        if value >= SIMILARITY - 1e-9:
-                            best[i] = max(best.get(i, 0), value)
+            longest = int(self.sizes[self.width == width].max())
+            for begin in range(0, len(s), STARTS):
+                # A part goes on as far as the windows that begin in it.
+                part = s[begin : begin + STARTS + longest]
+                self._scan(part, min(STARTS, len(s) - begin), width, best)
         return [(self.items[i][0], v) for i, v in sorted(best.items())]
 
 

@@ -201,6 +201,47 @@ def test_decontaminate_in_blocks(spark, docs, monkeypatch):
     assert {r.doc_id for r in decontaminate.clean(docs, items).collect()} == kept == {r.doc_id for r in whole if not r.contaminated}
 
 
+def _every_window(index, text):
+    """Best similarity of each item over the windows at all places of a text, each one looked at."""
+    words, best = decontaminate.word_hashes(text), {}
+    for i, (_, width, own) in enumerate(index.items):
+        s = decontaminate.shingles(words, width)
+        for p in range(len(s)):
+            part = s[p : p + len(own)]
+            w = index.weights(part)
+            value = index.similarity(i, part, w)
+            bits = np.unpackbits(index.prints[i] ^ index.fingerprint(part, w)).sum()
+            if value >= decontaminate.SIMILARITY - 1e-9 and bits <= decontaminate.RADIUS:
+                best[i] = max(best.get(i, 0), value)
+    return [(index.items[i][0], pytest.approx(v)) for i, v in sorted(best.items())]
+
+
+@pytest.mark.parametrize("starts, pairs", [(1 << 14, 1 << 20), (7, 3)])
+def test_decontaminate_looks_at_every_window(spark, monkeypatch, starts, pairs):
+    monkeypatch.setattr(decontaminate, "STARTS", starts)
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    items = [*items[:12], (900, "one two three"), (901, "same same same same same same same same")]
+    index = decontaminate.Index(items)
+    draw = random.Random(8)
+    noise = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    made = [None, "", "one two three", "so one two three four", "same " * 40, noise(300)]
+    for _, text in items[:12]:
+        w = text.split()
+        half, third = len(w) // 2, len(w) // 3
+        made += [
+            noise(30) + " " + " ".join(w[half:] + w[:half]) + " " + noise(30),
+            noise(9) + " " + " ".join(w[third:] + w[:third]) + " " + noise(9),
+            " ".join(w[: len(w) * 9 // 10]),
+            " ".join(w[len(w) // 10 :]) + " " + noise(5) + " " + text,
+            " ".join(w[:half]) + " " + noise(len(w) // 20) + " " + " ".join(w[half:]),
+        ]
+    got = [index.search(t) for t in made]
+    assert got == [_every_window(index, t) for t in made]
+    swapped = [any(i == items[k][0] for i, _ in got[6 + 5 * k]) for k in range(12)]
+    assert sum(swapped) >= 10
+
+
 def test_near_items_are_all_within_the_radius():
     draw = random.Random(5)
     items = [(k, " ".join(draw.choice("abcdefghij") * draw.randrange(1, 4) for _ in range(30))) for k in range(300)]
