@@ -13,6 +13,8 @@ from moodlake.operators.clustering import embed_hashing as embed_hashed
 from moodlake.operators.clustering import embed_model
 from moodlake.operators.scoring import score_model, score_words
 from moodlake.catalog.records import page_text_sql
+from moodlake.session import scratch_path
+from moodlake.plans.changed import read_refreshed, refresh_changed
 from moodlake.plans.daily import backfill_posts, news_job, posts_job, sentiment_by_group
 
 # Our own word lists, from the vocabulary of the test texts.
@@ -180,3 +182,33 @@ def backfill_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = table(spark, sf_dir, "conversations").withColumn("ts", F.date_add(F.lit("2024-01-01").cast("date"), F.col("turn").cast("int")).cast("timestamp"))
     done = backfill_posts(posts, "2024-01-01", "2024-01-31", "role", "text", "role", POSITIVE, NEGATIVE)
     return done.select(F.col("date").cast("string").alias("date"), "n_rows", "n_label", round6("mean_score").alias("mean_score"))
+
+
+@query(
+    f"""
+    WITH p AS (SELECT DATE '2024-01-01' + CAST(turn AS INTEGER) AS day, turn, role || ' ' || CASE WHEN turn = 2 THEN 'nicht que ' || text ELSE text END AS body
+               FROM conversations WHERE turn <> 1),
+    s AS ({_scored_sql("body", "p")})
+    SELECT CAST(day AS VARCHAR) AS date, COUNT(label) AS n_rows, COUNT(*) FILTER (label = 'negative') AS n_label,
+           {sql_exact_mean6("score", "label = 'negative'", "COUNT(score) FILTER (label = 'negative')")} AS mean_score, turn = 2 AS rewritten
+    FROM s GROUP BY day, turn
+    """
+)
+def backfill_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a month: by the second one the texts of a day have changed and those of another are
+    gone. Only these days are scored and written again; the result is that of a full run."""
+    ts = F.date_add(F.lit("2024-01-01").cast("date"), F.col("turn").cast("int")).cast("timestamp")
+    posts = table(spark, sf_dir, "conversations").select("role", "text", "turn", ts.alias("ts"))
+    text = F.when(F.col("turn") == 2, F.concat(F.lit("nicht que "), F.col("text"))).otherwise(F.col("text"))
+    later = posts.withColumn("text", text).filter("turn <> 1")
+    path, month = scratch_path(spark, "backfill-changed"), ("2024-01-01", "2024-01-31")
+    measures = ["date", "n_rows", "n_label", "mean_score"]
+
+    def summarise(rows: DataFrame) -> DataFrame:
+        return backfill_posts(rows, *month, "role", "text", "role", POSITIVE, NEGATIVE).filter("n_rows > 0").select(*measures)
+
+    refresh_changed(posts, path, *month, summarise, ["role", "text"])
+    days = refresh_changed(later, path, *month, summarise, ["role", "text"])
+    stored = read_refreshed(spark, path, summarise(posts).schema)
+    again = F.col("date").isin([F.lit(d) for d in days]).alias("rewritten")
+    return stored.select(F.col("date").cast("string").alias("date"), "n_rows", "n_label", round6("mean_score").alias("mean_score"), again)

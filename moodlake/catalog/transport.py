@@ -76,6 +76,27 @@ def scan_feed_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_batches(ok, bad).select("status", "event_id", "event_type", "props", "error")
 
 
+@query(
+    """
+    SELECT 'named' AS part, CAST(event_id AS VARCHAR) AS event_id, event_type, props, NULL AS error, NULL AS n_rows FROM events
+    UNION ALL SELECT 'named', CAST(event_id AS VARCHAR), event_type, NULL, NULL, NULL FROM events
+    UNION ALL SELECT 'unknown', CAST(event_id AS VARCHAR), event_type, NULL, NULL, NULL FROM events
+    UNION ALL SELECT 'dead', NULL, NULL, NULL, 'expected 5 columns, found 3', COUNT(*) FROM events
+    """
+)
+def scan_feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three feeds in one folder and one call; the width belongs to the file."""
+    events, root = table(spark, sf_dir, "events"), scratch_path(spark, "feed-files")
+    for width in (5, 4, 3):
+        _land_tsv(events.select(*_EVENT_NAMES[:width]), f"{root}/{width}")
+    named, unknown, dead = readers.scan_feed_files(spark, f"{root}/*", _EVENT_NAMES)
+    none = F.lit(None).cast("string")
+    rows = named.select(F.lit("named").alias("part"), "event_id", "event_type", "props", none.alias("error"), F.lit(None).cast("long").alias("n_rows"))
+    other = unknown.select(F.lit("unknown"), F.col("fields")["Column_0"], F.col("fields")["Column_2"], none, none, F.lit(None).cast("long"))
+    per_width = dead.groupBy("error").agg(F.sum("n_rows").alias("n_rows"))
+    return rows.union(other).union(per_width.select(F.lit("dead"), none, none, none, "error", "n_rows"))
+
+
 @query("SELECT doc_id, text, CASE WHEN lang <> 'de' THEN lang END AS lang, source FROM documents")
 def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of about a thousand records each, one JSON array per file."""
@@ -118,9 +139,12 @@ def scan_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.unionByName(absent).select("event_id", "user_id", "value")
 
 
-def _sources(docs: DataFrame) -> list[str]:
-    """The groups to ask for: a caller would have this list at hand."""
-    return sorted(r.source for r in docs.select("source").distinct().collect())
+def _sources(spark: SparkSession, docs: DataFrame, *more: str) -> DataFrame:
+    """The groups to ask for, as a table: a caller would have one at hand."""
+    asked = docs.select("source").distinct()
+    for name in more:
+        asked = asked.union(spark.range(1).select(F.lit(name)))
+    return settle(asked, "asked-groups")
 
 
 @query(
@@ -134,8 +158,7 @@ def scan_groups_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "groups")
     writers.balanced(docs, ["source"]).write.partitionBy("source").parquet(path)
-    groups = [*_sources(docs), "absent"]
-    _, counts = readers.scan_groups(spark, path, docs.schema, groups, "source")
+    _, counts = readers.scan_groups(spark, path, docs.schema, _sources(spark, docs, "absent"), "source")
     return counts
 
 
@@ -144,7 +167,7 @@ def scan_groups_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     path = scratch_path(spark, "groups")
     writers.balanced(docs, ["source"]).write.partitionBy("source").parquet(path)
-    rows, _ = readers.scan_groups(spark, path, docs.schema, _sources(docs), "source")
+    rows, _ = readers.scan_groups(spark, path, docs.schema, _sources(spark, docs), "source")
     return rows.select("doc_id", "text", "source")
 
 

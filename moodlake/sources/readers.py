@@ -152,6 +152,40 @@ def scan_feed(
     return named, _dead_letters(raw.filter(~good), len(names), unreadable)
 
 
+def scan_feed_files(
+    spark: SparkSession, path: str | list[str], names: Sequence[str], multi_line: bool = False,
+    na_tokens: Sequence[str] = PANDAS_NA_TOKENS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Files of several widths in one plan: (named rows, rows of unknown files, dead files).
+
+    A file is as wide as its widest record. One with all the names or all but the last is read by
+    them, its shorter records filled up with nulls. The records of any other file are
+    ``(file, width, fields)`` with ``fields`` a map from ``Column_i`` to the text, and the file itself is one dead
+    letter ``(file, error, n_rows)``, as is a file that cannot be read to its end. Widths are
+    an aggregate per file, joined back to the rows; files are not looked at one by one.
+    """
+    names = list(names)
+    raw, unreadable = _feed(spark, path, names, multi_line)
+    raw = raw.withColumn("_width", F.coalesce(F.col("tabs") + 1, F.lit(len(names))))
+    files = raw.groupBy("file").agg(F.max("_width").alias("width"), F.count("*").alias("n_rows"))
+    known = F.col("width").isin(len(names), len(names) - 1)
+    rows = raw.join(files.drop("n_rows"), "file")
+    named = null_tokens(rows.filter(known).select(*names), na_tokens)
+
+    cell = r'\t("[^"]*+(?:""[^"]*+)*+"|[^\t]*+)'
+    cells = F.regexp_extract_all(F.concat(F.lit("\t"), F.col(BAD_RECORD)), F.lit(cell), F.lit(1))
+    plain = F.transform(cells, lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    every = F.when(F.col(BAD_RECORD).isNull(), F.array(*names)).otherwise(plain)
+    pairs = F.transform(every, lambda c, i: F.struct(F.concat(F.lit("Column_"), i.cast("string")), F.when(c != "", c)))
+    unknown = rows.filter(~known).select("file", "width", F.map_from_entries(pairs).alias("fields"))
+
+    error = F.concat(F.lit("expected "), F.lit(len(names)), F.lit(" columns, found "), F.col("width"))
+    dead = files.filter(~known).select("file", error.alias("error"), "n_rows")
+    if unreadable is not None:
+        dead = dead.unionByName(unreadable.select("file", "error", F.lit(None).cast("long").alias("n_rows")))
+    return named, unknown, dead
+
+
 def scan_zipped_tsv(spark: SparkSession, path: str | list[str], width: int) -> DataFrame:
     """Every member of every zip file as string columns, with the names of file and member.
 
@@ -278,8 +312,9 @@ def _load_folders(spark: SparkSession, root: str, schema: T.StructType, fmt: str
     if asked and all(one_spelling(k, v) for k, v in asked.items()):
         tails = {"/".join(f"{_escaped(k)}={_escaped(v)}" for k, v in zip(asked, values)) for values in product(*asked.values())}
         paths = [f"{root.rstrip('/')}/{_literal(t)}" for t in sorted(tails)]
-        if paths and all(load(p) is not None for p in paths):
-            return load(*paths)
+        # All folders in one load: Spark looks for them together and fails if one is absent.
+        if paths and (found := load(*paths)) is not None:
+            return found
     df = load(root)
     return df if df is not None else spark.createDataFrame([], schema)
 
@@ -290,13 +325,21 @@ def _escaped(value: str | date) -> str:
 
 
 def scan_groups(
-    spark: SparkSession, root: str, schema: T.StructType, groups: Sequence[str], group_col: str, **partition
+    spark: SparkSession, root: str, schema: T.StructType, groups: Sequence[str] | DataFrame, group_col: str, **partition
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of several groups in one read, tagged by the partition column, and the row
-    count of every group asked for (0 if its folder is missing)."""
-    groups = list(dict.fromkeys(groups))
-    rows = read_partition(spark, root, schema, **{group_col: groups}, **partition)
-    asked = spark.createDataFrame([(g,) for g in groups], f"{group_col} string")
+    count of every group asked for (0 if its folder is missing).
+
+    ``groups`` may be a DataFrame with the column ``group_col``, of any length: it is joined, and
+    Spark prunes the folders by it when the join runs. Repeated and null groups count once and not at all.
+    """
+    if isinstance(groups, DataFrame):
+        asked = groups.select(group_col).filter(F.col(group_col).isNotNull()).distinct()
+        rows = read_partition(spark, root, schema, **partition).join(asked, group_col, "left_semi").select(*schema.names)
+    else:
+        groups = list(dict.fromkeys(groups))
+        asked = spark.createDataFrame([(g,) for g in groups], f"{group_col} string")
+        rows = read_partition(spark, root, schema, **{group_col: groups}, **partition)
     found = rows.groupBy(group_col).agg(F.count("*").alias("n_rows"))
     counts = asked.join(found, group_col, "left").select(group_col, F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
     return rows, counts
