@@ -3,7 +3,7 @@
 Paths become templates: a segment whose shape is variable (numbers, hashes, dates, ids) is a
 wildcard at once; further segments become wildcards where a child's labels do not differ, by a
 test of two shares, from those of its siblings, or where a child has no labels and its node of
-the tree has too many different children. A template is rejected when the smoothed share of blocked pages among
+the tree has too many different children, or at least two labelled ones that are all alike. A template is rejected when the smoothed share of blocked pages among
 its labelled ones is high. All steps are aggregates and joins on (host, template), so a host
 that holds a third of all pages is counted in every task before anything is shuffled.
 """
@@ -22,6 +22,8 @@ BRANCHES = 20
 SIMILAR_Z = 1.64
 SMOOTHING = 4.0
 PURITY = 0.8
+#: One in so many pages that a rule decides is kept from the tree, to measure it.
+HELD_OUT = 5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -81,7 +83,8 @@ def templates(paths: DataFrame, depth: int = DEPTH, branches: int = BRANCHES) ->
     """Template and labelled counts of each ``(host, shape)``, level by level down the tree.
 
     ``paths`` has ``host``, ``shape``, ``n`` (labelled pages) and ``bad`` (blocked ones). Segments
-    deeper than ``depth`` are one wildcard. Returns ``paths`` with ``template``.
+    deeper than ``depth`` are one wildcard. More than ``branches`` children of a node make those
+    without labels a wildcard. Returns ``paths`` with ``template``.
     """
     parts = F.filter(F.split("shape", "/"), lambda s: s != "")
     now = paths.withColumn("parts", parts).withColumn("template", F.lit(""))
@@ -96,8 +99,13 @@ def templates(paths: DataFrame, depth: int = DEPTH, branches: int = BRANCHES) ->
         spread = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (F.try_divide(F.lit(1), "cn") + F.try_divide(F.lit(1), others)))
         z = F.abs(F.try_divide("cb", "cn") - F.try_divide(rest, others)) / spread
         similar = (F.col("cn") > 0) & (others > 0) & (z < SIMILAR_Z)
+        both = both.withColumn("alike", F.coalesce(similar, F.lit(False)))
+        agreed = both.filter("cn > 0").groupBy("host", "template").agg(F.every("alike").alias("agree"), F.count("*").alias("labelled"))
+        both = both.join(agreed, ["host", "template"], "left")
         # However many children there are, a labelled one that is not like its siblings stays apart.
-        merged = F.coalesce(((F.col("many") > branches) & (F.col("cn") == 0)) | similar, F.lit(False))
+        # One without labels goes with its siblings only where the labelled ones do not differ.
+        carried = F.coalesce(F.col("agree") & (F.col("labelled") > 1), F.lit(False)) | (F.col("many") > branches)
+        merged = F.col("alike") | ((F.col("cn") == 0) & carried)
         step = both.select("host", "template", "child", F.when(merged, F.lit("*")).otherwise(F.col("child")).alias("step"))
         now = now.join(step, ["host", "template", "child"], "left")
         now = now.withColumn("template", F.when(F.col("step").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "step")))
@@ -106,11 +114,16 @@ def templates(paths: DataFrame, depth: int = DEPTH, branches: int = BRANCHES) ->
     return now.withColumn("template", deeper).drop("parts")
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFrame | None = None, url: str = "url", id_col: str = "page_id") -> DataFrame:
-    """``(page_id, host, path, rule, verdict, template, purity)``, one row per row of ``pages``.
+def judge(
+    pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFrame | None = None, url: str = "url", id_col: str = "page_id",
+    depth: int = DEPTH, branches: int = BRANCHES, held_out: int = HELD_OUT,
+) -> DataFrame:
+    """``(page_id, host, path, rule, verdict, template, purity, learned, held_out)``, one row per row of ``pages``.
 
     ``labels`` has ``page_id`` and ``blocked`` (boolean); without it the pages that a rule decides
-    are the labelled ones. Purity is the smoothed share of blocked among labelled pages of the
+    are the labelled ones, but for those whose crc32(page_id as text) is divisible by ``held_out``
+    (0: none), which show how the tree judges pages it has not seen: ``learned`` is its own
+    verdict on every page, ``verdict`` the rule's, else ``learned``. Purity is the smoothed share of blocked among labelled pages of the
     template; a template without labels has the overall share, held under the threshold, so
     it is allowed. Repeated labels of a page count once each.
     """
@@ -119,14 +132,18 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFrame |
     rows = rows.withColumn("rule", match_rule(F.col("host"), F.col("path"), rules, "name"))
     rows = rows.withColumn("ruled", match_rule(F.col("host"), F.col("path"), rules, "verdict"))
     rows = rows.withColumn("shape", F.array_join(segments(F.col("path")), "/"))
+    kept = F.lit(False)
+    if labels is None and held_out:
+        kept = F.col("rule").isNotNull() & (F.crc32(F.col("page_id").cast("string")) % held_out == 0)
+    rows = rows.withColumn("held_out", F.coalesce(kept, F.lit(False)))
     if labels is None:
-        marked = rows.select("host", "shape", (F.col("ruled") == "block").alias("blocked"))
+        marked = rows.select("host", "shape", F.when(~F.col("held_out"), F.col("ruled") == "block").alias("blocked"))
     else:
         known = labels.select(F.col("page_id").alias("_id"), "blocked")
         marked = rows.join(known, F.col("page_id") == F.col("_id"), "left").select("host", "shape", "blocked")
     bad = F.sum(F.when(F.col("blocked"), 1).otherwise(0)).cast("long")
     shapes = marked.groupBy("host", "shape").agg(F.count("blocked").alias("n"), bad.alias("bad"))
-    tree = templates(settle(shapes, "url-shapes"))
+    tree = templates(settle(shapes, "url-shapes"), depth, branches)
     known = tree.groupBy("host", "template").agg(F.sum("n").alias("tn"), F.sum("bad").alias("tb"))
     total = known.agg(F.sum("tn"), F.sum("tb")).first()
     prior = min((total[1] or 0) / total[0] if total[0] else 0.0, PURITY / 2)
@@ -134,4 +151,5 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFrame |
     verdicts = settle(tree.join(known, ["host", "template"]).select("host", "shape", "template", "purity"), "url-verdicts")
     judged = rows.join(verdicts, ["host", "shape"], "left")
     own = F.when(F.col("purity") >= PURITY, "block").otherwise("allow")
-    return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "template", "purity")
+    verdict = F.coalesce("ruled", own).alias("verdict")
+    return judged.select("page_id", "host", "path", "rule", verdict, "template", "purity", own.alias("learned"), "held_out")
