@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodlake.catalog.registry import cents, query, round6, sql_mean6, table
-from moodlake.session import scratch_path
+from moodlake.session import scratch_path, settle
+from moodlake.sources.readers import daily_last_value
 from moodlake.streaming import streams
+from moodlake.streaming.fill import fill_stream
 
 # Longer than any overlap of two collection runs below.
 _LAG = "3 days"
@@ -129,3 +131,41 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     for stream in _overlapping_runs(spark, sf_dir):
         streams.upsert_stream(stream, path, "event_id", ["value"], checkpoint=checkpoint)
     return spark.read.schema(stream.schema).parquet(path).select("event_id", "value")
+
+
+@query(
+    """
+    WITH obs AS (
+      SELECT user_id, date, value FROM (
+        SELECT user_id, CAST(ts AS DATE) AS date, value,
+               row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1),
+    span AS (SELECT user_id, min(date) AS lo, (SELECT max(date) FROM obs) - 2 AS hi FROM obs GROUP BY user_id),
+    grid AS (
+      SELECT g.user_id, CAST(g.d AS DATE) AS date, o.value
+      FROM (SELECT user_id, unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM span) g
+      LEFT JOIN obs o ON o.user_id = g.user_id AND o.date = CAST(g.d AS DATE)),
+    filled AS (
+      SELECT *, last_value(value IGNORE NULLS) OVER w AS chained, last_value(value IGNORE NULLS) OVER s AS recent,
+             CAST(date - last_value(CASE WHEN value IS NOT NULL THEN date END IGNORE NULLS) OVER w AS INTEGER) AS age
+      FROM grid WINDOW w AS (PARTITION BY user_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                       s AS (PARTITION BY user_id ORDER BY date RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW))
+    SELECT 'chained' AS mode, user_id, CAST(date AS VARCHAR) AS date, round(chained, 6) AS filled, age AS age_days FROM filled
+    UNION ALL SELECT 'observed', user_id, CAST(date AS VARCHAR), round(coalesce(recent, 20.0), 6), CASE WHEN age <= 2 THEN age END FROM filled
+    """
+)
+def stream_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's daily values arrive in three runs; days are filled as the watermark passes them."""
+    observed = settle(daily_last_value(table(spark, sf_dir, "events"), "ts", "value", ["user_id"], tie="event_id"), "observed")
+    since = F.date_diff("date", observed.agg(F.min("date")).scalar())
+    source, out = scratch_path(spark, "fill-source"), []
+    paths = {mode: (scratch_path(spark, f"fill-{mode}"), scratch_path(spark, f"fill-{mode}-state")) for mode in ("chained", "observed")}
+    for i, (low, high) in enumerate(((0, 11), (11, 21), (21, 1_000_000))):
+        observed.filter((since >= low) & (since < high)).write.parquet(f"{source}/run={i}")
+        for mode, (path, state) in paths.items():
+            stream = streams.read_files(spark, f"{source}/*", observed.schema)
+            ages = {"max_age": None} if mode == "chained" else {"max_age": 2, "default": 20.0}
+            streams.run_to_table(fill_stream(stream, ["user_id"], "date", "value", "1 day", **ages), path, checkpoint=state)
+    for mode, (path, _) in paths.items():
+        stored = spark.read.schema("user_id bigint, date date, filled double, age_days int").parquet(path)
+        out.append(stored.select(F.lit(mode).alias("mode"), "user_id", F.col("date").cast("string").alias("date"), F.round("filled", 6).alias("filled"), "age_days"))
+    return out[0].unionByName(out[1])
