@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +12,11 @@ from moodlake.operators.dedup import union_batches
 from moodlake.operators.scoring import score_model
 from moodlake.operators.summary import label_summary
 from moodlake.session import scratch_path, settle
-from moodlake.sources import readers, writers
+from moodlake.sources import json_ranges, readers, writers
 
 _ROWS_PER_DOCUMENT = 1000
+#: Far under Spark's own 128 MB, so that the test tables give many ranges too.
+_RANGE_BYTES = 1 << 18
 
 
 def _land_tsv(df: DataFrame, path: str) -> str:
@@ -114,6 +116,21 @@ def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+@query("SELECT doc_id, text, CASE WHEN lang <> 'de' THEN lang END AS lang, source FROM documents")
+def scan_json_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one array in one file, read in many ranges."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    record = F.to_json(F.struct("doc_id", "text", F.when(F.col("lang") == "de", "NaN").otherwise(F.col("lang")).alias("lang"), "source"))
+    path = scratch_path(spark, "json-one-file")
+    # One file is the point: a single task writes it, sorted, without holding it.
+    nth = F.row_number().over(Window.orderBy("doc_id"))
+    lines = docs.select(F.concat(F.when(nth == 1, "[").otherwise(","), record).alias("value"), F.lit(0).alias("_end"))
+    end = spark.range(1).select(F.when(F.lit(docs.isEmpty()), "[]").otherwise("]").alias("value"), F.lit(1).alias("_end"))
+    lines.union(end).coalesce(1).sortWithinPartitions("_end").select("value").write.text(path)
+    rows, _ = json_ranges.scan_json_ranges(spark, path, docs.schema, nan_columns=["lang"], range_bytes=_RANGE_BYTES)
+    return rows
+
+
 @query("SELECT text, COUNT(*) AS n FROM documents GROUP BY text")
 def scan_text_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of about a thousand documents each, one JSON array of strings per file."""
