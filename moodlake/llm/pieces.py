@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from moodlake.llm.common import prepare
 
 MARK = "▁"
-_WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+_WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 _MEMO_WORDS = 700_000
 _MEMO_PAIRS = 1_000_000
 
@@ -34,10 +35,15 @@ class Pieces:
 
     def __init__(self, scores: dict[str, float], ids: dict[str, int], byte_ids: list[int], bpe: bool, unknown: int = 0):
         self.scores, self.ids, self.byte_ids, self.bpe, self.unknown = scores, ids, byte_ids, bpe, unknown
-        self.longest: dict[str, int] = {}
+        self.lowest = min(scores.values(), default=0.0) - 10
+        found: dict[str, set[int]] = {}
         for piece in scores:
-            for tail in (piece[-1:], piece[-2:]):
-                self.longest[tail] = max(self.longest.get(tail, 1), len(piece))
+            if len(piece) > 1:
+                found.setdefault(piece[-3:], {1}).add(len(piece))
+        for tail, sizes in found.items():
+            sizes |= found.get(tail[-2:], set()) if len(tail) == 3 else set()
+        #: Lengths of the pieces with a given end of two or three characters, the longest first.
+        self.sizes = {tail: tuple(sorted(sizes, reverse=True)) for tail, sizes in found.items()}
         top = max([*ids.values(), *byte_ids, unknown, 0]) + 1
         self.raw = [b""] * top
         self.is_byte = np.zeros(top, bool)
@@ -46,7 +52,8 @@ class Pieces:
         for b, i in enumerate(byte_ids):
             self.raw[i], self.is_byte[i] = bytes([b]), True
         self.memo: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.n_pairs = 0
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -79,72 +86,110 @@ class Pieces:
 
     def stable(self, left: str, right: str) -> bool:
         """Whether merging the joined text of two pieces ends at just these two."""
-        known = self.pairs.get((left, right))
+        known = self.pairs.setdefault(left, {}).get(right)
         if known is None:
-            if len(self.pairs) > _MEMO_PAIRS:
-                _drop_older(self.pairs)
-            known = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+            known = self.pairs[left][right] = self.merged(left + right) == ([left, right] if left else [right])
+            self.n_pairs += 1
         return known
 
     def walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """The pieces of each distinct word, in sorted order."""
+        step = self._last_stable if self.bpe else self._best_sum
         before, last, best = "", [""], [0.0]
-        lowest = min(self.scores.values(), default=0.0) - 10
-        scores, longest, pairs = self.scores, self.longest, self.pairs
         for word in sorted(set(words)):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
             del last[shared + 1 :], best[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                reach = longest.get(word[max(0, end - 2) : end], 1) if end > 1 else 1
-                found, top = None, float("-inf")
-                for start in range(max(0, end - reach), end):
-                    piece = word[start:end]
-                    if piece not in scores and end - start > 1:
-                        continue
-                    if self.bpe:
-                        known = pairs.get((last[start], piece))
-                        if known or known is None and self.stable(last[start], piece):
-                            found = piece
-                            break
-                    elif (score := best[start] + scores.get(piece, lowest)) > top:
-                        found, top = piece, score
-                last.append(found)
-                best.append(top)
+            step(word, last, best)
             before, at, out = word, len(word), []
             while at:
                 out.append(last[at])
                 at -= len(last[at])
-            yield word, out[::-1]
+            out.reverse()
+            yield word, out
+
+    def _candidates(self, word: str, end: int) -> tuple[int, ...]:
+        """Lengths that a piece ending at ``end`` may have."""
+        return self.sizes.get(word[max(0, end - 3) : end]) or self.sizes.get(word[max(0, end - 2) : end], (1,))
+
+    def _last_stable(self, word: str, last: list[str], best: list[float]) -> None:
+        """Forward states of a BPE model: at every end the one piece that stays apart from the piece before it."""
+        scores, sizes, pairs = self.scores, self.sizes, self.pairs
+        for end in range(len(last), len(word) + 1):
+            tail = word[end - 3 : end] if end > 2 else word[:end]
+            for size in sizes.get(tail) or sizes.get(tail[-2:], (1,)):
+                if size > end:
+                    continue
+                piece = word[end - size : end]
+                if size > 1 and piece not in scores:
+                    continue
+                left = last[end - size]
+                after = pairs.get(left)
+                known = after.get(piece) if after is not None else None
+                if known or known is None and self.stable(left, piece):
+                    last.append(piece)
+                    break
+
+    def _best_sum(self, word: str, last: list[str], best: list[float]) -> None:
+        """Forward states of a unigram model: the piece that ends the path of the best sum; the longest on ties."""
+        for end in range(len(last), len(word) + 1):
+            found, top = word[end - 1 : end], float("-inf")
+            for size in self._candidates(word, end):
+                piece = word[end - size : end] if size <= end else ""
+                if piece in self.scores or size == 1:
+                    score = best[end - size] + self.scores.get(piece, self.lowest)
+                    if score > top:
+                        found, top = piece, score
+            last.append(found)
+            best.append(top)
 
-    def learn(self, words: list[str]) -> None:
-        """Encode the words not known yet."""
+    def learn(self, words: Iterable[str]) -> None:
+        """Encode the words not known yet; a word is kept without its first mark."""
         if len(self.memo) > _MEMO_WORDS:
             _drop_older(self.memo)
-        for word, parts in self.walk(w for w in words if w not in self.memo):
-            out: list[int] = []
-            for part in parts:
-                i = self.ids.get(part)
-                if i is not None:
-                    out.append(i)
-                elif self.byte_ids:
-                    out += [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
-                elif not out or out[-1] != self.unknown:
-                    out.append(self.unknown)
-            self.memo[word] = np.array(out, "<i4").tobytes()
+        if self.n_pairs > _MEMO_PAIRS:
+            self.pairs.clear()
+            self.n_pairs = 0
+        for word, parts in self.walk([MARK + w for w in words if w not in self.memo]):
+            self.memo[word[1:]] = array("i", self._ids_of(parts)).tobytes()
+
+    def _ids_of(self, parts: list[str]) -> list[int]:
+        try:
+            return [self.ids[part] for part in parts]
+        except KeyError:  # not a piece: its bytes, or one unknown for a run of such
+            pass
+        out: list[int] = []
+        for part in parts:
+            i = self.ids.get(part)
+            if i is not None:
+                out.append(i)
+            elif self.byte_ids:
+                out += [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
+            elif not out or out[-1] != self.unknown:
+                out.append(self.unknown)
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the same as the library's."""
-        cut = [_WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        self.learn([w for words in cut for w in words])
-        return [np.frombuffer(b"".join(map(self.memo.__getitem__, words)), "<i4") for words in cut]
+        cut = [_words(t) for t in texts]
+        self.learn({w for words in cut for w in words})
+        return [np.frombuffer(b"".join(map(self.memo.__getitem__, words)), np.int32) for words in cut]
 
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join(map(self.raw.__getitem__, ids.tolist()))
         return raw[1:].decode("utf-8", "replace")
 
 
+def _words(text: str) -> list[str]:
+    """The marked words of a text, each without its first mark."""
+    if not text:
+        return []
+    if "  " in text or text[0] == " " or text[-1] == " " or MARK in text:
+        return [w[1:] for w in _WORDS.findall(MARK + text.replace(" ", MARK))]
+    return text.split(" ")
+
+
 def _drop_older(memo: dict) -> None:
     """The half that was learnt first goes."""
     for key in list(memo)[: len(memo) // 2]:
