@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodlake.catalog.records import STOP_WORDS
-from moodlake.catalog.registry import query, sql_list, table
+from moodlake.catalog.registry import query, round6, sql_list, table
 from moodlake.operators import clustering, text_clusters
 from moodlake.operators.representatives import representative_texts
+from moodlake.operators.silhouette import silhouette
 from moodlake.plans.clusters import cluster_texts
 from moodlake.session import scratch_path
 
@@ -59,6 +60,16 @@ def silhouette_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(score,)], "silhouette double").select(F.round("silhouette", 6).alias("silhouette"))
 
 
+@query(
+    _silhouette_sql("list_distance(a.e, b.e)")
+    + "SELECT label, COUNT(*) AS n_rows, round(avg(silhouette), 6) AS silhouette, 0.0 AS error FROM sil GROUP BY label"
+)
+def silhouette_euclidean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain distances, per cluster; a table of at most 4,096 distinct vectors has no error left."""
+    found = silhouette(table(spark, sf_dir, "embeddings"), "label")
+    return found.select("label", "n_rows", round6("silhouette").alias("silhouette"), round6("error").alias("error"))
+
+
 @query(
     """
     SELECT label, COUNT(*) AS size, round(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM embeddings), 6) AS percentage

@@ -146,7 +146,8 @@ def _sums(vectors: DataFrame, runs: list[np.ndarray]) -> dict[tuple[int, int], t
                 square[low:high] += hot.T @ size
                 total[low:high] += hot.T @ x
         full = np.flatnonzero(n)
-        yield pd.DataFrame({"at": full, "n": n[full].astype(int), "cost": cost[full], "square": square[full], "total": list(total[full])})
+        if len(full):  # a task may have no rows
+            yield pd.DataFrame({"at": full, "n": n[full].astype(int), "cost": cost[full], "square": square[full], "total": list(total[full])})
 
     parts = vectors.mapInPandas(run, "at int, n long, cost double, square double, total array<double>")
     parts = parts.withColumn("total", array_to_vector("total"))

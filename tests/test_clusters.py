@@ -166,3 +166,10 @@ def test_model_embedding_batches(spark):
     df = spark.createDataFrame([(i, "x" * i) for i in range(10)], "id int, t string").coalesce(1)
     got = {r.id: r.embedding[0] for r in clustering.embed_model(df, "t", make, batch=4).collect()}
     assert got == {i: float(i) for i in range(10)}
+
+
+def test_empty_partitions(spark):
+    rows = [(i, [float(i % 2) * 9, 0.0]) for i in range(4)]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(16, "id")
+    fit = clustering.fit_kmeans(df, 2, starts=1)
+    assert sorted(fit.sizes.tolist()) == [2, 2]
