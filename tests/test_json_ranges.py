@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from moodlake.sources import json_ranges
 from moodlake.sources.json_ranges import scan_json_ranges
 
 SCHEMA = "id long, title string, more struct<list:array<string>,map:map<string,long>>"
@@ -114,3 +115,15 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path, schema):
     assert got.agg(F.count("*").alias("n"), F.sum("id").alias("s")).first() == (500, 500 * 499 // 2)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" not in plan and "ArrowEval" not in plan
+
+
+def test_texts_are_shuffled_once(spark, tmp_path, schema, monkeypatch):
+    (tmp_path / "a.json").write_text(json.dumps([{"id": i, "title": "x" * 200} for i in range(100)]))
+    pieces = json_ranges._pieces(spark, str(tmp_path), 4096)
+    starts = json_ranges._starts(pieces)
+    assert starts.count() > 1
+    written = {}
+    monkeypatch.setattr(json_ranges, "settle", lambda df, purpose: written.setdefault(purpose, df))
+    json_ranges._parts(pieces, starts)
+    plan = written["json-parts"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
