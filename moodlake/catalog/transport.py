@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +20,8 @@ from moodlake.sources import json_ranges, readers, writers
 _ROWS_PER_DOCUMENT = 1000
 #: Far under Spark's own 128 MB, so that the test tables give many ranges too.
 _RANGE_BYTES = 1 << 18
+#: Documents of one array that is read in ranges, some 200 MB; more documents make more files.
+_ARRAY_ROWS = 100_000
 
 
 def _land_tsv(df: DataFrame, path: str) -> str:
@@ -116,17 +121,31 @@ def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def _land_arrays(records: DataFrame, path: str, rows: int = _ARRAY_ROWS) -> str:
+    """JSON texts, the only column, as files of about ``rows`` records that are one array each.
+
+    A task writes its array as it gets it and holds one batch.
+    """
+
+    def array(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        empty = True
+        for frame in frames:
+            lead = ["[" if empty and i == 0 else "," for i in range(len(frame))]
+            empty = empty and not lead
+            yield pd.DataFrame({"value": [a + v for a, v in zip(lead, frame.iloc[:, 0])]})
+        yield pd.DataFrame({"value": ["[]" if empty else "]"]})
+
+    n_files = max(1, -(-records.count() // rows))
+    records.repartition(n_files).mapInPandas(array, "value string").write.text(path)
+    return path
+
+
 @query("SELECT doc_id, text, CASE WHEN lang <> 'de' THEN lang END AS lang, source FROM documents")
 def scan_json_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as one array in one file, read in many ranges."""
+    """All documents in arrays of a hundred thousand, one array a file, each read in many ranges."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     record = F.to_json(F.struct("doc_id", "text", F.when(F.col("lang") == "de", "NaN").otherwise(F.col("lang")).alias("lang"), "source"))
-    path = scratch_path(spark, "json-one-file")
-    # One file is the point: a single task writes it, sorted, without holding it.
-    nth = F.row_number().over(Window.orderBy("doc_id"))
-    lines = docs.select(F.concat(F.when(nth == 1, "[").otherwise(","), record).alias("value"), F.lit(0).alias("_end"))
-    end = spark.range(1).select(F.when(F.lit(docs.isEmpty()), "[]").otherwise("]").alias("value"), F.lit(1).alias("_end"))
-    lines.union(end).coalesce(1).sortWithinPartitions("_end").select("value").write.text(path)
+    path = _land_arrays(docs.select(record), scratch_path(spark, "json-arrays"))
     rows, _ = json_ranges.scan_json_ranges(spark, path, docs.schema, nan_columns=["lang"], range_bytes=_RANGE_BYTES)
     return rows
 

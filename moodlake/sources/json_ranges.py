@@ -164,9 +164,14 @@ def _parts(pieces: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def _over_borders(parts: DataFrame) -> DataFrame:
-    """Records joined from their parts in neighbouring ranges, at most two parts a range."""
+    """Records joined from their parts in neighbouring ranges, at most two parts a range.
+
+    The parts of a file are numbered in one order, without their texts; these meet the numbers by a join.
+    """
     in_file = Window.partitionBy("file").orderBy("block", "record")
-    numbered = parts.withColumn("_nth", F.sum(F.col("starts").cast("int")).over(in_file))
+    place = ["file", "block", "record"]
+    numbers = parts.select(*place, F.sum(F.col("starts").cast("int")).over(in_file).alias("_nth"))
+    numbered = parts.select(*place, "text", "ends").join(numbers, place)
     in_order = F.array_sort(F.collect_list(F.struct("block", "record", "text")))
     joined = numbered.groupBy("file", "_nth").agg(in_order.alias("p"), F.max("ends").alias("ends"))
     text = F.array_join(F.transform("p", lambda p: p["text"]), "")

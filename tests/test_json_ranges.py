@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from moodlake.catalog import transport
 from moodlake.sources import json_ranges
 from moodlake.sources.json_ranges import scan_json_ranges
 
@@ -127,3 +128,23 @@ def test_texts_are_shuffled_once(spark, tmp_path, schema, monkeypatch):
     json_ranges._parts(pieces, starts)
     plan = written["json-parts"]._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 250])
+def test_arrays_are_written_by_tasks_that_hold_a_batch(spark, tmp_path, n):
+    texts = spark.range(n).select(F.to_json(F.struct("id")))
+    path = transport._land_arrays(texts, f"{tmp_path}/a", rows=100)
+    files = [json.loads(p.read_text()) for p in (tmp_path / "a").glob("part-*") if p.stat().st_size]
+    assert sorted(r["id"] for rows in files for r in rows) == list(range(n))
+    assert len(files) == 3 if n == 250 else len(files) <= 1
+    got, dead = scan_json_ranges(spark, path, spark.range(0).schema, range_bytes=64)
+    assert sorted(r.id for r in got.collect()) == list(range(n)) and dead.isEmpty()
+
+
+def test_no_task_sorts_the_texts_at_the_borders_of_a_file(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"id": i, "title": "x" * 200} for i in range(100)]))
+    pieces = json_ranges._pieces(spark, str(tmp_path), 512)
+    parts = json_ranges._parts(pieces, json_ranges._starts(pieces))
+    plan = json_ranges._over_borders(parts)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = [plan[i + 1] for i, line in enumerate(plan) if "- Window [" in line]
+    assert len(below) == 1 and "block#" in below[0] and "text#" not in below[0]
