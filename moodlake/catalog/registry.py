@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.session import use_utc
+from moodlake.session import bound_batches, use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(use_utc(spark), sf_dir.rstrip("/"))
+            return fn(bound_batches(use_utc(spark)), sf_dir.rstrip("/"))
 
         QUERIES[key] = run
         if sql is not None:

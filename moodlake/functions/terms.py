@@ -2,7 +2,7 @@
 
 The terms become an Aho-Corasick automaton in arrays: a table from state and sign to the next
 state, and the term that ends in a state. Texts are cut into windows that overlap by the longest
-term, and all windows of a batch move through the table together.
+term, and some thousand windows move through the table together.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from moodlake.functions.text import url_host
 
 WINDOW = 1024
+# Windows that move together, and ends of terms that are held before equal ones are merged.
+WINDOWS = 4096
+HITS = 1 << 19
 # Cells of a table; a longer list gets several automata, each run over the texts.
 TABLE_CELLS = 1 << 24
 
@@ -60,51 +63,83 @@ class Automaton:
             if at:
                 self.chain[at] = fail[at] if ends[fail[at]] >= 0 else self.chain[fail[at]]
         self.hit = (self.ends >= 0) | (self.chain > 0)
+        self.terms = len(terms)
 
-    def find(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Text numbers and states wherever a term ends; a place may come twice."""
+    def _windows(self, texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        """Text numbers and windows, in order, of at most ``WINDOWS`` windows at a time."""
         step, over = WINDOW, self.longest - 1
         owner, parts = [], []
         for k, t in enumerate(texts):
             for at in range(0, max(1, len(t) - over), step):
                 owner.append(k)
                 parts.append(t[at : at + step + over])
+                if len(parts) == WINDOWS:
+                    yield np.array(owner), parts
+                    owner, parts = [], []
+        if parts:
+            yield np.array(owner), parts
+
+    def _find(self, who: np.ndarray, parts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Text numbers and states wherever a term ends in the windows; a place may come twice."""
         order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
-        for low in range(0, len(order), 4096):
-            some = [parts[i] for i in order[low : low + 4096]]
-            who = np.array([owner[i] for i in order[low : low + 4096]])
-            size = np.array([len(s) for s in some])
-            width = int(size[0])
-            grid = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in some), np.uint8).reshape(len(some), width)
-            signs = np.ascontiguousarray(self.classes[grid].T)
-            state = np.zeros(len(some), np.int32)
-            live = np.searchsorted(-size, -np.arange(width), side="left")
-            for j in range(width):
-                n = live[j]
-                state[:n] = self.table[state[:n], signs[j, :n]]
-                hot = np.flatnonzero(self.hit[state[:n]])
-                if len(hot):
-                    yield who[hot], state[hot].copy()
-
-    def any(self, texts: list[bytes]) -> np.ndarray:
-        out = np.zeros(len(texts), bool)
+        some, who = [parts[i] for i in order], who[order]
+        size = np.array([len(s) for s in some])
+        width = int(size[0])
+        grid = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in some), np.uint8).reshape(len(some), width)
+        signs = np.ascontiguousarray(self.classes[grid].T)
+        state = np.zeros(len(some), np.int32)
+        live = np.searchsorted(-size, -np.arange(width), side="left")
+        for j in range(width):
+            n = live[j]
+            state[:n] = self.table[state[:n], signs[j, :n]]
+            hot = np.flatnonzero(self.hit[state[:n]])
+            if len(hot):
+                yield who[hot], state[hot]
+
+    def find(self, texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Text numbers and states wherever a term ends; a place may come twice."""
+        for who, parts in self._windows(texts):
+            yield from self._find(who, parts)
+
+    def any(self, texts: Iterable[bytes], n: int | None = None) -> np.ndarray:
+        """Does each of the ``n`` texts (their length, if they have one) hold a term?"""
+        out = np.zeros(len(texts) if n is None else n, bool)
         for who, _ in self.find(texts):
             out[who] = True
         return out
 
+    def _ended(self, codes: np.ndarray) -> np.ndarray:
+        """``text * terms + term``, distinct and ascending, of distinct ``text * states + state``."""
+        who, at = np.divmod(codes, len(self.ends))
+        out = []
+        while len(at):
+            ended = self.ends[at] >= 0
+            out.append(who[ended] * self.terms + self.ends[at][ended])
+            more = self.chain[at] > 0
+            who, at = who[more], self.chain[at][more]
+        return np.unique(np.concatenate([np.zeros(0, np.int64), *out]))
+
+    def held(self, texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Text numbers and the numbers of the terms in them, some texts at a time.
+
+        A pair comes once for each block of windows, so that a long text may have it again. What is held
+        at once is bounded by the windows of a block, whatever the texts.
+        """
+        for who, parts in self._windows(texts):
+            seen, waiting, n = np.zeros(0, np.int64), [], 0
+            for of, states in self._find(who, parts):
+                waiting.append(of.astype(np.int64) * len(self.ends) + states)
+                n += len(states)
+                if n > HITS:
+                    seen, waiting, n = np.unique(np.concatenate([seen, *waiting])), [], 0
+            yield np.divmod(self._ended(np.unique(np.concatenate([seen, *waiting]))), self.terms)
+
     def which(self, texts: list[bytes]) -> list[set[int]]:
         """The numbers of the terms in each text."""
         out: list[set[int]] = [set() for _ in texts]
-        seen: set[tuple[int, int]] = set()
-        for who, states in self.find(texts):
-            for pair in zip(who.tolist(), states.tolist()):
-                if pair not in seen:
-                    seen.add(pair)
-                    at = pair[1]
-                    while at:
-                        if self.ends[at] >= 0:
-                            out[pair[0]].add(int(self.ends[at]))
-                        at = int(self.chain[at])
+        for who, found in self.held(texts):
+            for k, term in zip(who.tolist(), found.tolist()):
+                out[k].add(term)
         return out
 
 
@@ -137,8 +172,8 @@ def _automaton(raw: tuple[bytes, ...]) -> Automaton:
     return _built[raw]
 
 
-def _bytes(texts: pd.Series) -> list[bytes]:
-    return [t.encode("utf-8", "surrogatepass") for t in texts]
+def _bytes(texts: pd.Series) -> Iterator[bytes]:
+    return (t.encode("utf-8", "surrogatepass") for t in texts)
 
 
 def holds_term(c: Column | str, terms: Iterable[str], ignore_case: bool = True) -> Column:
@@ -149,10 +184,10 @@ def holds_term(c: Column | str, terms: Iterable[str], ignore_case: bool = True)
 
     @F.pandas_udf("boolean")
     def hit(texts: pd.Series) -> pd.Series:
-        raw, out = _bytes(texts), np.zeros(len(texts), bool)
+        out = np.zeros(len(texts), bool)
         for of in lists:
             left = np.flatnonzero(~out)
-            out[left] = _automaton(of).any([raw[i] for i in left])
+            out[left] = _automaton(of).any(_bytes(texts.iloc[left]), len(left))
         return pd.Series(out)
 
     return hit(F.coalesce(F.lower(text) if ignore_case else text, F.lit(""))) if lists else F.lit(False)
@@ -168,12 +203,14 @@ def terms_in(c: Column | str, terms: Iterable[str], ignore_case: bool = True) ->
 
     @F.pandas_udf("array<int>")
     def find(texts: pd.Series) -> pd.Series:
-        raw = _bytes(texts)
-        out: list[list[int]] = [[] for _ in raw]
+        out = [np.zeros(0, np.int32)] * len(texts)
         for numbers, of in lists:
-            for k, found in enumerate(_automaton(of).which(raw)):
-                out[k] += [numbers[i] for i in found]
-        return pd.Series([sorted(x) for x in out])
+            of_list = np.array(numbers, np.int32)
+            for who, terms in _automaton(of).held(_bytes(texts)):
+                first = np.flatnonzero(np.diff(who, prepend=-1))
+                for k, found in zip(who[first].tolist(), np.split(of_list[terms], first[1:])):
+                    out[k] = np.union1d(out[k], found) if len(out[k]) else np.sort(found)
+        return pd.Series(out)
 
     return find(F.coalesce(F.lower(text) if ignore_case else text, F.lit("")))
 

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
+#: Rows that a Python worker holds at once, at most.
+ARROW_ROWS = 1000
+
 
 def build_session(master: str | None = None, app: str = "moodlake", **conf: str) -> SparkSession:
     """A session with this library's defaults; ``conf`` keys use ``__`` for dots."""
@@ -20,7 +23,7 @@ def build_session(master: str | None = None, app: str = "moodlake", **conf: str)
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # A text may be 100 KB and more; this bounds what a Python worker holds at once.
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
         # Deduplication state may outgrow the heap; RocksDB keeps it on disk.
         .config(
             "spark.sql.streaming.stateStore.providerClass",
@@ -41,6 +44,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_batches(spark: SparkSession) -> SparkSession:
+    """A session made elsewhere gives its Python workers no larger batches than one made here."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -42,6 +42,30 @@ def test_terms_in_texts(spark):
     assert frame.select(terms.holds_term("t", []).alias("h")).filter("h").count() == 0
 
 
+def test_texts_are_taken_some_windows_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(terms, "WINDOW", 8)
+    monkeypatch.setattr(terms, "WINDOWS", 4)
+    monkeypatch.setattr(terms, "HITS", 3)
+    built, taken = terms.Automaton([b"he", b"she", b"x"]), []
+    texts = (taken.append(i) or (b"ushers" if i % 2 else b"x") for i in range(100))
+    held = built.held(texts)
+    who, found = next(held)
+    assert len(taken) <= 5 and list(zip(who, found)) == [(0, 2), (1, 0), (1, 1), (2, 2), (3, 0), (3, 1)]
+    assert sum(len(w) for w, _ in held) == 48 * 3
+    long = [b"x " * 20 + b"she " * 30, b"", b"he" * 40]
+    assert built.which(long) == [{0, 1, 2}, set(), {0}]
+
+
+def test_queries_bound_the_rows_of_a_python_worker(spark):
+    from moodlake.catalog.registry import QUERIES, query
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    other = spark.newSession()
+    other.conf.set(key, "10000")
+    assert query(name="_rows")(lambda session, _: session.conf.get(key))(other, "") == "1000"
+    del QUERIES["_rows"]
+
+
 def test_hosts_of_a_list(spark):
     urls = ["http://a.example.com/x", "https://EXAMPLE.com", "http://badexample.com", None, "mailto:x", "http://u@b.c.d:80/", "http://c.d", "http://x.b.c.d/"]
     frame = spark.createDataFrame(list(enumerate(urls)), "id int, url string")
