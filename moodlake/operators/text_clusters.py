@@ -11,12 +11,13 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodlake.functions.hashing import unit_counts
+from moodlake.functions.hashing import unit_rows
 from moodlake.operators.clustering import BestK, Centres
 
 INIT_ROWS = 4096
@@ -30,9 +31,11 @@ def hashed_places(df: DataFrame, text: str, dims: int = 4096, places: str = "pla
     without words has empty arrays.
     """
 
-    @F.pandas_udf("p array<int>, w array<double>")
-    def vector(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([(None, None) if t is None else unit_counts(t, dims) for t in texts], columns=["p", "w"])
+    @F.arrow_udf("p array<int>, w array<double>")
+    def vector(texts: pa.Array) -> pa.Array:
+        many, at, of = unit_rows([t or "" for t in texts.to_pylist()], dims)
+        ends, null = pa.array(np.cumsum([0, *many]), pa.int32()), texts.is_null()
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, pa.array(x), mask=null) for x in (at, of)], names=["p", "w"])
 
     made = df.withColumn("_vector", vector(F.lower(F.col(text))))
     return made.withColumn(places, F.col("_vector.p")).withColumn(weights, F.col("_vector.w")).drop("_vector")
@@ -41,10 +44,10 @@ def hashed_places(df: DataFrame, text: str, dims: int = 4096, places: str = "pla
 class Rows:
     """Sparse rows of a batch."""
 
-    def __init__(self, places: list, weights: list):
-        self.many = np.array([len(p) for p in places], np.int64)
-        self.at = np.concatenate([np.zeros(0, np.int64), *places]).astype(np.int64)
-        self.w = np.concatenate([np.zeros(0), *weights]).astype(float)
+    def __init__(self, places: pa.Array, weights: pa.Array):
+        self.many = pc.fill_null(pc.list_value_length(places), 0).to_numpy().astype(np.int64)
+        self.at = places.flatten().to_numpy().astype(np.int64)
+        self.w = weights.flatten().to_numpy().astype(float)
         self.row = np.repeat(np.arange(len(self.many)), self.many)
         self.square = np.bincount(self.row, self.w**2, len(self.many))
 
@@ -82,7 +85,8 @@ def _sample(vectors: DataFrame) -> tuple[Rows, np.ndarray]:
     wanted = vectors.sparkSession.createDataFrame([(r.h, r.h2, r.n) for r in first], "h long, h2 long, n long")
     found = keyed.join(F.broadcast(wanted), ["h", "h2"]).groupBy("h", "h2", "n").agg(F.first(F.struct("p", "w")).alias("v")).collect()
     found.sort(key=lambda r: (r.h, r.h2))
-    return Rows([r.v.p for r in found], [r.v.w for r in found]), np.array([r.n for r in found], float)
+    drawn = Rows(pa.array([r.v.p for r in found], pa.list_(pa.int32())), pa.array([r.v.w for r in found], pa.list_(pa.float64())))
+    return drawn, np.array([r.n for r in found], float)
 
 
 def _first_centres(sample: Rows, copies: np.ndarray, dims: int, k: int, seed: int) -> np.ndarray:
@@ -97,8 +101,8 @@ def _first_centres(sample: Rows, copies: np.ndarray, dims: int, k: int, seed: in
     return np.array(chosen)
 
 
-def _batch(frame: pd.DataFrame) -> Rows:
-    return Rows(frame["p"].tolist(), frame["w"].tolist())
+def _arrow(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({name: pa.array(values) for name, values in columns.items()})
 
 
 def _sums(vectors: DataFrame, runs: list[np.ndarray], dims: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -110,24 +114,25 @@ def _sums(vectors: DataFrame, runs: list[np.ndarray], dims: int) -> list[tuple[n
     starts = np.cumsum([0, *(len(c) for c in runs)])
     stacked = np.concatenate(runs)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, cost, square = (np.zeros(len(stacked)) for _ in range(3))
         total = np.zeros((len(stacked), dims))
-        for frame in frames:
-            x = _batch(frame)
+        for batch in batches:
+            x = Rows(*batch.columns)
             gaps = x.gaps(stacked)
             for low, high in zip(starts, starts[1:]):
                 own = gaps[:, low:high].argmin(1) + low
                 n += np.bincount(own, minlength=len(n))
                 cost += np.bincount(own, gaps[np.arange(len(own)), own], len(n))
                 square += np.bincount(own, x.square, len(n))
-                np.add.at(total, (own[x.row], x.at), x.w)
+                flat = (own[x.row] - low) * dims + x.at
+                total[low:high] += np.bincount(flat, x.w, (high - low) * dims).reshape(-1, dims)
         c, at = np.nonzero(total)
-        full = np.flatnonzero(n)
-        yield pd.DataFrame({"c": c, "at": at, "v": total[c, at], "n": 0.0, "cost": 0.0})
-        yield pd.DataFrame({"c": full, "at": -1, "v": square[full], "n": n[full], "cost": cost[full]})
+        full, none = np.flatnonzero(n), np.zeros(len(c))
+        yield _arrow(c=c.astype(np.int32), at=at.astype(np.int32), v=total[c, at], n=none, cost=none)
+        yield _arrow(c=full.astype(np.int32), at=np.full(len(full), -1, np.int32), v=square[full], n=n[full], cost=cost[full])
 
-    parts = vectors.mapInPandas(run, "c int, at int, v double, n double, cost double")
+    parts = vectors.mapInArrow(run, "c int, at int, v double, n double, cost double")
     added = parts.groupBy("c", "at").agg(F.sum("v").alias("v"), F.sum("n").alias("n"), F.sum("cost").alias("cost")).toPandas()
     n, cost, square, total = np.zeros(len(stacked)), np.zeros(len(stacked)), np.zeros(len(stacked)), np.zeros((len(stacked), dims))
     own, of = added[added["at"] < 0], added[added["at"] >= 0]
@@ -164,10 +169,10 @@ def _silhouettes(vectors: DataFrame, runs: list[np.ndarray], dims: int) -> list[
     """Mean squared-Euclidean silhouette of each clustering; -1 with fewer than two clusters."""
     stats = [(c[n > 0], n[n > 0], square[n > 0], total[n > 0]) for c, (n, _, square, total) in zip(runs, _sums(vectors, runs, dims))]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, value = 0, np.zeros(len(stats))
-        for frame in frames:
-            x = _batch(frame)
+        for batch in batches:
+            x = Rows(*batch.columns)
             at = np.arange(len(x.many))
             rows += len(at)
             for r, (c, n, square, total) in enumerate(stats):
@@ -181,9 +186,9 @@ def _silhouettes(vectors: DataFrame, runs: list[np.ndarray], dims: int) -> list[
                 outside = far.min(1)
                 top = np.maximum(inside, outside)
                 value[r] += np.where((n[own] > 1) & (top > 0), (outside - inside) / np.where(top > 0, top, 1), 0).sum()
-        yield pd.DataFrame({"r": range(len(stats)), "value": value, "rows": rows})
+        yield _arrow(r=np.arange(len(stats), dtype=np.int32), value=value, rows=np.full(len(stats), rows))
 
-    parts = vectors.mapInPandas(run, "r int, value double, rows long")
+    parts = vectors.mapInArrow(run, "r int, value double, rows long")
     got = {r.r: r.v / r.n for r in parts.groupBy("r").agg(F.sum("value").alias("v"), F.sum("rows").alias("n")).collect()}
     return [got[r] if len(s[1]) > 1 else -1.0 for r, s in enumerate(stats)]
 
@@ -208,12 +213,9 @@ def best_k(
 def assign(model: Centres, df: DataFrame, places: str = "places", weights: str = "weights") -> DataFrame:
     """Adds the cluster of each row, null for a null vector; one pass, no shuffle."""
 
-    @F.pandas_udf("int")
-    def cluster(p: pd.Series, w: pd.Series) -> pd.Series:
-        out = pd.Series([None] * len(p), dtype="Int32")
-        known = p.notna().to_numpy()
-        if known.any():
-            out[known] = Rows(p[known].tolist(), w[known].tolist()).gaps(model.centres).argmin(1)
-        return out
+    @F.arrow_udf("int")
+    def cluster(p: pa.Array, w: pa.Array) -> pa.Array:
+        # A null row has no places here, and its nearest centre is masked.
+        return pa.array(Rows(p, w).gaps(model.centres).argmin(1).astype(np.int32), mask=p.is_null().to_numpy(zero_copy_only=False))
 
     return df.withColumn("cluster", cluster(F.col(places), F.col(weights)))
