@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from moodlake.operators import text_clusters
 from moodlake.operators.clustering import BestK, cluster_report
+from moodlake.session import settle
 
 
 @dataclass(frozen=True)
@@ -29,8 +30,9 @@ def cluster_texts(
     by cluster, and report on the stored assignments.
 
     The key is that of ``docs``; texts are joined by it and are not stored again. A text without
-    a vector has no cluster and is left out of both.
+    a vector has no cluster and is left out of both. The vectors are written once, for the fit and the assignments.
     """
+    vectors = settle(vectors.select(doc, "places", "weights"), "text-vectors")
     best = text_clusters.best_k(vectors, dims, ks, starts=starts, seed=seed, max_iter=max_iter)
     found = text_clusters.assign(best.model, vectors).filter("cluster is not null").select(doc, "cluster")
     keyed = docs.select(doc, group).join(found, doc)

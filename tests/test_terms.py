@@ -102,6 +102,35 @@ def test_vectors_of_texts_are_those_of_the_dense_form(spark):
         assert np.allclose(dense, np.array(r.embedding), atol=1e-6) and sorted(r.places) == r.places
 
 
+def test_vectors_of_a_batch_are_those_of_its_texts():
+    from moodlake.functions.hashing import unit_counts, unit_rows
+
+    texts = ["one two two", "", "ünï x1 _a ² ⅷ a", "word " * 3000 + "other", "x", "one one"]
+    many, at, of = unit_rows(texts, 16)
+    ends = np.cumsum(many)[:-1]
+    for text, p, w in zip(texts, np.split(at, ends), np.split(of, ends), strict=True):
+        places, weights = unit_counts(text, 16)
+        assert p.tolist() == places.tolist() and w.tolist() == weights.tolist()
+    assert [len(x) for x in unit_rows([], 16)] == [0, 0, 0]
+
+
+def test_vectors_are_made_once(spark, tmp_path):
+    """For the fit and the assignments together, and held by no pass as a Python object a row."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def places(i):
+        made.add(1)
+        return [i % 2]
+
+    docs = spark.range(40).select("id", F.lit("g").alias("g"), F.lit("some words").alias("t"))
+    vectors = docs.select("id", places("id").alias("places"), F.array(F.lit(1.0)).alias("weights"))
+    done = cluster_texts(docs, f"{tmp_path}/out", "id", "g", "t", vectors, 2, [2], starts=2)
+    assert done.assigned.groupBy("cluster").count().count() == 2 and made.value == 40
+    plan = text_clusters.assign(done.best.model, vectors)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_cluster_texts_job(spark, tmp_path):
     words = {0: "apple pear plum", 1: "steel iron zinc", 2: "river lake sea"}
     rows = [(i, "g%d" % (i % 2), (words[i % 3] + " ") * (1 + i % 4) + "filler%d" % i) for i in range(60)] + [(60, "g0", None), (61, "g1", "")]
