@@ -31,3 +31,30 @@ def test_as_the_batch_form(spark, ages):
     until = F.lit("2024-01-29").cast("date")
     want = as_of(first.filter("k is null or k <> 'z'"), keys=["k"], until=until, **ages).filter(F.col("date") <= until).collect()
     assert len(got) == len(set(got)) and sorted(map(str, got)) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 2048])
+def test_keys_of_a_bucket_share_a_call(spark, buckets):
+    source, path, state = (scratch_path(spark, f"fill-keys-{x}") for x in ("source", "out", "state"))
+    made = spark.range(0, 60).select(
+        F.when(F.col("id") % 20 != 7, F.col("id") % 20 + (1 << 60)).alias("k"), F.timestamp_micros(F.col("id") % 20 + 1).alias("t"),
+        F.concat(F.lit('a"\\'), F.col("id") % 20).alias("s"), F.date_add(F.lit("2024-01-01").cast("date"), F.floor(F.col("id") / 20).cast("int") * 4).alias("date"),
+        F.col("id").cast("double").alias("value"),
+    )
+    made.write.parquet(source)
+    stream = fill_stream(streams.read_files(spark, source, made.schema), ["k", "t", "s"], "date", "value", "1 day", max_age=2, buckets=buckets)
+    got = streams.run_to_table(stream, path, checkpoint=state).collect()
+    want = as_of(made, keys=["k", "t", "s"], until=F.lit("2024-01-07").cast("date"), max_age=2)
+    want = want.filter(F.col("date") <= "2024-01-07").select("k", "t", "s", "date", "filled", "age_days").collect()
+    assert len(got) == 20 * 6 and sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_calls_do_not_grow_with_the_keys(spark):
+    """As many groups as buckets, however many keys there are."""
+    source = scratch_path(spark, "fill-many")
+    made = spark.range(500).select(F.col("id").alias("k"), F.lit("2024-01-01").cast("date").alias("date"), F.lit(1.0).alias("value"))
+    made.write.parquet(source)
+    stream = fill_stream(streams.read_files(spark, source, made.schema), ["k"], "date", "value", "1 day", buckets=4)
+    query = stream.writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "fill-many-state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 4
