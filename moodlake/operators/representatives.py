@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,24 +18,25 @@ from moodlake.session import settle
 HOT_SHARE = 10_000
 
 
+def _counted(words: pa.Array) -> pa.Array:
+    """The distinct words of each row and how often each occurs."""
+    flat = words.flatten().dictionary_encode()
+    many = pc.fill_null(pc.list_value_length(words), 0).to_numpy()
+    kinds = max(len(flat.dictionary), 1)
+    places, tf = np.unique(np.repeat(np.arange(len(many)), many) * kinds + flat.indices.to_numpy(), return_counts=True)
+    row, term = np.divmod(places, kinds)
+    runs = pa.StructArray.from_arrays([flat.dictionary.take(pa.array(term)), pa.array(tf.astype(np.int32))], names=["term", "tf"])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *np.bincount(row, minlength=len(many))]), pa.int32()), runs)
+
+
 def term_counts(docs: DataFrame, doc: str, text: str, keep: Sequence[str] = (), stop_words: Sequence[str] = ()) -> DataFrame:
     """(doc, keep..., term, tf).
 
-    Counts inside the row, as the lengths of the runs of the sorted tokens, so neither
-    the texts nor the tokens are shuffled.
+    Counts inside the row, over the tokens as numbers, so neither the texts nor the tokens are shuffled.
     """
-    words = docs.select(doc, *keep, F.sort_array(tokens(text)).alias("_w"))
-    n = F.array_size("_w")
-    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-
-    def starts_run(i):
-        return (i == 1) | (F.element_at("_w", i) != F.element_at("_w", F.greatest(i - 1, F.lit(1))))
-
-    def run(at, j):
-        return F.struct(F.element_at("_w", at).alias("term"), (F.coalesce(F.get("_at", j + 1), n + 1) - at).alias("tf"))
-
-    runs = words.withColumn("_at", F.filter(places, starts_run))
-    counted = runs.select(doc, *keep, F.explode(F.transform("_at", run)).alias("_run")).select(doc, *keep, "_run.*")
+    runs = F.arrow_udf(_counted, "array<struct<term:string,tf:int>>")
+    words = docs.select(doc, *keep, runs(tokens(text)).alias("_runs"))
+    counted = words.select(doc, *keep, F.explode("_runs").alias("_run")).select(doc, *keep, "_run.*")
     return counted.filter(~F.col("term").isin(list(stop_words))) if stop_words else counted
 
 
@@ -45,7 +49,7 @@ def token_totals(docs: DataFrame, text: str, stop_words: Sequence[str] = ()) ->
 
 
 def with_document_frequency(tf: DataFrame, doc: str, cluster: str) -> DataFrame:
-    """Adds df, the number of the cluster's documents that hold the term.
+    """Adds df, the number of the cluster's documents that hold the term, and cut, the logarithm of df + 1.
 
     Two branches. Hot terms, of which there are fewer than ``HOT_SHARE``, are joined by
     broadcast where their rows lie; most rows are such. The others are joined by a shuffle in
@@ -53,6 +57,7 @@ def with_document_frequency(tf: DataFrame, doc: str, cluster: str) -> DataFrame:
     """
     # Written once, since it is read for either branch.
     df = settle(tf.groupBy(cluster, "term").agg(F.count("*").alias("df")), "frequencies")
+    df = df.withColumn("cut", F.log(F.col("df") + F.lit(1.0)))
     is_hot = F.col("df") * F.lit(HOT_SHARE) > F.lit(tf.count())
     hot = F.broadcast(df.filter(is_hot))
     rare = tf.join(hot, [cluster, "term"], "left_anti").join(df.filter(~is_hot), [cluster, "term"])
@@ -72,12 +77,12 @@ def document_scores(
     grouped = docs.filter(F.col(cluster).isNotNull())
     counts = settle(term_counts(grouped, doc, text, [cluster], stop_words), "terms")
     counted = with_document_frequency(counts, doc, cluster)
-    no_terms = docs.select(doc, cluster, F.lit(0).alias("tf"), F.lit(0).alias("df"))
+    no_terms = docs.select(doc, cluster, F.lit(0).alias("tf"), F.lit(0.0).alias("cut"))
     # With A = ln(1+n)+1 a weight is tf*(A - ln(1+df)), so five sums per document are
     # enough and the cluster size joins one row per document, not one per term.
-    t, cut = F.col("tf").cast("double"), F.log(F.col("df") + F.lit(1.0))
+    t, cut = F.col("tf").cast("double"), F.col("cut")
     sums = (
-        counted.select(doc, cluster, "tf", "df").unionByName(no_terms).groupBy(doc, cluster)
+        counted.select(doc, cluster, "tf", "cut").unionByName(no_terms).groupBy(doc, cluster)
         .agg(
             F.sum(t).alias("_t"), F.sum(t * cut).alias("_tc"),
             F.sum(t * t).alias("_tt"), F.sum(t * t * cut).alias("_ttc"), F.sum(t * t * cut * cut).alias("_ttcc"),

@@ -173,3 +173,10 @@ def test_empty_partitions(spark):
     df = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(16, "id")
     fit = clustering.fit_kmeans(df, 2, starts=1)
     assert sorted(fit.sizes.tolist()) == [2, 2]
+
+
+def test_terms_are_counted_without_a_lambda_a_word(spark):
+    rows = [(1, "b a B a_1 x"), (2, None), (3, ""), (4, "ÄB äb äb the the")]
+    counted = term_counts(spark.createDataFrame(rows, "doc long, text string"), "doc", "text", stop_words=["the"])
+    assert "lambda" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.doc, r.term, r.tf) for r in counted.collect()) == [(1, "a_1", 1), (4, "äb", 3)]
